@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import text_or
 from ..operators.lookup import lookup
-from .runs import first_by, row_order
+from .runs import row_order
 
 # Operations that count as steps of a run.
 STEP_OPERATIONS = [
@@ -50,6 +50,12 @@ class Attached(NamedTuple):
     tools: DataFrame
 
 
+def step_position(row_id: Column, ts: Column, id: Column) -> Column:
+    """Place of a step in its run; a made-up step has no row and comes first."""
+    rank = F.when(row_id.isNull(), 0).otherwise(1)
+    return F.struct(rank.alias("rank"), ts.alias("ts"), id.alias("id"), row_id.alias("row_id"))
+
+
 def attach_tools(steps: DataFrame, tools: DataFrame) -> Attached:
     """Hang all tools of a run under its first tool step, or under a step made for them.
 
@@ -62,19 +68,19 @@ def attach_tools(steps: DataFrame, tools: DataFrame) -> Attached:
     first_step = (
         steps.filter(F.col("step_type") == TOOL_STEP)
         .groupBy("run_id")
-        .agg(F.min_by(F.struct("row_id", "step_id"), order).alias("host"))
+        .agg(F.min_by(F.struct("row_id", "step_id", "ts", "id"), order).alias("host"))
     )
     hosts = per_run.join(first_step, "run_id", "left").select(
         "run_id", "tools_ms", "tools_start",
         F.col("host.row_id").alias("host_row"),
+        step_position(F.col("host.row_id"), F.col("host.ts"), F.col("host.id")).alias("step_at"),
         F.coalesce("host.step_id", F.concat(F.lit("step_tools_"), F.col("run_id"))).alias("host_step"),
     )
     hosted = hosts.filter(F.col("host_row").isNotNull()).select(F.col("host_row").alias("row_id"), "tools_ms")
     kept = steps.join(hosted, "row_id", "left").select(
         "run_id", "row_id", "ts", "id", "step_id", "step_type", "start_time",
         F.coalesce("tools_ms", "duration_ms").alias("duration_ms"),
-        "status",
-        F.lit(1).alias("step_rank"),
+        "status", "operation_name", "agent_id", "model",
     )
     made = hosts.filter(F.col("host_row").isNull()).select(
         "run_id",
@@ -86,9 +92,9 @@ def attach_tools(steps: DataFrame, tools: DataFrame) -> Attached:
         text_or(F.col("tools_start")).alias("start_time"),
         F.col("tools_ms").alias("duration_ms"),
         F.lit("completed").alias("status"),
-        F.lit(0).alias("step_rank"),
     )
-    placed = lookup(
-        tools, hosts.select("run_id", F.col("host_step").alias("step_id"), F.col("host_row").alias("step_row")), ["run_id"]
+    all_steps = kept.unionByName(made, allowMissingColumns=True).withColumn(
+        "step_at", step_position(F.col("row_id"), F.col("ts"), F.col("id"))
     )
-    return Attached(kept.unionByName(made), placed)
+    placed = lookup(tools, hosts.select("run_id", F.col("host_step").alias("step_id"), "step_at"), ["run_id"])
+    return Attached(all_steps, placed)
