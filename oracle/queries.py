@@ -56,11 +56,11 @@ BODIES: dict[str, str] = {
         select event_id, epoch_us(case event_id % 7 when 3 then ts - interval 2 hour when 4 then date_trunc('day', ts)
             when 5 then null when 6 then null else ts end) as micros from tele""",
     "props_safe": f"""
-        select Id as span_id, coalesce(len(json_keys(Properties)), 0) as good_keys, 0 as bad_keys,
+        select Id as span_id, cast(coalesce(len(json_keys(Properties)), 0) as int) as good_keys, 0 as bad_keys,
           coalesce({js('Properties', 'tool.kind')}, 'none') as tool_kind
         from (select Id, Properties from app_requests union all select Id, Properties from app_dependencies)""",
     "props_nested": f"""
-        select TimeGenerated, Message, len(json_keys(ev)) as keys, json_extract_string(ev, '$.content') as content,
+        select TimeGenerated, Message, cast(len(json_keys(ev)) as int) as keys, json_extract_string(ev, '$.content') as content,
           coalesce(json_extract_string(ev, '$.id'), '') as id
         from (select *, {js('Properties', 'gen_ai.event.content')} as ev from app_traces where starts_with(Message, 'gen_ai.'))""",
     "assistant_text": "select time_text as TimeGenerated, text from assistant_all",
@@ -156,7 +156,7 @@ BODIES: dict[str, str] = {
           from runs r left join (select run_id, last(meta_user order by ts) as meta_user from audits group by run_id) a using (run_id)
         union all select 'step', s.run_id, s.step_id, 0, s.duration_ms, null, s0.operation_name, null
           from run_steps s left join steps0 s0 on s0.run_id = s.run_id and s0.step_id = s.step_id
-        union all select 'tool', step_id, tool_id, null, round(duration_ms, 4), null, null, length(output_full) from tools""",
+        union all select 'tool', step_id, tool_id, null, round(duration_ms, 4), null, null, cast(length(output_full) as int) from tools""",
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, functions as F, types as T
 
@@ -70,6 +70,15 @@ def properties_struct(text: Column, keys: Iterable[str]) -> Column:
     return F.from_json(text, T.StructType([T.StructField(k, T.StringType()) for k in keys]))
 
 
+def explode_if(parsed: Column, where: Callable[[Column], Column]) -> Column:
+    """Generator for ``select``: the parsed value, in the rows where it passes, and no other rows.
+
+    A plain filter on a parsed value is pushed below the parse and parses every row again; a
+    generator is not, so each row is parsed once.
+    """
+    return F.explode(F.filter(F.array(parsed), where))
+
+
 def attr(bag: Column, key: str) -> Column:
     return F.try_element_at(bag, F.lit(key))
 

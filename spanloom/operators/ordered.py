@@ -6,6 +6,10 @@ size, by sampling. Windows run inside (chunk, key). What has to cross a chunk bo
 value per chunk: chunks are consecutive ranges, so only the first (or last) key of a chunk can
 continue from a neighbour. That carry table therefore has at most one row per chunk, whatever
 the data, and is broadcast. Chunk numbers are staged, so every reader sees the same cut.
+
+``order`` must be a total order within the key: end it with a column that tells all rows apart,
+exact copies too (an id stored with the row, not one made on the fly, so that a retried task
+places every row where the first attempt did). Then any group, copies included, can be cut.
 """
 
 from __future__ import annotations
@@ -15,19 +19,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .staging import stage
 
 CHUNK = "_chunk"
-ROW = "_row"  # last tie-break, so that even exact copies can be cut apart
 
 
 def order_chunks(df: DataFrame, by: list[str], order: list[str], chunks: int | None = None) -> DataFrame:
     """Cut ``df`` into ordered chunks on (``by``, ``order``); ``by`` must not be NULL."""
-    rows = df.withColumn(ROW, F.monotonically_increasing_id())
-    keys = [*by, *order, ROW]
-    ranged = rows.repartitionByRange(chunks, *keys) if chunks else rows.repartitionByRange(*keys)
+    keys = [*by, *order]
+    ranged = df.repartitionByRange(chunks, *keys) if chunks else df.repartitionByRange(*keys)
     return stage(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
 def _inside(by: list[str], order: list[str]):
-    return Window.partitionBy(CHUNK, *by).orderBy(*order, ROW)
+    return Window.partitionBy(CHUNK, *by).orderBy(*order)
 
 
 def _with_carry(rows: DataFrame, groups: DataFrame, by: list[str], carry: Column) -> DataFrame:
@@ -39,7 +41,7 @@ def _with_carry(rows: DataFrame, groups: DataFrame, by: list[str], carry: Column
 def running_last(chunked: DataFrame, by: list[str], order: list[str], value: Column, out: str) -> DataFrame:
     """Last non-null ``value`` up to and including each row, per key."""
     rows = chunked.withColumn("_value", value)
-    position = F.struct(*order, ROW)
+    position = F.struct(*order)
     groups = rows.groupBy(CHUNK, *by).agg(
         F.max_by("_value", F.when(F.col("_value").isNotNull(), position)).alias("_tail")
     )
@@ -56,7 +58,7 @@ def running_last(chunked: DataFrame, by: list[str], order: list[str], value: Col
 def next_value(chunked: DataFrame, by: list[str], order: list[str], value: Column, out: str) -> DataFrame:
     """``value`` of the following row of the same key; NULL on the last. ``value`` is not NULL."""
     rows = chunked.withColumn("_value", value)
-    groups = rows.groupBy(CHUNK, *by).agg(F.min_by("_value", F.struct(*order, ROW)).alias("_head"))
+    groups = rows.groupBy(CHUNK, *by).agg(F.min_by("_value", F.struct(*order)).alias("_head"))
     inner = F.lead("_value").over(_inside(by, order))
     carried = _with_carry(
         rows.withColumn("_inner", inner), groups, by, F.lead("_head").over(Window.partitionBy(*by).orderBy(CHUNK))
@@ -78,23 +80,25 @@ def asof_backward(
     right: DataFrame,
     by: list[str],
     ts: str,
-    tie: list[str],
+    left_tie: list[str],
+    right_tie: list[str],
     out: str,
     chunks: int | None = None,
 ) -> DataFrame:
     """Left rows with ``out``: the latest right row of the same key with right ``ts`` <= left ``ts``.
 
-    Equal times match; among right rows of one time the last in ``tie`` order wins. Left rows
-    keep all their columns; ``out`` is a struct of the right columns, NULL without a match.
-    With ``by`` empty the whole table is one ordered line.
+    Equal times match; among right rows of one time the last in ``right_tie`` order wins. Left
+    rows keep all their columns; ``out`` is a struct of the right columns, NULL without a match.
+    With ``by`` empty the whole table is one ordered line. ``ts`` and the ties order each side
+    totally.
     """
     events = left.select(
-        *by, ts, F.lit(1).alias("_side"), F.struct(*left.columns).alias("_left")
+        *by, ts, F.lit(1).alias("_side"), F.struct(*left_tie).alias("_left_tie"), F.struct(*left.columns).alias("_left")
     )
     targets = right.filter(F.col(ts).isNotNull()).select(
-        *by, ts, F.lit(0).alias("_side"), F.struct(*tie).alias("_tie"), F.struct(*right.columns).alias("_right")
+        *by, ts, F.lit(0).alias("_side"), F.struct(*right_tie).alias("_right_tie"), F.struct(*right.columns).alias("_right")
     )
     line = targets.unionByName(events, allowMissingColumns=True)
-    order = [ts, "_side", "_tie"]
+    order = [ts, "_side", "_right_tie", "_left_tie"]
     filled = running_last(order_chunks(line, by, order, chunks), by, order, F.col("_right"), out)
     return filled.filter(F.col("_side") == 1).select("_left.*", out)

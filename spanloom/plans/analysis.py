@@ -69,7 +69,7 @@ def extraction_counters(skeleton: Skeleton, routed: DataFrame) -> DataFrame:
     outputs = M.assistant_messages(routed, runs)
     audits = M.audit_runs(routed, runs)
     events = M.run_events(M.completion_runs(routed, runs), audits)
-    audit_text = lambda c: audits.select("run_id", "ts", "tie", F.col(c).alias("text"))
+    audit_text = lambda c: audits.select("run_id", *M.TRACE_POSITION, F.col(c).alias("text"))
     taken = _taken(inputs, audit_text("input")).unionByName(_taken(outputs, audit_text("output")))
 
     def count(df: DataFrame, name: str) -> DataFrame:
@@ -94,7 +94,7 @@ def extraction_counters(skeleton: Skeleton, routed: DataFrame) -> DataFrame:
 def _taken(messages: DataFrame, audit_texts: DataFrame) -> DataFrame:
     """Messages no later than the first non-empty text of their run, audit texts included."""
     position = M.trace_order()
-    text = messages.select("run_id", "ts", "tie", "text")
+    text = messages.select("run_id", *M.TRACE_POSITION, "text")
     filled = (
         text.unionByName(audit_texts)
         .filter(F.col("text") != "")

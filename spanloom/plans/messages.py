@@ -36,6 +36,7 @@ AUDIT_LINE = (
     "conversation struct<input:string,output:string,input_length:bigint,output_length:bigint>, "
     "metrics map<string,string>, extra struct<run_id:string,agent_id:string>"
 )
+TRACE_POSITION = ["ts", "tie", "row_id"]
 EVENT_FIELDS = ["input_tokens", "output_tokens", "total_tokens", "duration_ms"]
 
 
@@ -51,8 +52,8 @@ def trace_kind(message: Column) -> Column:
 
 
 def trace_order() -> Column:
-    """Order of traces: time, then a hash of the row, as traces have no id."""
-    return F.struct("ts", "tie")
+    """Order of traces: time, then a hash of the row, as traces have no id, then the stored row."""
+    return F.struct(*TRACE_POSITION)
 
 
 def route_traces(traces: DataFrame) -> DataFrame:
@@ -79,6 +80,7 @@ def route_traces(traces: DataFrame) -> DataFrame:
         .filter(kind != "other")
         .select(
             kind,
+            F.monotonically_increasing_id().alias("row_id"),
             parse_ts(F.col("TimeGenerated")).alias("ts"),
             "tie",
             text_or(F.col("TimeGenerated")).alias("time_text"),
@@ -137,15 +139,15 @@ def started_runs(runs: DataFrame) -> DataFrame:
 
 def user_message_runs(routed: DataFrame, runs: DataFrame, chunks: int | None = None) -> DataFrame:
     """User messages with the latest run of their thread that started no later, if any."""
-    messages = of_kind(routed, "user").filter(F.col("thread_id").isNotNull()).select("thread_id", "ts", "tie", "text")
+    messages = of_kind(routed, "user").filter(F.col("thread_id").isNotNull()).select("thread_id", *TRACE_POSITION, "text")
     targets = started_runs(runs).select("thread_id", "ts", "run_id", "run_order")
-    found = asof_backward(messages, targets, ["thread_id"], "ts", ["run_order"], "run", chunks)
-    return found.select("thread_id", "ts", "tie", "text", F.col("run.run_id").alias("run_id"))
+    found = asof_backward(messages, targets, ["thread_id"], "ts", ["tie", "row_id"], ["run_order", "run_id"], "run", chunks)
+    return found.select("thread_id", *TRACE_POSITION, "text", F.col("run.run_id").alias("run_id"))
 
 
 def assistant_messages(routed: DataFrame, runs: DataFrame) -> DataFrame:
     """Assistant messages of known runs."""
-    messages = of_kind(routed, "assistant").filter(F.col("run_id").isNotNull()).select("run_id", "ts", "tie", "text")
+    messages = of_kind(routed, "assistant").filter(F.col("run_id").isNotNull()).select("run_id", *TRACE_POSITION, "text")
     return lookup(messages, runs.select("run_id"), ["run_id"], "inner")
 
 
@@ -165,13 +167,13 @@ def completion_runs(routed: DataFrame, runs: DataFrame, chunks: int | None = Non
     only while that run is still the current one of its thread.
     """
     started = started_runs(runs)
-    by, order = ["thread_id"], ["ts", "run_order"]
+    by, order = ["thread_id"], ["ts", "run_order", "run_id"]
     ended = next_value(order_chunks(started, by, order, chunks), by, order, F.col("ts"), "next_ts")
     open_runs = ended.filter(F.col("total_tokens") == 0).select("ts", "run_id", "run_order", "next_ts")
     events = of_kind(routed, "completed").select(
-        "ts", "tie", "time_text", *EVENT_FIELDS, "status"
+        *TRACE_POSITION, "time_text", *EVENT_FIELDS, "status"
     )
-    found = asof_backward(events, open_runs, [], "ts", ["run_order"], "run", chunks)
+    found = asof_backward(events, open_runs, [], "ts", ["tie", "row_id"], ["run_order", "run_id"], "run", chunks)
     current = F.col("run.next_ts").isNull() | (F.col("ts") < F.col("run.next_ts"))
     return found.filter(F.col("run").isNotNull() & current).select(
         F.col("run.run_id").alias("run_id"), *events.columns
@@ -181,7 +183,7 @@ def completion_runs(routed: DataFrame, runs: DataFrame, chunks: int | None = Non
 def audit_runs(routed: DataFrame, runs: DataFrame) -> DataFrame:
     """Valid audit lines with their run: the one they name, else the first of their thread."""
     lines = routed.filter((F.col("kind") == "audit") & F.col("valid_audit")).select(
-        "audit_run", "audit_thread", "ts", "tie", "time_text", *EVENT_FIELDS, "status", "has_metrics",
+        "audit_run", "audit_thread", *TRACE_POSITION, "time_text", *EVENT_FIELDS, "status", "has_metrics",
         "agent_id", "input", "output", "audit",
     )
     named = runs.select(F.col("run_id").alias("audit_run"), F.lit(True).alias("run_known"))
@@ -223,8 +225,8 @@ def finish_runs(runs: DataFrame, events: DataFrame, inputs: DataFrame, outputs:
     order = trace_order()
     facts = (
         events.select("*", F.col("input").alias("in_text"), F.col("output").alias("out_text"), F.lit(True).alias("is_event"))
-        .unionByName(inputs.select("run_id", "ts", "tie", F.col("text").alias("in_text")), allowMissingColumns=True)
-        .unionByName(outputs.select("run_id", "ts", "tie", F.col("text").alias("out_text")), allowMissingColumns=True)
+        .unionByName(inputs.select("run_id", *TRACE_POSITION, F.col("text").alias("in_text")), allowMissingColumns=True)
+        .unionByName(outputs.select("run_id", *TRACE_POSITION, F.col("text").alias("out_text")), allowMissingColumns=True)
     )
     usage = F.struct(*EVENT_FIELDS)
     is_event, has_metrics = F.col("is_event"), F.col("is_event") & F.col("has_metrics")
@@ -266,7 +268,7 @@ def tool_message_fills(routed: DataFrame, tools: DataFrame, chunks: int | None =
     messages = (
         of_kind(routed, "tool")
         .filter(F.col("run_id").isNotNull() & non_empty(F.col("text")).isNotNull())
-        .select("run_id", "ts", "tie", "message_id", "text")
+        .select("run_id", *TRACE_POSITION, "message_id", "text")
     )
     filled = (
         tools.filter(F.col("output_full") != "")
@@ -276,7 +278,7 @@ def tool_message_fills(routed: DataFrame, tools: DataFrame, chunks: int | None =
     messages = lookup(messages, filled, ["run_id", "message_id"]).filter(F.col("is_filled").isNull()).drop("is_filled")
     empty = tools.filter(F.col("output_full") == "").select("run_id", "ts", "id", "row_id")
     by = ["run_id"]
-    tool_order, message_order = ["ts", "id", "row_id"], ["ts", "tie"]
+    tool_order, message_order = ["ts", "id", "row_id"], TRACE_POSITION
     tool_nth = row_numbers(order_chunks(empty, by, tool_order, chunks), by, tool_order, "nth")
     message_nth = row_numbers(order_chunks(messages, by, message_order, chunks), by, message_order, "nth")
     return tool_nth.select("run_id", "nth", "row_id").join(

@@ -9,6 +9,14 @@ from .spans import fill_over_trace, with_attributes
 CHAT = "POST /chat"
 
 
+def latest_first(rows: DataFrame) -> DataFrame:
+    """Rows by time, newest first. The row number of the scan ends the key, so that the sort can
+    cut apart any number of rows of one instant, copies too."""
+    return (
+        rows.withColumn("_row", F.monotonically_increasing_id()).orderBy(F.desc("timestamp"), "_row").drop("_row")
+    )
+
+
 def users_active(spans: DataFrame) -> DataFrame:
     """Chat requests per user; requests without a user are one group."""
     chats = with_attributes(spans.filter(F.col("name") == CHAT), ["user_id"])
@@ -17,7 +25,7 @@ def users_active(spans: DataFrame) -> DataFrame:
 
 def threads_summary(spans: DataFrame) -> DataFrame:
     """Interactions, tokens and last activity per conversation, latest first."""
-    rows = with_attributes(spans, ["thread_id", "tokens_total"]).filter(F.col("thread_id").isNotNull())
+    rows = with_attributes(spans, ["thread_id", "tokens_total"], required="thread_id")
     return (
         rows.groupBy("thread_id")
         .agg(
@@ -25,7 +33,7 @@ def threads_summary(spans: DataFrame) -> DataFrame:
             F.sum("tokens_total").alias("tokens_consumidos"),
             F.max("timestamp").alias("ultimo_mensaje"),
         )
-        .orderBy(F.desc("ultimo_mensaje"))
+        .orderBy(F.desc("ultimo_mensaje"), "thread_id")
     )
 
 
@@ -33,16 +41,16 @@ def interactions(spans: DataFrame) -> DataFrame:
     chats = with_attributes(
         spans.filter(F.col("name") == CHAT), ["user_id", "thread_id", "message_preview", "tokens_total"]
     )
-    return chats.select(
-        "timestamp", "user_id", "thread_id", "duration_ms", "message_preview", "tokens_total"
-    ).orderBy(F.desc("timestamp"))
+    return latest_first(
+        chats.select("timestamp", "user_id", "thread_id", "duration_ms", "message_preview", "tokens_total")
+    )
 
 
 def tool_calls(spans: DataFrame) -> DataFrame:
     tools = with_attributes(spans.filter(F.col("name").startswith("tool.")), ["tool_input", "tool_output"])
-    return tools.select(
-        "timestamp", "trace_id", "name", "duration_ms", "tool_input", "tool_output", "success"
-    ).orderBy(F.desc("timestamp"))
+    return latest_first(
+        tools.select("timestamp", "trace_id", "name", "duration_ms", "tool_input", "tool_output", "success")
+    )
 
 
 def audit_log(traces: DataFrame) -> DataFrame:
@@ -51,7 +59,7 @@ def audit_log(traces: DataFrame) -> DataFrame:
         "Message",
         "user_id string, conversation struct<input:string,output:string>, metrics struct<total_tokens:string>",
     )
-    return (
+    lines = (
         traces.filter(F.col("Message").contains("audit.business"))
         .select("TimeGenerated", "OperationId", line.alias("line"))
         .select(
@@ -62,8 +70,8 @@ def audit_log(traces: DataFrame) -> DataFrame:
             F.col("line.conversation.output").alias("output_completo"),
             F.col("line.metrics.total_tokens").alias("tokens"),
         )
-        .orderBy(F.desc("timestamp"))
     )
+    return latest_first(lines)
 
 
 def enriched_spans(spans: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import (
     attr,
+    explode_if,
     is_success,
     non_empty,
     parse_ts,
@@ -50,11 +51,14 @@ def last_by(value: Column, order: Column, where: Column) -> Column:
 
 def chat_requests(requests: DataFrame) -> DataFrame:
     """Chat requests that name a thread."""
-    bag = properties_struct(F.col("Properties"), ["user.id", "azure.thread_id", "azure.run_id"])
+    keys = ["user.id", "azure.thread_id", "azure.run_id"]
+    bag = explode_if(
+        properties_struct(F.col("Properties"), keys),
+        lambda found: non_empty(found.getField("azure.thread_id")).isNotNull(),
+    )
     return (
         requests.filter(F.col("Name").contains("/chat"))
         .select("TimeGenerated", "Id", "DurationMs", bag.alias("bag"))
-        .filter(non_empty(F.col("bag").getField("azure.thread_id")).isNotNull())
         .select(
             parse_ts(F.col("TimeGenerated")).alias("ts"),
             F.col("Id").alias("request_id"),

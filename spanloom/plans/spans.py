@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import parse_ts, properties_struct
+from ..functions.scalars import explode_if, parse_ts, properties_struct
 from ..operators.lookup import lookup
 
 # Property keys behind each span attribute, in order of preference.
@@ -46,15 +46,24 @@ def union_spans(requests: DataFrame, dependencies: DataFrame) -> DataFrame:
     return request_spans(requests).unionByName(dependency_spans(dependencies))
 
 
-def with_attributes(spans: DataFrame, only: list[str] | None = None) -> DataFrame:
-    """Add the attribute columns (all, or ``only`` some), reading ``Properties`` in one parse."""
+def with_attributes(spans: DataFrame, only: list[str] | None = None, required: str | None = None) -> DataFrame:
+    """Add the attribute columns (all, or ``only`` some), reading ``Properties`` in one parse.
+
+    With ``required``, spans without that attribute are left out, still in the same parse.
+    """
     wanted = {name: keys for name, keys in SPAN_ATTRIBUTES.items() if only is None or name in only}
-    parsed = spans.withColumn("_props", properties_struct(F.col("Properties"), sum(wanted.values(), [])))
+
+    def value(bag: Column, name: str) -> Column:
+        return F.coalesce(*[bag.getField(k) for k in wanted[name]])
+
+    bag = properties_struct(F.col("Properties"), sum(wanted.values(), []))
+    if required:
+        bag = explode_if(bag, lambda found: value(found, required).isNotNull())
     columns = []
-    for name, keys in wanted.items():
-        value = F.coalesce(*[F.col("_props").getField(k) for k in keys])
-        columns.append((value.try_cast("int") if name == "tokens_total" else value).alias(name))
-    return parsed.select(*spans.columns, *columns)
+    for name in wanted:
+        text = value(F.col("_props"), name)
+        columns.append((text.try_cast("int") if name == "tokens_total" else text).alias(name))
+    return spans.select(*spans.columns, bag.alias("_props")).select(*spans.columns, *columns)
 
 
 def build_spans(requests: DataFrame, dependencies: DataFrame) -> DataFrame:

@@ -45,11 +45,8 @@ def events_with_run(base: DataFrame) -> DataFrame:
 def conform(df: DataFrame, table: str) -> DataFrame:
     """All declared columns of a bronze table, as strings, in order; absent ones NULL."""
     present = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast("string").alias(f.name)
-            for f in bronze_schema(table)
-        ]
+    return df.selectExpr(
+        *[f"cast({f'`{c}`' if c in present else 'null'} as string) as `{c}`" for c in bronze_schema(table).names]
     )
 
 
