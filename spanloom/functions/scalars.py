@@ -57,7 +57,10 @@ def text_or(text: Column, default: str = "") -> Column:
 
 
 def properties_map(text: Column) -> Column:
-    """Property bag as a map; bad, empty or null JSON gives the empty map."""
+    """Property bag as a map; bad, empty or null JSON gives the empty map.
+
+    Of a repeated key ``attr`` reads the first value, as ``get_json_object`` does.
+    """
     empty = F.create_map().cast("map<string,string>")
     return F.coalesce(F.from_json(text, "map<string,string>"), empty)
 
@@ -65,7 +68,8 @@ def properties_map(text: Column) -> Column:
 def properties_struct(text: Column, keys: Iterable[str]) -> Column:
     """Only the named top-level keys of a property bag, as a struct of strings, in one parse.
 
-    Dots in a key are part of its name; read a field with ``getField``.
+    Dots in a key are part of its name; read a field with ``getField``. Of a repeated key the
+    last value is taken, as JSON objects are commonly read.
     """
     return F.from_json(text, T.StructType([T.StructField(k, T.StringType()) for k in keys]))
 
@@ -83,6 +87,12 @@ def attr(bag: Column, key: str) -> Column:
     return F.try_element_at(bag, F.lit(key))
 
 
+def has_null(text: Column, key: str) -> Column:
+    """Whether a property bag names ``key`` with the value null (escaped inner text does not count)."""
+    name = key.replace(".", r"\.")
+    return F.coalesce(text.rlike(rf'(?<!\\)"{name}"\s*:\s*null'), F.lit(False))
+
+
 def nested_map(bag: Column, key: str) -> Column:
     """A JSON object kept as text inside a property, parsed to a map."""
     return properties_map(attr(bag, key))

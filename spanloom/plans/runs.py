@@ -12,12 +12,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import (
-    attr,
     explode_if,
+    has_null,
     is_success,
     non_empty,
     parse_ts,
-    properties_map,
     properties_struct,
     safe_double,
     safe_long,
@@ -38,6 +37,15 @@ RUN_TEXT_KEYS = {
 }
 
 
+# Property keys of a dependency.
+DEPENDENCY_KEYS = [
+    *RUN_TEXT_KEYS.values(), *TOKEN_KEYS.values(),
+    "gen_ai.thread.run.id", "gen_ai.thread.id", "gen_ai.operation.name",
+    "tool.name", "tool.kind", "tool.description", "tool.input_full", "tool.arguments", "tool.output_full",
+    "tool.call_type", "tool.function", "tool.result",
+]
+
+
 def first_by(value: Column, order: Column, where: Column) -> Column:
     return F.min_by(value, F.when(where, order))
 
@@ -113,29 +121,34 @@ def parse_dependencies(dependencies: DataFrame) -> DataFrame:
 
     ``row_id`` tells apart rows that share time and id; it is only stable once staged.
     """
-    bag = F.col("bag")
+    bag = lambda key: F.col("bag").getField(key)
     name = text_or(F.col("Name"))
-    named = attr(bag, "tool.name")
-    is_tool = name.startswith("tool.") | name.startswith("search.") | F.map_contains_key(bag, F.lit("tool.name"))
+    named = bag("tool.name")
+    is_tool = (
+        name.startswith("tool.")
+        | name.startswith("search.")
+        | named.isNotNull()
+        | has_null(F.col("Properties"), "tool.name")
+    )
     tool_name = F.coalesce(
         non_empty(named), F.when(name.startswith("tool."), F.substring(name, 6, 2147483647)), name
     )
     tool = F.struct(
         tool_name.alias("tool_name"),
-        text_or(attr(bag, "tool.kind"), "function").alias("tool_type"),
-        text_or(attr(bag, "tool.description")).alias("tool_description"),
-        text_or(F.coalesce(non_empty(attr(bag, "tool.input_full")), attr(bag, "tool.arguments"))).alias("input_full"),
-        text_or(attr(bag, "tool.output_full")).alias("output_full"),
+        text_or(bag("tool.kind"), "function").alias("tool_type"),
+        text_or(bag("tool.description")).alias("tool_description"),
+        text_or(F.coalesce(non_empty(bag("tool.input_full")), bag("tool.arguments"))).alias("input_full"),
+        text_or(bag("tool.output_full")).alias("output_full"),
         F.when(is_success(F.col("Success")), F.lit("completed")).otherwise(F.lit("failed")).alias("status"),
-        text_or(attr(bag, "tool.call_type")).alias("call_type"),
-        text_or(attr(bag, "tool.function")).alias("tool_function"),
-        text_or(attr(bag, "tool.result")).alias("tool_result"),
+        text_or(bag("tool.call_type")).alias("call_type"),
+        text_or(bag("tool.function")).alias("tool_function"),
+        text_or(bag("tool.result")).alias("tool_result"),
     )
     texts = {**RUN_TEXT_KEYS, **TOKEN_KEYS}
     return (
         dependencies.select(
-            "TimeGenerated", "Id", "Name", "OperationId", "DurationMs", "Success",
-            properties_map(F.col("Properties")).alias("bag"),
+            "TimeGenerated", "Id", "Name", "OperationId", "DurationMs", "Success", "Properties",
+            properties_struct(F.col("Properties"), DEPENDENCY_KEYS).alias("bag"),
         )
         .select(
             F.monotonically_increasing_id().alias("row_id"),
@@ -144,12 +157,12 @@ def parse_dependencies(dependencies: DataFrame) -> DataFrame:
             text_or(F.col("TimeGenerated")).alias("start_time"),
             non_empty(F.col("OperationId")).alias("operation_id"),
             safe_double(F.col("DurationMs")).alias("duration_ms"),
-            non_empty(attr(bag, "gen_ai.thread.run.id")).alias("own_run"),
-            non_empty(attr(bag, "gen_ai.thread.id")).alias("thread_id"),
-            text_or(attr(bag, "gen_ai.operation.name")).alias("operation_name"),
-            *[non_empty(attr(bag, key)).alias(c) for c, key in texts.items()],
+            non_empty(bag("gen_ai.thread.run.id")).alias("own_run"),
+            non_empty(bag("gen_ai.thread.id")).alias("thread_id"),
+            text_or(bag("gen_ai.operation.name")).alias("operation_name"),
+            *[non_empty(bag(key)).alias(c) for c, key in texts.items()],
             # '' and missing differ for the status of a step
-            attr(bag, "gen_ai.thread.run.status").alias("raw_status"),
+            bag("gen_ai.thread.run.status").alias("raw_status"),
             F.when(is_tool, tool).alias("tool"),
         )
     )

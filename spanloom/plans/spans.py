@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import explode_if, parse_ts, properties_struct
+from ..functions.scalars import attr, explode_if, parse_ts, properties_map
 from ..operators.lookup import lookup
 
 # Property keys behind each span attribute, in order of preference.
@@ -54,9 +54,9 @@ def with_attributes(spans: DataFrame, only: list[str] | None = None, required: s
     wanted = {name: keys for name, keys in SPAN_ATTRIBUTES.items() if only is None or name in only}
 
     def value(bag: Column, name: str) -> Column:
-        return F.coalesce(*[bag.getField(k) for k in wanted[name]])
+        return F.coalesce(*[attr(bag, k) for k in wanted[name]])
 
-    bag = properties_struct(F.col("Properties"), sum(wanted.values(), []))
+    bag = properties_map(F.col("Properties"))
     if required:
         bag = explode_if(bag, lambda found: value(found, required).isNotNull())
     columns = []

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,23 +20,40 @@ def create_bronze(spark: SparkSession, schema: str, fmt: str = "parquet", locati
         spark.sql(bronze_ddl(table, f"{schema}.{table}", fmt, place))
 
 
+@contextmanager
+def _partition_mode(spark: SparkSession, mode: str) -> Iterator[None]:
+    """``insertInto`` takes its partition overwrite mode from the session; put the old one back."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _insert_overwrite(df: DataFrame, table: str, mode: str) -> None:
+    with _partition_mode(df.sparkSession, mode):
+        df.write.mode("overwrite").insertInto(table)
+
+
 def overwrite_bronze(df: DataFrame, table: str | None = None, path: str | None = None, fmt: str = "parquet") -> None:
-    """Replace a whole table, partitioned by date.
+    """Replace all rows of a table, or of a folder, partitioned by date.
 
-    The rebalance hint sizes files by bytes: a small date becomes one file, and a date with a
-    large share of the rows is split over as many tasks as it needs.
+    A table that exists keeps its definition and place. The rebalance hint sizes files by bytes:
+    a small date becomes one file, and a date with a large share of the rows is split over as
+    many tasks as it needs.
     """
+    spark = df.sparkSession
     sized = df.hint("rebalance", PARTITION_COLUMN)
-    writer = (
-        sized.write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(PARTITION_COLUMN)
-    )
+    if table and spark.catalog.tableExists(table):
+        _insert_overwrite(sized.select(spark.table(table).columns), table, "static")
+        return
+    writer = sized.write.format(fmt).mode("overwrite").partitionBy(PARTITION_COLUMN)
     if table:
         (writer.option("path", path) if path else writer).saveAsTable(table)
     else:
-        writer.save(path)
+        writer.option("partitionOverwriteMode", "static").save(path)
 
 
 def retained(df: DataFrame, cutoff: str) -> DataFrame:
@@ -44,11 +62,20 @@ def retained(df: DataFrame, cutoff: str) -> DataFrame:
     return df.filter(at.isNull() | (at >= parse_ts(F.lit(cutoff))))
 
 
+def _empty_partition(spark: SparkSession, table: str, columns: list[str], day: str | None) -> None:
+    """Delete one partition: its files first, which a mere drop would leave in an external table."""
+    spec = "null" if day is None else "'" + day.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    nothing = ", ".join("null" for c in columns if c != PARTITION_COLUMN)
+    with _partition_mode(spark, "static"):
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({PARTITION_COLUMN}={spec}) SELECT {nothing} WHERE false")
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION_COLUMN}={spec})")
+
+
 def purge(spark: SparkSession, tables: Iterable[str], cutoff: str, fmt: str = "parquet") -> None:
     """Delete rows older than ``cutoff`` from catalog tables.
 
     Only the dates that hold such rows are rewritten, from a staged copy of what they keep;
-    dates that keep nothing are dropped. The list of dates is bounded by the calendar. A run
+    dates that keep nothing are emptied. The list of dates is bounded by the calendar. A run
     that breaks off can be repeated.
     """
     for table in tables:
@@ -68,9 +95,8 @@ def purge(spark: SparkSession, tables: Iterable[str], cutoff: str, fmt: str = "p
         kept = stage(retained(rows.filter(touched), cutoff), "retained")
         full = {r[0] for r in kept.select(PARTITION_COLUMN).distinct().collect()}
         if full:
-            kept.select(rows.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+            _insert_overwrite(kept.select(rows.columns).hint("rebalance", PARTITION_COLUMN), table, "dynamic")
         for day in days:
             if day not in full:
-                spec = "null" if day is None else f"'{day}'"
-                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION_COLUMN}={spec})")
+                _empty_partition(spark, table, rows.columns, day)
         spark.catalog.refreshTable(table)
