@@ -8,8 +8,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import scalars as C
-from .operators.staging import stage_path
+from .operators.staging import stage, stage_path
 from .plans import analysis as A, hierarchy as H, messages as M, reports as R, runs as U, silver as V, spans as S, tools as X
+from .schemas import PARTITION_COLUMN
 from .sinks.bronze import overwrite_bronze, retained
 from .sources import telemetry as T
 from .sources.export import read_export, with_partition_date
@@ -30,6 +31,12 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def stage_bronze(self) -> None:
+        """Write the derived bronze tables once, as a loader would, and read them from there on."""
+        for name, df in self.bronze.items():
+            setattr(self, name.removeprefix("app_"), stage(df, name, [PARTITION_COLUMN]))
+        del self.bronze
+
     @cached_property
     def base(self) -> DataFrame:
         return T.base_events(self.spark, self.sf_dir)
