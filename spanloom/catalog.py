@@ -380,7 +380,8 @@ def audit_assign(w: Workspace) -> DataFrame:
 @query
 def run_events(w: Workspace) -> DataFrame:
     runs = w.skeleton.runs
-    kept = M.run_events(M.completion_runs(w.routed, runs), M.audit_runs(w.routed, runs))
+    events = M.all_events(M.completion_runs(w.routed, runs), M.audit_runs(w.routed, runs))
+    kept = M.drop_late_completions(events)
     return kept.select("run_id", micros("ts"), "is_completion", "total_tokens", "status", "agent_id")
 
 

@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -44,3 +47,13 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def together(*builders: Callable[[], object]) -> list:
+    """Results of independent builders whose stages are written at the same time.
+
+    Spark runs jobs of several threads side by side, so the last tasks of one stage do not leave
+    the cluster idle.
+    """
+    with ThreadPoolExecutor(len(builders)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(b)) for b in builders]]

@@ -68,7 +68,7 @@ def extraction_counters(skeleton: Skeleton, routed: DataFrame) -> DataFrame:
     inputs = M.user_message_runs(routed, runs).filter(F.col("run_id").isNotNull())
     outputs = M.assistant_messages(routed, runs)
     audits = M.audit_runs(routed, runs)
-    events = M.run_events(M.completion_runs(routed, runs), audits)
+    events = M.drop_late_completions(M.all_events(M.completion_runs(routed, runs), audits))
     audit_text = lambda c: audits.select("run_id", *M.TRACE_POSITION, F.col(c).alias("text"))
     taken = _taken(inputs, audit_text("input")).unionByName(_taken(outputs, audit_text("output")))
 

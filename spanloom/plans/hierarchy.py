@@ -39,7 +39,8 @@ def place_levels(silver: Silver, runs_by_start: bool = False) -> Levels:
     users = silver.users.withColumn("user_at", F.struct("user_order", "user_id"))
     threads = silver.threads.withColumn("thread_at", F.struct("thread_order", "thread_id"))
     runs = reachable(silver.runs).withColumn("run_at", F.struct(*start, "run_order", "run_id"))
-    tools = silver.tools.withColumn("tool_at", F.struct("ts", "id", "row_id"))
+    steps = reachable(silver.steps)
+    tools = reachable(silver.tools).withColumn("tool_at", F.struct("ts", "id", "row_id"))
 
     def first(children: DataFrame, parent: str, at: str) -> DataFrame:
         return children.groupBy(parent).agg(F.min(at).alias(f"first_{at}"))
@@ -54,11 +55,11 @@ def place_levels(silver: Silver, runs_by_start: bool = False) -> Levels:
     )
     runs = lookup(runs, thread_path, ["thread_id"], "inner")
     run_path = (
-        runs.join(first(silver.steps, "run_id", "step_at"), "run_id", "left")
+        runs.join(first(steps, "run_id", "step_at"), "run_id", "left")
         .join(first(tools, "run_id", "tool_at"), "run_id", "left")
         .select("user_id", "user_at", "thread_id", "thread_at", "run_id", "run_at", "first_step_at", "first_tool_at")
     )
-    steps = lookup(silver.steps, run_path.drop("first_tool_at"), ["run_id"], "inner")
+    steps = lookup(steps, run_path.drop("first_tool_at"), ["run_id"], "inner")
     tools = lookup(tools, run_path.drop("first_step_at"), ["run_id"], "inner")
 
     def is_first(at: str) -> Column:

@@ -16,7 +16,7 @@ from ..functions.scalars import (
 )
 from ..operators.lookup import lookup
 from ..operators.ordered import asof_backward, next_value, order_chunks, row_numbers
-from ..operators.staging import stage
+from ..operators.staging import stage, together
 from .runs import first_by, last_by
 
 # Exact messages and the audit marker, in routing order.
@@ -199,15 +199,19 @@ def audit_runs(routed: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
-def run_events(completions: DataFrame, audits: DataFrame) -> DataFrame:
-    """Events that count, of both sorts.
+def all_events(completions: DataFrame, audits: DataFrame) -> DataFrame:
+    """Completions and audit lines, with their runs, in one table."""
+    return completions.withColumns({"is_completion": F.lit(True), "has_metrics": F.lit(True)}).unionByName(
+        audits.withColumn("is_completion", F.lit(False)), allowMissingColumns=True
+    )
+
+
+def drop_late_completions(events: DataFrame) -> DataFrame:
+    """Events that count.
 
     A completion counts only while its run has no tokens: one that comes after an event of the
     same run with tokens is dropped. Audit lines always count.
     """
-    events = completions.withColumns(
-        {"is_completion": F.lit(True), "has_metrics": F.lit(True)}
-    ).unionByName(audits.withColumn("is_completion", F.lit(False)), allowMissingColumns=True)
     filled = (
         events.filter(F.col("has_metrics") & (F.col("total_tokens") != 0))
         .groupBy("run_id")
@@ -275,12 +279,16 @@ def tool_message_fills(routed: DataFrame, tools: DataFrame, chunks: int | None =
         .groupBy("run_id", F.col("tool_id").alias("message_id"))
         .agg(F.lit(True).alias("is_filled"))
     )
-    messages = lookup(messages, filled, ["run_id", "message_id"]).filter(F.col("is_filled").isNull()).drop("is_filled")
-    empty = tools.filter(F.col("output_full") == "").select("run_id", "ts", "id", "row_id")
+    open_messages = lookup(messages, filled, ["run_id", "message_id"]).filter(F.col("is_filled").isNull()).drop("is_filled")
+    empty_tools = tools.filter(F.col("output_full") == "").select("run_id", "ts", "id", "row_id")
     by = ["run_id"]
     tool_order, message_order = ["ts", "id", "row_id"], TRACE_POSITION
-    tool_nth = row_numbers(order_chunks(empty, by, tool_order, chunks), by, tool_order, "nth")
-    message_nth = row_numbers(order_chunks(messages, by, message_order, chunks), by, message_order, "nth")
+    empty, messages = together(
+        lambda: order_chunks(empty_tools, by, tool_order, chunks),
+        lambda: order_chunks(open_messages, by, message_order, chunks),
+    )
+    tool_nth = row_numbers(empty, by, tool_order, "nth")
+    message_nth = row_numbers(messages, by, message_order, "nth")
     return tool_nth.select("run_id", "nth", "row_id").join(
         message_nth.select("run_id", "nth", F.col("text").alias("fill")), ["run_id", "nth"]
     )

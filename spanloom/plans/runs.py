@@ -23,7 +23,7 @@ from ..functions.scalars import (
     text_or,
 )
 from ..operators.lookup import lookup
-from ..operators.staging import stage
+from ..operators.staging import stage, together
 
 TOKEN_KEYS = {
     "input_tokens": "gen_ai.usage.input_tokens",
@@ -281,8 +281,10 @@ class Skeleton(NamedTuple):
 
 def build_skeleton(requests: DataFrame, dependencies: DataFrame) -> Skeleton:
     """Parse both tables once, resolve dependencies and stage what later steps read again."""
-    chat = stage(chat_requests(requests), "chat")
-    deps = stage(parse_dependencies(dependencies), "dependencies")
+    chat, deps = together(
+        lambda: stage(chat_requests(requests), "chat"),
+        lambda: stage(parse_dependencies(dependencies), "dependencies"),
+    )
     request_runs = run_first(chat)
     resolved = stage(
         resolve_dependencies(deps, operation_runs(deps), thread_first_runs(request_runs, deps)), "resolved"

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import iso_utc, millis_between, text_or
 from ..operators.lookup import lookup
-from ..operators.staging import stage
-from ..schemas import SILVER_SCHEMAS, silver_columns
+from ..operators.staging import stage, together
+from ..schemas import silver_columns
 from . import messages as M
 from .runs import Skeleton, all_users, build_skeleton
 from .tools import attach_tools, extract_steps, extract_tools
@@ -23,10 +23,16 @@ TOTALS = {
 
 def build_runs(skeleton: Skeleton, routed: DataFrame) -> DataFrame:
     """Final runs, those without a known thread included."""
-    inputs = M.user_message_runs(routed, skeleton.runs).filter(F.col("run_id").isNotNull())
-    outputs = M.assistant_messages(routed, skeleton.runs)
-    events = M.run_events(M.completion_runs(routed, skeleton.runs), M.audit_runs(routed, skeleton.runs))
-    return M.finish_runs(skeleton.runs, events, inputs, outputs)
+    runs = skeleton.runs
+
+    def settled() -> DataFrame:
+        # read twice: to find when each run got its tokens, and to settle the runs
+        events = M.all_events(M.completion_runs(routed, runs), M.audit_runs(routed, runs))
+        return M.drop_late_completions(stage(events, "run-events"))
+
+    asked, events = together(lambda: M.user_message_runs(routed, runs), settled)
+    inputs = asked.filter(F.col("run_id").isNotNull())
+    return M.finish_runs(runs, events, inputs, M.assistant_messages(routed, runs))
 
 
 def reachable(runs: DataFrame) -> DataFrame:
@@ -72,7 +78,7 @@ def user_rollup(threads: DataFrame, users: DataFrame) -> DataFrame:
 class Silver(NamedTuple):
     """The five levels with their order and parent columns; ``tables`` gives the plain outputs.
 
-    ``runs``, ``steps`` and ``tools`` still hold what hangs under no known thread.
+    ``runs``, ``steps`` and ``tools`` are staged, and still hold what hangs under no known thread.
     """
 
     users: DataFrame
@@ -81,15 +87,11 @@ class Silver(NamedTuple):
     steps: DataFrame
     tools: DataFrame
 
-    def under_known_threads(self, rows: DataFrame) -> DataFrame:
-        known = reachable(self.runs).select("run_id")
-        return lookup(rows, known, ["run_id"], "inner")
-
     def tables(self) -> dict[str, DataFrame]:
         """Users, threads, runs, run_steps and tools in their declared schemas, even when empty."""
         zero = F.lit(0).cast("bigint")
         nothing = F.lit("").alias("end_time")
-        steps = self.under_known_threads(self.steps).select(
+        steps = reachable(self.steps).select(
             "*", nothing, *[zero.alias(c) for c in ("input_tokens", "output_tokens", "total_tokens")]
         )
         frames = {
@@ -97,22 +99,30 @@ class Silver(NamedTuple):
             "threads": self.threads,
             "runs": reachable(self.runs),
             "run_steps": steps,
-            "tools": self.under_known_threads(self.tools).select("*", nothing),
+            "tools": reachable(self.tools).select("*", nothing),
         }
         return {name: df.select(*silver_columns(name)) for name, df in frames.items()}
 
 
 def build_silver(requests: DataFrame, dependencies: DataFrame, traces: DataFrame) -> Silver:
-    """Whole model. Raw tables are parsed once; runs are staged, as every level above reads them."""
-    skeleton = build_skeleton(requests, dependencies)
-    routed = M.stage_traces(traces)
-    runs = stage(build_runs(skeleton, routed), "runs")
+    """Whole model. Raw tables are parsed once; what several levels read again is staged."""
+    skeleton, routed = together(
+        lambda: build_skeleton(requests, dependencies), lambda: M.stage_traces(traces)
+    )
     found = extract_tools(skeleton.resolved)
-    steps, tools = attach_tools(extract_steps(skeleton.resolved), found)
-    tools = M.fill_tools(tools, M.tool_message_fills(routed, found))
+    hosted = attach_tools(extract_steps(skeleton.resolved), found)
+    known = skeleton.runs.select("run_id", "known_thread")
+
+    def filled_tools() -> DataFrame:
+        fills = M.tool_message_fills(routed, found)
+        return stage(M.fill_tools(lookup(hosted.tools, known, ["run_id"]), fills), "tools")
+
+    runs, steps, tools = together(
+        lambda: stage(build_runs(skeleton, routed), "runs"),
+        lambda: stage(lookup(hosted.steps, known, ["run_id"]), "run-steps"),
+        filled_tools,
+    )
     threads = thread_rollup(runs, skeleton.owners)
     users = user_rollup(threads, all_users(skeleton.chat))
     return Silver(users, threads, runs, steps, tools)
 
-
-__all__ = ["Silver", "build_silver", "build_runs", "thread_rollup", "user_rollup", "reachable", "SILVER_SCHEMAS"]
