@@ -55,5 +55,6 @@ def together(*builders: Callable[[], object]) -> list:
     Spark runs jobs of several threads side by side, so the last tasks of one stage do not leave
     the cluster idle.
     """
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(len(builders)) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(b)) for b in builders]]
+        return [f.result() for f in [pool.submit(inherit(b)) for b in builders]]

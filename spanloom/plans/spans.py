@@ -78,7 +78,14 @@ def fill_over_trace(spans: DataFrame, columns: tuple[str, ...] = ("user_id", "th
     group, like any other trace.
     """
     position = F.struct("timestamp", "span_id")
-    firsts = spans.groupBy("trace_id").agg(
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), position)).alias(f"{c}_filled") for c in columns]
+    # only spans with a value take part; a trace without any gets NULL from the lookup
+    values = explode_if(
+        F.struct(*columns), lambda found: F.coalesce(*[found.getField(c) for c in columns]).isNotNull()
+    )
+    firsts = (
+        spans.select("trace_id", "timestamp", "span_id", values.alias("_values"))
+        .select("trace_id", "timestamp", "span_id", "_values.*")
+        .groupBy("trace_id")
+        .agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), position)).alias(f"{c}_filled") for c in columns])
     )
     return lookup(spans, firsts, ["trace_id"], null_safe=True)

@@ -23,7 +23,7 @@ def _key(value):
     if value is None:
         return "\0"
     if isinstance(value, float):
-        return repr(round(value, 4))
+        return repr(value)
     return str(value)
 
 
