@@ -243,7 +243,7 @@ def safe_numeric(w: Workspace) -> DataFrame:
     as_double = C.safe_double(number)
     return _odd_texts(w).select(
         "event_id",
-        F.when(F.isnan(as_double), F.lit("nan")).otherwise(F.round(as_double, 4).cast("string")).alias("as_double"),
+        F.when(F.isnan(as_double), F.lit("nan")).otherwise(as_double.cast("string")).alias("as_double"),
         C.safe_long(number).alias("as_long"),
     )
 

@@ -207,16 +207,20 @@ def _dependency_order(first: Column) -> Column:
 
 
 def resolve_dependencies(deps: DataFrame, by_operation: DataFrame, by_thread: DataFrame) -> DataFrame:
-    """Give each dependency its run: its own, its operation's, its thread's; drop it otherwise."""
-    rows = lookup(deps, by_operation, ["operation_id"])
-    rows = lookup(rows, by_thread, ["thread_id"])
-    run = F.coalesce("own_run", "operation_run", "thread_run")
-    via = (
-        F.when(F.col("own_run").isNotNull(), F.lit("own"))
-        .when(F.col("operation_run").isNotNull(), F.lit("operation"))
-        .otherwise(F.lit("thread"))
+    """Give each dependency its run: its own, its operation's, its thread's; drop it otherwise.
+
+    Rows that name their run, as most do, pass without a shuffle; only the others are looked up.
+    """
+    own = deps.filter(F.col("own_run").isNotNull()).withColumns({"run_id": F.col("own_run"), "via": F.lit("own")})
+    others = deps.filter(
+        F.col("own_run").isNull() & (F.col("operation_id").isNotNull() | F.col("thread_id").isNotNull())
     )
-    return rows.select(*deps.columns, run.alias("run_id"), via.alias("via")).filter(F.col("run_id").isNotNull())
+    found = lookup(lookup(others, by_operation, ["operation_id"]), by_thread, ["thread_id"])
+    via = F.when(F.col("operation_run").isNotNull(), F.lit("operation")).otherwise(F.lit("thread"))
+    looked_up = found.select(
+        *deps.columns, F.coalesce("operation_run", "thread_run").alias("run_id"), via.alias("via")
+    ).filter(F.col("run_id").isNotNull())
+    return own.unionByName(looked_up)
 
 
 # --- runs -------------------------------------------------------------------------------------
