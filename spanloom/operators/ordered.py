@@ -92,13 +92,11 @@ def asof_backward(
     With ``by`` empty the whole table is one ordered line. ``ts`` and the ties order each side
     totally.
     """
-    events = left.select(
-        *by, ts, F.lit(1).alias("_side"), F.struct(*left_tie).alias("_left_tie"), F.struct(*left.columns).alias("_left")
-    )
+    events = left.select(*by, ts, F.lit(1).alias("_side"), F.struct(*left.columns).alias("_left"))
     targets = right.filter(F.col(ts).isNotNull()).select(
-        *by, ts, F.lit(0).alias("_side"), F.struct(*right_tie).alias("_right_tie"), F.struct(*right.columns).alias("_right")
+        *by, ts, F.lit(0).alias("_side"), F.struct(*right.columns).alias("_right")
     )
     line = targets.unionByName(events, allowMissingColumns=True)
-    order = [ts, "_side", "_right_tie", "_left_tie"]
+    order = [ts, "_side", *[f"_right.{c}" for c in right_tie], *[f"_left.{c}" for c in left_tie]]
     filled = running_last(order_chunks(line, by, order, chunks), by, order, F.col("_right"), out)
     return filled.filter(F.col("_side") == 1).select("_left.*", out)
