@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, sharding
-from .common import table
+from . import chat, classify, lines, mixing, sharding
+from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -18,12 +18,100 @@ def query(plan):
     return plan
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return classify.score_quality(docs, classify.fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix of all documents takes from each."""
     return mixing.Mix(table(spark, sf_dir, "documents")).taken().select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose turns hold marks of common templates, formatted and read back."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return chat.digest(chat.format_conversations(given.unionByName(marked)))
+
+
+ORACLE_SQL["op3_chat"] = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all
+  select -1, turn, case turn when 0 then 'user' else 'assistant' end, '</s>[INST] ok [/INST]' from range(2) r(turn)
+), measured as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as n,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 as tokens,
+    3 + length(role) + length(role) - length(replace(replace(role, '\', ''), chr(10), ''))
+      + len(regexp_extract_all(role, '</?s>')) + 1 + length(text) + len(regexp_extract_all(text, '</?s>')) + 5 as chars
+  from turns
+), placed as (
+  select *, sum(tokens) over (partition by conv_id order by n) - tokens as start_token,
+    sum(tokens) over (partition by conv_id) as all_tokens from measured
+), windowed as (
+  select *, start_token // 384 as win, max(start_token + tokens) over (partition by conv_id, start_token // 384) as end_token from placed
+), per_conv as (
+  select conv_id, count(*)::bigint as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by n)) as turns_sha256,
+    coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by n) filter (role = 'assistant'), '')) as loss_sha256,
+    sum(chars) as new_chars,
+    coalesce(sum(chars) filter (end_token - start_token <= 128 and end_token // 384 > win and end_token < all_tokens
+      and not (n = 1 and role = 'system')), 0) as repeated_chars,
+    coalesce(sum(chars) filter (n = 1 and role = 'system'), 0) * (count(distinct win) - 1) as system_chars
+  from windowed group by conv_id
+)
+select conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, (new_chars + repeated_chars + system_chars)::bigint as formatted_chars
+from per_conv
+"""
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = classify.identify_language(docs.select("doc_id", "text"), classify.fit_language(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages without the lines that more than the set share of their host's pages hold."""
+    kept = lines.drop_boilerplate(table(spark, sf_dir, "pages"))
+    return kept.select("page_id", "host", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op7_lines"] = rf"""
+with lined as (
+  select page_id, row_number() over () as row_id, lower(coalesce(regexp_extract(url, '{lines.HOST}', 1), '')) as host,
+    list_filter(list_transform(regexp_split_to_array(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+      '{lines.INVISIBLE}', '', 'g'), '{lines.BLOCK_TAG}', chr(10), 'g'), '{lines.OTHER_TAG}', '', 'g'), '[\r\n]+'),
+      lambda x: trim(x, ' ' || chr(9) || chr(11) || chr(12))), lambda x: x <> '') as lines
+  from pages
+), totals as (select host, count(*) as pages from lined group by host
+), seen as (
+  select host, line, count(*) as pages_with from (select host, unnest(list_distinct(lines)) as line from lined) group by host, line
+), frequent as (
+  select host, list(line) as dropped from seen join totals using (host)
+  where pages_with > {lines.RATIO} * pages and pages_with >= {lines.MIN_PAGES} group by host
+), kept as (
+  select page_id, host, lines, list_filter(lines, lambda x: not list_contains(coalesce(dropped, []), x)) as kept
+  from lined left join frequent using (host)
+)
+select page_id, host, len(lines)::bigint as n_lines, (len(lines) - len(kept))::bigint as n_removed,
+  sha256(coalesce(array_to_string(kept, chr(10)), '')) as kept_sha256
+from kept
+"""
+
+
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of equal row counts."""
