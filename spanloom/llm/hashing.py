@@ -127,7 +127,8 @@ def shingles(hashes: np.ndarray, firsts: np.ndarray, n: int) -> tuple[np.ndarray
     out[long_rows] = whole[at[long_rows]]
     for row in short:
         run = hashes[firsts[row] : firsts[row + 1]]
-        out[out_first[row]] = (run * _STEPS[: len(run)]).sum(dtype=np.uint64) + np.uint64(len(run)) * _STEPS[32]
+        length = np.array([len(run)], np.uint64)
+        out[out_first[row]] = ((run * _STEPS[: len(run)]).sum(dtype=np.uint64, keepdims=True) + length * _STEPS[32:33])[0]
     return mix(out), out_first
 
 

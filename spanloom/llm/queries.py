@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, classify, lines, mixing, sharding
+from . import chat, classify, jaccard, lines, mixing, sharding, suffixes
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,7 +112,19 @@ from kept
 """
 
 
+@query
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under links of 85 hundredths of their four-word shingles."""
+    return jaccard.jaccard_classes(table(spark, sf_dir, "documents"), 4, 85)
+
+
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of equal row counts."""
     return sharding.digest(sharding.shard_rows(table(spark, sf_dir, "documents"), 16))
+
+
+@query
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without strings of 50 bytes that an earlier one holds."""
+    return suffixes.digest(suffixes.remove_repeats(table(spark, sf_dir, "documents")))
