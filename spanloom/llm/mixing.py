@@ -117,12 +117,13 @@ class Mix:
 
     def manifest(self) -> DataFrame:
         """What stands in every output slot: the pieces of documents of its block, in order of ``copy``, ``first_word``."""
-        return self.slots.join(self.pieces, ["ordinal", "block"])
+        return self.slots.join(self.pieces.hint("merge"), ["ordinal", "block"])
 
     def taken(self) -> DataFrame:
         """One row per row of the input: words the mix takes from it, repeats counted."""
         uses = self.slots.groupBy("ordinal", "block").agg(F.count(F.lit(1)).alias("_uses"))
-        drawn = self.pieces.join(uses, ["ordinal", "block"], "left")
+        # Sizes are estimated from before the expansion of ranges, so the planner must not choose a broadcast.
+        drawn = self.pieces.join(uses.hint("merge"), ["ordinal", "block"], "left")
         sums = drawn.groupBy("doc_id", "source", "size", "copy").agg(F.sum(F.col("piece") * F.coalesce("_uses", F.lit(0))).alias("taken"))
         empty = explode_range(self.docs.filter(F.col("size") == 0), "copies", "copy", self.partitions).select(
             "doc_id", "source", "size", "copy", F.lit(0).cast("long").alias("taken")
