@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, classify, jaccard, lines, mixing, sharding, suffixes
+from . import chat, classify, jaccard, lines, mixing, neighbours, sharding, suffixes
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +82,12 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all vectors to every twentieth one."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages without the lines that more than the set share of their host's pages hold."""
