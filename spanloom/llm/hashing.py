@@ -82,12 +82,12 @@ def text_slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int
         low = high
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of all texts of a slice, and the number of the first word of each text (and the end)."""
     if not len(data):
         empty = np.empty(0, np.int64)
         return empty, empty, np.zeros(len(bounds), np.int64)
-    solid = ~BLANK[data]
+    solid = ~between[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     last = solid.copy()

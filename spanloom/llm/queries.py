@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, classify, jaccard, lines, mixing, neighbours, sharding, suffixes
+from . import chat, classify, contamination, jaccard, lines, mixing, neighbours, sharding, suffixes
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,12 @@ from per_conv
 """
 
 
+@query
+def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of all documents that copy or edit a benchmark item."""
+    return contamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
