@@ -273,8 +273,13 @@ def jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that are the first of their component; one of equal rows, and every row that links with nothing."""
-    classes = jaccard_classes(docs, n, percent).groupBy("doc_id").agg(F.min("component_id").alias("_component"))
+    """The rows of ``docs`` that are the first of their component, and every row that links with nothing.
+
+    Of rows that are equal in all columns one stays. Rows without ``doc_id`` stay.
+    """
+    classes = jaccard_classes(docs, n, percent).groupBy("doc_id").agg(F.min("component_id").alias("_component"), F.count(F.lit(1)).alias("_times"))
+    classes = stage(classes, "components")
     keyed = lookup(docs.withColumn("_doc", F.col("doc_id").cast("long")), classes.select(F.col("doc_id").alias("_doc"), "_component"), ["_doc"])
     kept = keyed.filter(F.col("_component").isNull() | (F.col("_component") == F.col("_doc"))).drop("_doc", "_component")
-    return kept.dropDuplicates()
+    # Only repeated ids can have equal rows; without any, rows need not be compared.
+    return kept.dropDuplicates() if classes.filter(F.col("doc_id").isNotNull() & (F.col("_times") > 1)).limit(1).count() else kept
