@@ -2,9 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanloom.llm import mixing, sharding
+from spanloom.llm import classify, contamination, jaccard, mixing, sharding
+from spanloom.operators.staging import stage
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known: those that language ID rejects go."""
+    found = classify.identify_language(docs, classify.fit_language(docs))
+    return found.filter(~F.col("rejected")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
+    return jaccard.one_of_each(docs, 5, 80)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return contamination.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,7 +34,13 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(docs, 16)
 
 
-STAGES = [("mixing", mix), ("sharding", shard)]
+STAGES = [
+    ("language_id", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminate),
+    ("mixing", mix),
+    ("sharding", shard),
+]
 
 # The trained language classifier and the alignment scores cannot be expressed in SQL.
 ORACLE_SQL = None
@@ -25,8 +48,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each result is written to shared storage and read back."""
-    from spanloom.operators.staging import stage
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
