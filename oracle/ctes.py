@@ -387,11 +387,22 @@ CTES["tool_fills"] = """
 with msgs as (
   select run_id, ts, coalesce(json_extract_string(ev, '$.content'), '') as text, coalesce(json_extract_string(ev, '$.id'), '') as mid
   from traces where kind = 'tool' and run_id is not null),
-m as (
-  select run_id, text, row_number() over (partition by run_id order by ts) as nth from msgs
-  where text <> '' and not exists (select 1 from tools0 t where t.run_id = msgs.run_id and t.tool_id = msgs.mid and t.output_full <> '')),
-t as (
-  select run_id, tool_id, row_number() over (partition by run_id order by ts, id) as nth from tools0 where output_full = '')
+places as (
+  select run_id, tool_id, output_full, sum(case when output_full = '' then 1 else 0 end) over (partition by run_id order by ts, id) as empties,
+    row_number() over (partition by run_id, tool_id order by ts, id) as copy from tools0),
+numbered as (
+  select msgs.run_id, text, p.empties as stop_at, row_number() over (partition by msgs.run_id order by ts) as n
+  from msgs left join places p on p.run_id = msgs.run_id and p.tool_id = msgs.mid and p.copy = 1 where text <> ''),
+walk as (
+  with recursive w(run_id, n, filled, fills, text) as (
+    select run_id, 0::bigint, 0::bigint, false, null::varchar from (select distinct run_id from numbered)
+    union all
+    select w.run_id, w.n + 1, w.filled + case when x.stop_at is null or w.filled < x.stop_at then 1 else 0 end,
+      x.stop_at is null or w.filled < x.stop_at, x.text
+    from w join numbered x on x.run_id = w.run_id and x.n = w.n + 1)
+  select * from w),
+m as (select run_id, text, filled as nth from walk where fills),
+t as (select run_id, tool_id, empties::bigint as nth from places where output_full = '')
 select t.run_id, t.tool_id, t.nth, m.text as fill from t join m on m.run_id = t.run_id and m.nth = t.nth
 """
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from spanloom.schemas import BRONZE_COLUMNS
+
 from .ctes import compose, dbl, js, num, ts
 
 _DATED = "TimeGenerated, Id, Name, OperationId, DurationMs, Success, Properties, date_routine"
@@ -10,16 +12,18 @@ _SPAN = "epoch_us(timestamp) as timestamp"
 _NUMBER = """case event_id % 8 when 0 then cast(value as varchar) when 7 then '-' || cast(value as varchar)
   when 1 then '' when 3 then 'abc' when 4 then 'NaN' when 5 then 'Infinity' when 6 then '1e3' end"""
 
+columns = {t: "'" + ", ".join(f"{c} string" for c in names) + "'" for t, names in BRONZE_COLUMNS.items()}
+
 BODIES: dict[str, str] = {
     "export_unpack": f"select {_DATED} from app_requests",
     "csv_roundtrip": "select TimeGenerated, Message, OperationId, Properties, date_routine from app_traces",
     "bronze_overwrite": f"select {_DATED} from app_requests",
     "bronze_date": "select Id, substring(TimeGenerated, 1, 10) as date_routine from app_requests",
     "scan_all": "select * from app_dependencies",
-    "table_profile": """
-        select 'app_requests' as table_name, count(*) as row_count, 43 as column_count from app_requests
-        union all select 'app_dependencies', count(*), 43 from app_dependencies
-        union all select 'app_traces', count(*), 36 from app_traces""",
+    "table_profile": f"""
+        select 'app_requests' as table_name, count(*) as row_count, 43 as column_count, {columns['app_requests']} as columns from app_requests
+        union all select 'app_dependencies', count(*), 43, {columns['app_dependencies']} from app_dependencies
+        union all select 'app_traces', count(*), 36, {columns['app_traces']} from app_traces""",
     "retention_keep": f"""
         select Id, TimeGenerated from app_requests
         where {ts('TimeGenerated')} is null or {ts('TimeGenerated')} >= timestamp '2024-01-10 00:00:00'""",

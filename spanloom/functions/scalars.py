@@ -6,19 +6,21 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, functions as F, types as T
 
-_ZONED = r"^\d{4}-\d\d-\d\d[T ].*(Z|[+-]\d\d:?\d\d)$"
-_UNZONED = r"^\d{4}-\d\d-\d\d[T ]"
-_DATE = r"^\d{4}-\d\d-\d\d$"
+# A year first, so that a bare time of day is not read as today; a zone is what follows the time of day.
+_DATED = r"^\s*[+-]?\d{4,}"
+_ZONED = r"\d[T ]\d[\d:.]*\s*[A-Za-z+-]"
+
+# A JSON value may be as long as a string can be.
+JSON_LIMITS = {"maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1)}
+# Quotes as the conversation model reads them.
+STRICT_JSON = JSON_LIMITS | {"allowSingleQuotes": "false"}
 
 
 def parse_ts(text: Column) -> Column:
-    """ISO-8601 text to timestamp. No zone means UTC; anything else unparseable is NULL."""
-    zoned = (
-        F.when(text.rlike(_ZONED), text)
-        .when(text.rlike(_UNZONED), F.concat(text, F.lit("Z")))
-        .when(text.rlike(_DATE), F.concat(text, F.lit("T00:00:00Z")))
-    )
-    return zoned.try_cast("timestamp")
+    """Text to timestamp, in every form that a cast reads. No zone means UTC; the unreadable is NULL."""
+    zoned = F.when(text.rlike(_DATED) & text.rlike(_ZONED), text).try_cast("timestamp")
+    local = F.when(text.rlike(_DATED) & ~text.rlike(_ZONED), text).try_cast("timestamp_ntz")
+    return F.coalesce(zoned, F.concat(local.cast("string"), F.lit("Z")).try_cast("timestamp"))
 
 
 def iso_utc(ts: Column) -> Column:
@@ -34,13 +36,18 @@ def millis_between(start: Column, end: Column) -> Column:
     return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(1000.0)
 
 
+def _number(text: Column) -> Column:
+    """Number text to double; a type suffix or a hexadecimal form, which a cast would take, is no number."""
+    return F.when(~text.rlike(r"[\d.][dDfF]\s*$|[xX]"), text).try_cast("double")
+
+
 def safe_double(text: Column) -> Column:
-    return F.coalesce(text.try_cast("double"), F.lit(0.0))
+    return F.coalesce(_number(text), F.lit(0.0))
 
 
 def safe_long(text: Column) -> Column:
     """Number text to bigint by way of double, truncating; missing, bad, NaN and infinite give 0."""
-    return F.coalesce(text.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(_number(text).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def is_success(text: Column) -> Column:
@@ -62,16 +69,16 @@ def properties_map(text: Column) -> Column:
     Of a repeated key ``attr`` reads the first value, as ``get_json_object`` does.
     """
     empty = F.create_map().cast("map<string,string>")
-    return F.coalesce(F.from_json(text, "map<string,string>"), empty)
+    return F.coalesce(F.from_json(text, "map<string,string>", JSON_LIMITS), empty)
 
 
 def properties_struct(text: Column, keys: Iterable[str]) -> Column:
     """Only the named top-level keys of a property bag, as a struct of strings, in one parse.
 
     Dots in a key are part of its name; read a field with ``getField``. Of a repeated key the
-    last value is taken, as JSON objects are commonly read.
+    last value is taken, as JSON objects are commonly read. Text in single quotes is bad JSON here.
     """
-    return F.from_json(text, T.StructType([T.StructField(k, T.StringType()) for k in keys]))
+    return F.from_json(text, T.StructType([T.StructField(k, T.StringType()) for k in keys]), STRICT_JSON)
 
 
 def explode_if(parsed: Column, where: Callable[[Column], Column]) -> Column:

@@ -75,6 +75,16 @@ def row_numbers(chunked: DataFrame, by: list[str], order: list[str], out: str) -
     return carried.withColumn(out, F.col("_inner") + F.coalesce("_carry", F.lit(0))).drop("_inner", "_carry")
 
 
+def running_sum(chunked: DataFrame, by: list[str], order: list[str], value: Column, out: str) -> DataFrame:
+    """Sum of ``value`` (never NULL) over the rows of the key before each row."""
+    rows = chunked.withColumn("_value", value)
+    groups = rows.groupBy(CHUNK, *by).agg(F.sum("_value").alias("_total"))
+    before = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    inner = F.coalesce(F.sum("_value").over(_inside(by, order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    carried = _with_carry(rows.withColumn("_inner", inner), groups, by, F.sum("_total").over(before))
+    return carried.withColumn(out, F.col("_inner") + F.coalesce("_carry", F.lit(0))).drop("_value", "_inner", "_carry")
+
+
 def asof_backward(
     left: DataFrame,
     right: DataFrame,

@@ -6,10 +6,10 @@ executor, and, being columnar, lets every later reader fetch only the columns it
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.util import inheritable_thread_target
@@ -18,7 +18,7 @@ from pyspark.util import inheritable_thread_target
 def stage_root(spark: SparkSession) -> str:
     """Folder for staged tables: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
-    Only a local-mode session without either gets a temporary folder of its own.
+    Without either it is a folder of this application in the warehouse, which all executors share.
     """
     context = spark.sparkContext
     root = (
@@ -28,14 +28,32 @@ def stage_root(spark: SparkSession) -> str:
     )
     if root:
         return root.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="spanloom-stage-"))
-    return context.getCheckpointDir().rstrip("/")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages-{context.applicationId}"
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Stages written inside are removed at the end: write the outputs that read them inside too."""
+    own: list[str] = []
+    _scopes.append(own)
+    try:
+        yield
+    finally:
+        _scopes.remove(own)
+        context = spark.sparkContext
+        for name in own:
+            path = context._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
-    return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import (
+    STRICT_JSON,
     assistant_text,
     non_empty,
     parse_ts,
@@ -15,7 +16,7 @@ from ..functions.scalars import (
     text_or,
 )
 from ..operators.lookup import lookup
-from ..operators.ordered import asof_backward, next_value, order_chunks, row_numbers
+from ..operators.ordered import asof_backward, next_value, order_chunks, running_sum
 from ..operators.staging import stage, together
 from .runs import first_by, last_by
 
@@ -31,6 +32,7 @@ TRACE_KEYS = [
     "gen_ai.thread.run.id", "gen_ai.thread.id", "gen_ai.event.content",
     "prompt_tokens", "completion_tokens", "total_tokens", "duration_ms", "status",
 ]
+# The parts of an audit line.
 AUDIT_LINE = (
     "log_type string, thread_id string, trace_id string, span_id string, user_id string, status string, "
     "conversation struct<input:string,output:string,input_length:bigint,output_length:bigint>, "
@@ -74,7 +76,7 @@ def route_traces(traces: DataFrame) -> DataFrame:
             properties_struct(F.col("Properties"), TRACE_KEYS).alias("bag"),
             F.when(
                 F.col("Message").contains(AUDIT) & F.col("Message").startswith("{"),
-                F.from_json("Message", AUDIT_LINE),
+                F.from_json("Message", AUDIT_LINE, STRICT_JSON),
             ).alias("line"),
         )
         .filter(kind != "other")
@@ -266,32 +268,46 @@ def finish_runs(runs: DataFrame, events: DataFrame, inputs: DataFrame, outputs:
 def tool_message_fills(routed: DataFrame, tools: DataFrame, chunks: int | None = None) -> DataFrame:
     """Tool (``row_id``) -> output text from messages.
 
-    The n-th non-empty message of a run fills the n-th tool of the run that has no output. A
-    message whose id is that of a tool with an output of its own is dropped.
+    A non-empty message goes through the tools of its run in order and stops at the first that has
+    its id or has no output; it fills that tool if it has none and is dropped otherwise.
     """
     messages = (
         of_kind(routed, "tool")
         .filter(F.col("run_id").isNotNull() & non_empty(F.col("text")).isNotNull())
         .select("run_id", *TRACE_POSITION, "message_id", "text")
     )
-    filled = (
-        tools.filter(F.col("output_full") != "")
-        .groupBy("run_id", F.col("tool_id").alias("message_id"))
-        .agg(F.lit(True).alias("is_filled"))
-    )
-    open_messages = lookup(messages, filled, ["run_id", "message_id"]).filter(F.col("is_filled").isNull()).drop("is_filled")
-    empty_tools = tools.filter(F.col("output_full") == "").select("run_id", "ts", "id", "row_id")
     by = ["run_id"]
     tool_order, message_order = ["ts", "id", "row_id"], TRACE_POSITION
-    empty, messages = together(
-        lambda: order_chunks(empty_tools, by, tool_order, chunks),
-        lambda: order_chunks(open_messages, by, message_order, chunks),
+    own = tools.select("run_id", "ts", "id", "row_id", "tool_id", (F.col("output_full") == "").cast("long").alias("empty"))
+    placed, ordered = together(
+        lambda: order_chunks(own, by, tool_order, chunks), lambda: order_chunks(messages, by, message_order, chunks)
     )
-    tool_nth = row_numbers(empty, by, tool_order, "nth")
-    message_nth = row_numbers(messages, by, message_order, "nth")
-    return tool_nth.select("run_id", "nth", "row_id").join(
-        message_nth.select("run_id", "nth", F.col("text").alias("fill")), ["run_id", "nth"]
+    numbered = stage(running_sum(placed, by, tool_order, F.col("empty"), "before"), "tool-places")
+    # Tools without output up to the first tool of the id: once that many are filled, the message meets its tool first.
+    limits = numbered.groupBy("run_id", F.col("tool_id").alias("message_id")).agg(
+        F.min_by(F.col("before") + F.col("empty"), F.struct(*tool_order)).alias("limit")
     )
+    limited = lookup(ordered, limits, ["run_id", "message_id"])
+    filling = _filling(limited, by, message_order)
+    return numbered.filter("empty = 1").select("run_id", (F.col("before") + 1).alias("nth"), "row_id").join(
+        filling.select("run_id", "nth", F.col("text").alias("fill")), ["run_id", "nth"]
+    )
+
+
+def _filling(messages: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """Messages that fill a tool, with the number ``nth`` of that tool among those without output.
+
+    A message fills if fewer tools than its ``limit`` are filled before it. That number is first
+    taken as if all messages before it filled, and counted again until nothing changes: each round
+    settles at least one more message of every run, and without limits the first is the last.
+    """
+    fills = F.col("limit").isNull() | (F.col("done") < F.col("limit"))
+    counted = running_sum(messages.withColumn("fill", F.lit(1).cast("long")), by, order, F.col("fill"), "done")
+    while True:
+        counted = stage(counted.withColumn("now", F.when(fills, 1).otherwise(0).cast("long")), "tool-fills")
+        if not counted.filter(F.col("now") != F.col("fill")).limit(1).count():
+            return counted.filter("fill = 1").withColumn("nth", F.col("done") + 1)
+        counted = running_sum(counted.drop("fill", "done").withColumnRenamed("now", "fill"), by, order, F.col("fill"), "done")
 
 
 def fill_tools(tools: DataFrame, fills: DataFrame) -> DataFrame:

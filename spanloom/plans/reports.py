@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.scalars import JSON_LIMITS
 from .spans import fill_over_trace, with_attributes
 
 CHAT = "POST /chat"
@@ -58,6 +59,7 @@ def audit_log(traces: DataFrame) -> DataFrame:
     line = F.from_json(
         "Message",
         "user_id string, conversation struct<input:string,output:string>, metrics struct<total_tokens:string>",
+        JSON_LIMITS,
     )
     lines = (
         traces.filter(F.col("Message").contains("audit.business"))

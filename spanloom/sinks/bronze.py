@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import parse_ts
 from ..operators.staging import stage
@@ -20,16 +22,23 @@ def create_bronze(spark: SparkSession, schema: str, fmt: str = "parquet", locati
         spark.sql(bronze_ddl(table, f"{schema}.{table}", fmt, place))
 
 
+_MODE_LOCK = threading.Lock()
+
+
 @contextmanager
 def _partition_mode(spark: SparkSession, mode: str) -> Iterator[None]:
-    """``insertInto`` takes its partition overwrite mode from the session; put the old one back."""
+    """``insertInto`` takes its partition overwrite mode from the session; put the old one back.
+
+    Only one such write runs at a time, so none sees the mode of another.
+    """
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _MODE_LOCK:
+        before = spark.conf.get(key)
+        spark.conf.set(key, mode)
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
 
 
 def _insert_overwrite(df: DataFrame, table: str, mode: str) -> None:
@@ -56,10 +65,18 @@ def overwrite_bronze(df: DataFrame, table: str | None = None, path: str | None =
         writer.option("partitionOverwriteMode", "static").save(path)
 
 
+def readable_cutoff(spark: SparkSession, cutoff: str) -> Column:
+    """``cutoff`` as a timestamp literal."""
+    micros = spark.range(1).select(F.unix_micros(parse_ts(F.lit(cutoff)))).first()[0]
+    if micros is None:
+        raise ValueError(f"cutoff is not a time: {cutoff!r}")
+    return F.timestamp_micros(F.lit(micros))
+
+
 def retained(df: DataFrame, cutoff: str) -> DataFrame:
-    """Rows not older than ``cutoff`` (ISO text). Rows without a readable time are kept."""
-    at = parse_ts(F.col("TimeGenerated"))
-    return df.filter(at.isNull() | (at >= parse_ts(F.lit(cutoff))))
+    """Rows not older than ``cutoff`` (ISO text). Rows without a readable time are kept; an unreadable cutoff raises."""
+    at, limit = parse_ts(F.col("TimeGenerated")), readable_cutoff(df.sparkSession, cutoff)
+    return df.filter(at.isNull() | (at >= limit))
 
 
 def _empty_partition(spark: SparkSession, table: str, columns: list[str], day: str | None) -> None:
@@ -71,6 +88,17 @@ def _empty_partition(spark: SparkSession, table: str, columns: list[str], day: s
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION_COLUMN}={spec})")
 
 
+def _delete_rows(spark: SparkSession, table: str, limit: Column) -> None:
+    """``DELETE`` by the rule of ``retained``: the distinct stale time texts, as a subquery."""
+    stale = spark.table(table).select("TimeGenerated").distinct().filter(parse_ts(F.col("TimeGenerated")) < limit)
+    view = f"stale_{uuid.uuid4().hex}"
+    stale.createOrReplaceTempView(view)
+    try:
+        spark.sql(f"DELETE FROM {table} WHERE TimeGenerated IN (SELECT TimeGenerated FROM {view})")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def purge(spark: SparkSession, tables: Iterable[str], cutoff: str, fmt: str = "parquet") -> None:
     """Delete rows older than ``cutoff`` from catalog tables.
 
@@ -78,13 +106,14 @@ def purge(spark: SparkSession, tables: Iterable[str], cutoff: str, fmt: str = "p
     dates that keep nothing are emptied. The list of dates is bounded by the calendar. A run
     that breaks off can be repeated.
     """
+    limit = readable_cutoff(spark, cutoff)
     for table in tables:
         if fmt == "delta":
-            spark.sql(f"DELETE FROM {table} WHERE try_cast(TimeGenerated AS TIMESTAMP) < TIMESTAMP '{cutoff}'")
+            _delete_rows(spark, table, limit)
             continue
         rows = spark.table(table)
         at = parse_ts(F.col("TimeGenerated"))
-        stale = rows.filter(at < parse_ts(F.lit(cutoff))).select(PARTITION_COLUMN).distinct()
+        stale = rows.filter(at < limit).select(PARTITION_COLUMN).distinct()
         days = [r[0] for r in stale.collect()]
         if not days:
             continue

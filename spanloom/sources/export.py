@@ -8,22 +8,40 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.scalars import JSON_LIMITS
 from ..schemas import PARTITION_COLUMN, bronze_schema, export_columns
 
-_DOCUMENT = "tables array<struct<columns:array<struct<name:string>>,rows:array<array<string>>>>"
+_TABLE = "struct<columns:array<struct<name:string>>,rows:array<array<string>>>"
+_DOCUMENT = f"tables array<{_TABLE}>"
+
+
+def _refuse_empty(spark: SparkSession, paths: str | list[str]) -> None:
+    """A file without a byte gives no row, so it would be missed: look at the lengths of the files."""
+    hadoop, context = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext
+    empty = []
+    for name in spark.read.text(paths, wholetext=True).inputFiles():
+        path = hadoop.Path(name)
+        if path.getFileSystem(context._jsc.hadoopConfiguration()).getFileStatus(path).getLen() == 0:
+            empty.append(name)
+    if empty:
+        raise ValueError(f"empty export files: {empty[:3]}")
 
 
 def _rows(spark: SparkSession, paths: str | list[str], table: str) -> DataFrame:
     """Rows of the first table of each document, with the place of each declared column."""
     text = F.regexp_replace("value", "^﻿", "")
-    first = F.try_element_at(F.from_json(text, _DOCUMENT, {"mode": "FAILFAST"})["tables"], F.lit(1))
+    parsed = F.from_json(text, _DOCUMENT, JSON_LIMITS | {"mode": "FAILFAST"})
+    table_one = F.try_element_at(parsed["tables"], F.lit(1))
+    first = F.when(table_one["columns"].isNotNull(), table_one).otherwise(
+        F.raise_error(F.concat(F.lit("export document without a table: "), F.coalesce(F.substring(text, 1, 200), F.lit("")))).cast(_TABLE)
+    )
     # header order may differ per file: positions are found once per document, before the rows
     place = F.struct(*[F.array_position("names", F.lit(c)).cast("int").alias(c) for c in export_columns(table)])
     return (
         spark.read.text(paths, wholetext=True)
         .select(first.alias("t"))
         .select(F.transform("t.columns", lambda c: c["name"]).alias("names"), F.col("t.rows").alias("rows"))
-        .select(F.size("names").alias("width"), place.alias("place"), F.explode("rows").alias("row"))
+        .select("names", F.size("names").alias("width"), place.alias("place"), F.explode("rows").alias("row"))
     )
 
 
@@ -37,16 +55,29 @@ def with_partition_date(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION_COLUMN, F.substring("TimeGeneratedUTCMinus5", 1, 10))
 
 
-def read_export(spark: SparkSession, paths: str | list[str], table: str) -> DataFrame:
+def read_export(spark: SparkSession, paths: str | list[str], table: str, short_rows: str = "fail") -> DataFrame:
     """Bronze rows from export files: all strings, declared columns by name, absent ones NULL.
 
-    A malformed document fails the read. Rows of another width than their header are left out;
-    ``read_export_rejects`` returns them.
+    A malformed document, one without a table, an empty file and a row of another width than its
+    header fail the read; with ``short_rows="drop"`` such rows are left out, and ``read_export_rejects``
+    returns them. ``undeclared_columns`` lists the columns of the documents that the table has not.
     """
-    rows = _rows(spark, paths, table).filter(F.size("row") == F.col("width"))
+    _refuse_empty(spark, paths)
+    rows, fits = _rows(spark, paths, table), F.size("row") == F.col("width")
+    if short_rows == "drop":
+        rows = rows.filter(fits)
+    else:
+        told = F.raise_error(F.concat(F.lit("row of another width than its header: "), F.to_json("row"))).cast("array<string>")
+        rows = rows.withColumn("row", F.when(fits, F.col("row")).otherwise(told))
     cells = rows.select(*[_cell(c) for c in export_columns(table)])
     return with_partition_date(cells).select(bronze_schema(table).names)
 
 
 def read_export_rejects(spark: SparkSession, paths: str | list[str], table: str) -> DataFrame:
     return _rows(spark, paths, table).filter(F.size("row") != F.col("width")).select("row", "width")
+
+
+def undeclared_columns(spark: SparkSession, paths: str | list[str], table: str) -> DataFrame:
+    """Columns of the documents that ``table`` does not declare, with the number of rows that have them."""
+    found = _rows(spark, paths, table).select(F.explode("names").alias("column")).groupBy("column").agg(F.count(F.lit(1)).alias("rows"))
+    return found.filter(~F.col("column").isin(export_columns(table)))

@@ -12,12 +12,16 @@ from .export import with_partition_date
 from .telemetry import conform
 
 # How the CSV exports are written.
-CSV_OPTIONS = {"header": "true", "inferSchema": "false", "multiLine": "true", "quote": '"', "escape": '"'}
+# With several files in a folder, one whose header differs from the first fails the read.
+CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "inferSchema": "false", "multiLine": "true", "quote": '"', "escape": '"'}
 CSV_FILES = {table: f"{table}.csv" for table in BRONZE_COLUMNS}
 
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Bronze rows from CSV, columns by header name. A missing file gives the empty table."""
+    """Bronze rows from CSV, columns by header name. A missing file gives the empty table.
+
+    Files of one folder must have one header: a file with other columns or another order fails.
+    """
     try:
         rows = spark.read.options(**CSV_OPTIONS).csv(path)
     except AnalysisException as error:
@@ -49,11 +53,12 @@ def read_tables(
 
 
 def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows and columns per table."""
+    """Rows, columns and schema (names and types in order) per table."""
     report = None
     for name, df in tables.items():
         row = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count")
+            F.lit(name).alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count"),
+            F.lit(", ".join(f"{c} {kind}" for c, kind in df.dtypes)).alias("columns"),
         )
         report = row if report is None else report.unionByName(row)
     return report

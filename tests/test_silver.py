@@ -243,13 +243,14 @@ def test_tool_messages_fill_empty_outputs_in_order(spark):
         dependency("c", 4, run="r", name="tool.c"),
     ], [
         tool_message(5, "r", ""),
-        tool_message(6, "r", "dropped: its tool has an output", "b"),
-        tool_message(7, "r", "one"),
+        tool_message(6, "r", "one: the empty tool comes first", "b"),
+        tool_message(7, "r", "dropped: its tool has an output by now", "a"),
+        tool_message(7, "r", "dropped: its tool comes first", "b"),
         tool_message(8, "r", "two"),
         tool_message(9, "r", "no tool left"),
         tool_message(9, "nobody", "lost"),
     ]).tables()
-    assert rows(tables["tools"], "tool_id", "output_full") == {"a": "one", "b": "own", "c": "two"}
+    assert rows(tables["tools"], "tool_id", "output_full") == {"a": "one: the empty tool comes first", "b": "own", "c": "two"}
 
 
 @pytest.fixture(scope="module")
