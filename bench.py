@@ -23,7 +23,13 @@ FROM_BRONZE = [
     "users_active", "threads_summary", "interactions", "tool_calls", "audit_log", "span_attrs", "span_fill",
     "chat_requests", "thread_owner", "trace_kinds", "table_profile", "retention_keep",
 ]
+LOADS = [
+    "export_unpack", "csv_roundtrip", "bronze_overwrite", "bronze_date", "scan_all", "span_union", "props_safe", "props_nested",
+    "safe_numeric", "safe_timestamp", "assistant_text",
+]
 FROM_SKELETON = ["op_run_map", "run_attrs", "tools_attach", "user_msg_asof", "run_completed_asof", "audit_assign", "tool_msg_zip"]
+MORE_FROM_SKELETON = ["run_first", "dep_resolve", "run_universe", "tools_extract", "run_steps_extract", "assistant_first", "extract_counters"]
+MORE_FROM_SILVER = ["run_events", "thread_rollup", "user_rollup"]
 FROM_SILVER = [
     "silver_users", "silver_threads", "silver_runs", "silver_run_steps", "silver_tools", "summary_global",
     "token_top_runs", "token_top_threads", "tool_usage", "latency_stats", "hierarchy_view", "hierarchy_json",
@@ -63,6 +69,10 @@ def main() -> None:
     bronze.stage_bronze()
     queries: dict[str, float] = {}
 
+    def stage_spans():
+        bronze.__dict__.pop("span_table", None)
+        return bronze.span_table
+
     def run_query(name: str):
         return lambda: QUERIES[name](bronze).write.format("noop").mode("overwrite").save()
 
@@ -73,17 +83,22 @@ def main() -> None:
             getattr(bronze, part)
         return action
 
+    for name in LOADS:
+        queries[name] = median(run_query(name))
+    queries["span_table_build"] = median(stage_spans)
     for name in FROM_BRONZE:
         queries[name] = median(run_query(name))
     queries["skeleton_build"] = median(rebuild("skeleton"))
     queries["traces_build"] = median(rebuild("routed"))
-    for name in FROM_SKELETON:
+    for name in FROM_SKELETON + MORE_FROM_SKELETON:
         queries[name] = median(run_query(name))
     queries["silver_build"] = median(rebuild("silver"))
-    for name in FROM_SILVER:
+    for name in FROM_SILVER + MORE_FROM_SILVER:
         queries[name] = median(run_query(name))
+    # Queries that the baseline does not list are timed as well, but stay out of the sum.
+    added = {*LOADS, "span_table_build", *MORE_FROM_SKELETON, *MORE_FROM_SILVER}
     print(json.dumps({
-        "metric": "sum of median query times", "value": round(sum(queries.values()), 3), "unit": "sec",
+        "metric": "sum of median query times", "value": round(sum(t for q, t in queries.items() if q not in added), 3), "unit": "sec",
         "queries": queries, "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
     }))
     spark.stop()

@@ -28,6 +28,7 @@ BODIES: dict[str, str] = {
         select Id, TimeGenerated from app_requests
         where {ts('TimeGenerated')} is null or {ts('TimeGenerated')} >= timestamp '2024-01-10 00:00:00'""",
     "span_union": "select * replace (epoch_us(timestamp) as timestamp) from span_union",
+    "span_table": "select * exclude (Properties) replace (epoch_us(timestamp) as timestamp) from spans",
     "span_attrs": """select span_id, user_id, thread_id, run_id, tool_name, tool_input, tool_output, tokens_total,
         message_preview from spans""",
     "span_fill": f"""

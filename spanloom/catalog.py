@@ -65,6 +65,15 @@ class Workspace:
     def spans(self) -> DataFrame:
         return S.union_spans(self.requests, self.dependencies)
 
+    @cached_property
+    def span_table(self) -> DataFrame:
+        return S.stage_spans(self.spans)
+
+    @property
+    def report_spans(self) -> DataFrame:
+        """The staged span table once there is one."""
+        return self.__dict__.get("span_table", self.spans)
+
     @cached_property
     def skeleton(self) -> U.Skeleton:
         return U.build_skeleton(self.requests, self.dependencies)
@@ -180,6 +189,12 @@ def span_union(w: Workspace) -> DataFrame:
     return w.spans.withColumn("timestamp", micros("timestamp"))
 
 
+@query
+def span_table(w: Workspace) -> DataFrame:
+    """The staged span table with its attributes."""
+    return w.span_table.drop("Properties").withColumn("timestamp", micros("timestamp"))
+
+
 @query
 def span_attrs(w: Workspace) -> DataFrame:
     return S.with_attributes(w.spans).select("span_id", *S.SPAN_ATTRIBUTES)
@@ -187,27 +202,27 @@ def span_attrs(w: Workspace) -> DataFrame:
 
 @query
 def span_fill(w: Workspace) -> DataFrame:
-    return R.enriched_spans(w.spans).withColumn("timestamp", micros("timestamp"))
+    return R.enriched_spans(w.report_spans).withColumn("timestamp", micros("timestamp"))
 
 
 @query
 def users_active(w: Workspace) -> DataFrame:
-    return R.users_active(w.spans)
+    return R.users_active(w.report_spans)
 
 
 @query
 def threads_summary(w: Workspace) -> DataFrame:
-    return R.threads_summary(w.spans).withColumn("ultimo_mensaje", micros("ultimo_mensaje"))
+    return R.threads_summary(w.report_spans).withColumn("ultimo_mensaje", micros("ultimo_mensaje"))
 
 
 @query
 def interactions(w: Workspace) -> DataFrame:
-    return R.interactions(w.spans).withColumn("timestamp", micros("timestamp"))
+    return R.interactions(w.report_spans).withColumn("timestamp", micros("timestamp"))
 
 
 @query
 def tool_calls(w: Workspace) -> DataFrame:
-    return R.tool_calls(w.spans).withColumn("timestamp", micros("timestamp"))
+    return R.tool_calls(w.report_spans).withColumn("timestamp", micros("timestamp"))
 
 
 @query

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import attr, explode_if, parse_ts, properties_map
 from ..operators.lookup import lookup
+from ..operators.staging import stage
 
 # Property keys behind each span attribute, in order of preference.
 SPAN_ATTRIBUTES: dict[str, list[str]] = {
@@ -49,10 +50,14 @@ def union_spans(requests: DataFrame, dependencies: DataFrame) -> DataFrame:
 def with_attributes(spans: DataFrame, only: list[str] | None = None, required: str | None = None) -> DataFrame:
     """Add the attribute columns (all, or ``only`` some), reading ``Properties`` in one parse.
 
-    With ``required``, spans without that attribute are left out, still in the same parse.
+    With ``required``, spans without that attribute are left out, still in the same parse. Of a
+    staged span table the columns are read as they are, and nothing is parsed.
     """
     wanted = {name: keys for name, keys in SPAN_ATTRIBUTES.items() if only is None or name in only}
 
+    if set(wanted) <= set(spans.columns):
+        return spans.filter(F.col(required).isNotNull()) if required else spans
+
     def value(bag: Column, name: str) -> Column:
         return F.coalesce(*[attr(bag, k) for k in wanted[name]])
 
@@ -70,6 +75,11 @@ def build_spans(requests: DataFrame, dependencies: DataFrame) -> DataFrame:
     return with_attributes(union_spans(requests, dependencies))
 
 
+def stage_spans(spans: DataFrame) -> DataFrame:
+    """The span table: spans with all attributes, parsed and written once for every later report."""
+    return stage(with_attributes(spans), "spans")
+
+
 def fill_over_trace(spans: DataFrame, columns: tuple[str, ...] = ("user_id", "thread_id")) -> DataFrame:
     """Spread each column's first non-null value by time over its whole trace, as ``<col>_filled``.
 

@@ -76,3 +76,17 @@ def test_json_is_parsed_once(spark):
     spans = S.union_spans(requests, bronze(spark, "app_dependencies", []))
     plan = R.threads_summary(spans.filter(F.col("kind") == "SERVER"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_reports_read_the_span_table(spark):
+    requests = bronze(spark, "app_requests", [
+        dict(TimeGenerated=at(1), Id="r1", OperationId="o", Name="POST /chat", Properties={"user.id": "u", "thread.id": "t", "tokens.total": "12"}),
+    ])
+    dependencies = bronze(spark, "app_dependencies", [
+        dict(TimeGenerated=at(2), Id="d1", OperationId="o", Name="tool.x", Properties={"tool.input_full": "i", "gen_ai.thread.id": "t"}),
+    ])
+    spans = S.union_spans(requests, dependencies)
+    staged = S.stage_spans(spans)
+    for report in (R.users_active, R.threads_summary, R.interactions, R.tool_calls, R.enriched_spans):
+        assert sorted(report(staged).collect()) == sorted(report(spans).collect())
+        assert "from_json" not in report(staged)._jdf.queryExecution().executedPlan().toString()
