@@ -138,7 +138,7 @@ def export_unpack(w: Workspace) -> DataFrame:
     """Write requests as export documents and read them back."""
     path = stage_path(w.spark, "export")
     _write_exports(w.requests, path)
-    return read_export(w.spark, path, "app_requests").select(_REQUEST_COLUMNS)
+    return read_export(w.spark, path, "app_requests", short_rows="drop").select(_REQUEST_COLUMNS)
 
 
 @query

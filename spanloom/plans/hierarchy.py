@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import preview
 from ..operators.lookup import lookup
+from ..operators.staging import stage
 from .silver import Silver, reachable
 
 # Sort key of a row. ``<level>_part``: 0 opens the node, 1 is inside it, 2 closes it.
@@ -45,19 +46,25 @@ def place_levels(silver: Silver, runs_by_start: bool = False) -> Levels:
     def first(children: DataFrame, parent: str, at: str) -> DataFrame:
         return children.groupBy(parent).agg(F.min(at).alias(f"first_{at}"))
 
+    # Paths are narrow and read by every level below: each is written once.
     first_user = users.agg(F.min("user_at")).scalar()
-    user_path = users.join(first(threads, "user_id", "thread_at"), "user_id", "left").select(
-        "user_id", "user_at", "first_thread_at"
+    user_path = stage(
+        users.join(first(threads, "user_id", "thread_at"), "user_id", "left").select("user_id", "user_at", "first_thread_at"),
+        "user-path",
     )
     threads = lookup(threads, user_path, ["user_id"], "inner")
-    thread_path = threads.join(first(runs, "thread_id", "run_at"), "thread_id", "left").select(
-        "user_id", "user_at", "thread_id", "thread_at", "first_run_at"
+    thread_path = stage(
+        threads.join(first(runs, "thread_id", "run_at"), "thread_id", "left").select(
+            "user_id", "user_at", "thread_id", "thread_at", "first_run_at"
+        ),
+        "thread-path",
     )
     runs = lookup(runs, thread_path, ["thread_id"], "inner")
-    run_path = (
+    run_path = stage(
         runs.join(first(steps, "run_id", "step_at"), "run_id", "left")
         .join(first(tools, "run_id", "tool_at"), "run_id", "left")
-        .select("user_id", "user_at", "thread_id", "thread_at", "run_id", "run_at", "first_step_at", "first_tool_at")
+        .select("user_id", "user_at", "thread_id", "thread_at", "run_id", "run_at", "first_step_at", "first_tool_at"),
+        "run-path",
     )
     steps = lookup(steps, run_path.drop("first_tool_at"), ["run_id"], "inner")
     tools = lookup(tools, run_path.drop("first_step_at"), ["run_id"], "inner")

@@ -122,7 +122,8 @@ def build_silver(requests: DataFrame, dependencies: DataFrame, traces: DataFrame
         lambda: stage(lookup(hosted.steps, known, ["run_id"]), "run-steps"),
         filled_tools,
     )
-    threads = thread_rollup(runs, skeleton.owners)
-    users = user_rollup(threads, all_users(skeleton.chat))
+    # Every later view reads the rollups, so they are written once too.
+    threads = stage(thread_rollup(runs, skeleton.owners), "threads")
+    users = stage(user_rollup(threads, all_users(skeleton.chat)), "users")
     return Silver(users, threads, runs, steps, tools)
 
