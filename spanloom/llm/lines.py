@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.lookup import lookup
+from ..operators.staging import stage
 from .common import without
 
 # How HTML is cut into lines.
@@ -19,6 +20,7 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 RATIO = 0.3
 MIN_PAGES = 3
+HOT_HOSTS = 64
 
 
 def host_of(url: Column) -> Column:
@@ -32,18 +34,19 @@ def lines_of(html: Column) -> Column:
     return F.filter(F.transform(F.split(text, r"[\r\n]+"), lambda x: F.btrim(x, F.lit(BLANKS))), lambda x: x != "")
 
 
-def _keyed(pages: DataFrame, url: str, html: str) -> DataFrame:
-    lined = pages.withColumn("_host", host_of(F.col(url))).withColumn("_lines", lines_of(F.col(html)))
-    return lined.withColumn("_keys", F.transform("_lines", lambda x: F.md5(x)))
+def _keyed(pages: DataFrame, html: str) -> DataFrame:
+    return pages.withColumn("_lines", lines_of(F.col(html))).withColumn("_keys", F.transform("_lines", lambda x: F.md5(x)))
 
 
 def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, url: str = "url", html: str = "html") -> DataFrame:
-    """Per host, the keys of its boilerplate lines: fewer than (mean lines of a page) / ``ratio``."""
-    keyed = _keyed(pages, url, html).select("_host", F.array_distinct("_keys").alias("_keys"))
+    """Per host, its pages and the keys of its boilerplate lines: fewer than (mean lines of a page) / ``ratio``."""
+    keyed = _keyed(pages.withColumn("_host", host_of(F.col(url))), html).select("_host", F.array_distinct("_keys").alias("_keys"))
     totals = keyed.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
     seen = keyed.select("_host", F.explode("_keys").alias("_key")).groupBy("_host", "_key").agg(F.count(F.lit(1)).alias("_with"))
     frequent = lookup(seen.filter(F.col("_with") >= min_pages), totals, ["_host"], "inner")
-    return frequent.filter(F.col("_with") > ratio * F.col("_pages")).groupBy("_host").agg(F.collect_list("_key").alias("_frequent"))
+    return frequent.filter(F.col("_with") > ratio * F.col("_pages")).groupBy("_host").agg(
+        F.first("_pages").alias("_pages"), F.collect_list("_key").alias("_frequent")
+    )
 
 
 def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, url: str = "url", html: str = "html") -> DataFrame:
@@ -55,7 +58,15 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MI
     gives an empty result.
     """
     rows = without(pages, "host", "text", "n_lines", "n_removed")
-    found = lookup(_keyed(rows, url, html), boilerplate(rows, ratio, min_pages, url, html), ["_host"])
+    frequent = stage(boilerplate(rows, ratio, min_pages, url, html), "boilerplate")
+    hosted = rows.withColumn("_host", host_of(F.col(url)))
+    # Fewer than HOT_HOSTS hosts can have more than their share of the pages: their lists are broadcast,
+    # and their pages are spread over the tasks of the join that serves all other hosts.
+    hot = frequent.filter(F.col("_pages") * HOT_HOSTS > hosted.count()).select("_host", F.col("_frequent").alias("_hot"))
+    spread = F.concat(F.lit("\x00"), F.xxhash64(html).cast("string"), F.monotonically_increasing_id().cast("string"))
+    keyed = hosted.join(F.broadcast(hot), "_host", "left").withColumn("_key", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.col("_host")))
+    found = lookup(keyed, frequent.select(F.col("_host").alias("_key"), "_frequent"), ["_key"])
+    found = _keyed(found, html).withColumn("_frequent", F.coalesce("_hot", "_frequent"))
     drop = F.array_intersect("_keys", F.coalesce("_frequent", F.array().cast("array<string>")))
     kept = F.filter("_lines", lambda x, i: ~F.array_contains(F.col("_drop"), F.get(F.col("_keys"), i)))
     return found.withColumn("_drop", drop).withColumn("_kept", kept).select(
