@@ -8,7 +8,8 @@
    in order of set size with the position of the shingle in each set, and is read in blocks: entries
    too far into their set to reach the overlap as the smaller side, sizes too different, entries of
    the same component, and positions with too little left are skipped.
-4. Candidates are verified on the whole texts; links give the components.
+4. Candidates that a bound from parity bits does not rule out are verified on the whole texts;
+   links give the components.
 
 The order of the shingles comes from a document-frequency sketch of fixed size over all documents.
 It decides only how many candidates there are; with any order every link is found.
@@ -29,9 +30,11 @@ from .common import parallelism
 from .graph import components
 from .hashing import mix, sets, shingles, text_slices, word_hashes, words
 
-COUNTERS = 1 << 20
+COUNTER_BITS = 21
+COUNTERS = 1 << COUNTER_BITS
 SEGMENTS = 64
 BINS = 32
+PARITY_BITS = 1024
 KEY_BINS = (0, 8, 16, 24)
 HOT_LIST = 50_000
 ENTRIES_PER_BUCKET = 2_000_000
@@ -42,8 +45,21 @@ def _column(values: np.ndarray, kind=None) -> pa.Array:
     return pa.array(values, kind)
 
 
+def _counter(token: np.ndarray) -> np.ndarray:
+    return (token >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def _packed(values: np.ndarray) -> bytes:
+    return pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, width: int, kind) -> np.ndarray:
+    size = width * np.dtype(kind).itemsize
+    return np.frombuffer(pa.decompress(data, size, codec="zstd", asbytes=True), kind)
+
+
 def frequency_sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """Base-2 logarithm (rounded down) of hashed shingle counts over all documents: ``COUNTERS`` bytes."""
+    """Hashed shingle counts over all documents, ``COUNTERS`` of them whatever the corpus."""
     width = COUNTERS // SEGMENTS
 
     def count(batches):
@@ -52,10 +68,10 @@ def frequency_sketch(docs: DataFrame, n: int) -> np.ndarray:
             for _, _, data, bounds in text_slices(batch.column("text")):
                 starts, ends, firsts = words(data, bounds)
                 found, _ = shingles(word_hashes(data, starts, ends), firsts, n)
-                total += np.bincount((found >> np.uint64(44)).astype(np.int64), minlength=COUNTERS)
+                total += np.bincount(_counter(found), minlength=COUNTERS)
         if total.any():
             yield pa.RecordBatch.from_arrays(
-                [_column(np.arange(SEGMENTS), pa.int32()), pa.array([row.tobytes() for row in total.astype(np.uint32).reshape(SEGMENTS, width)], pa.binary())],
+                [_column(np.arange(SEGMENTS), pa.int32()), pa.array([_packed(row) for row in total.astype(np.uint32).reshape(SEGMENTS, width)], pa.binary())],
                 ["segment", "counts"],
             )
 
@@ -63,23 +79,35 @@ def frequency_sketch(docs: DataFrame, n: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for segment, counts in zip(batch.column("segment").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                sums[segment] = sums.get(segment, 0) + np.frombuffer(counts, np.uint32).astype(np.int64)
+                sums[segment] = sums.get(segment, 0) + _unpacked(counts, width, np.uint32).astype(np.int64)
         for segment, counts in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([counts.tobytes()], pa.binary())], ["segment", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([_packed(counts)], pa.binary())], ["segment", "counts"])
 
     kind = "segment int, counts binary"
     parts = docs.select("text").mapInArrow(count, kind).repartitionById(SEGMENTS, F.col("segment")).mapInArrow(add, kind).collect()
     total = np.zeros(COUNTERS, np.int64)
     for part in parts:
-        total[part["segment"] * width : (part["segment"] + 1) * width] = np.frombuffer(part["counts"], np.int64)
-    return np.log2(np.maximum(total, 1)).astype(np.uint8)
+        total[part["segment"] * width : (part["segment"] + 1) * width] = _unpacked(part["counts"], width, np.int64)
+    return total
+
+
+def ordering(counts: np.ndarray) -> np.ndarray:
+    """Class of each counter: 0 within the noise of the usual count, two more for each doubling above it.
+
+    What rare shingles add to a counter is the same for all within its square root, so shingles
+    that are frequent stand out however many documents there are.
+    """
+    usual = np.median(counts)
+    classes = np.empty(len(counts), np.uint8)
+    for low in range(0, len(counts), 1 << 16):
+        above = (counts[low : low + (1 << 16)] - usual) / (3 * np.sqrt(max(usual, 1)))
+        classes[low : low + (1 << 16)] = np.where(above < 1, 0, 1 + 2 * np.log2(np.maximum(above, 1)))
+    return classes
 
 
-def ordering(logs: np.ndarray) -> np.ndarray:
-    """Class of each counter: 0 up to twice the usual count, one more for each doubling after."""
-    used = logs[logs > 0]
-    usual = int(np.median(used)) + 1 if len(used) else 0
-    return np.maximum(logs.astype(np.int16) - usual, 0).astype(np.uint8)
+def excess(counts: np.ndarray) -> np.ndarray:
+    """Base-2 logarithm of what each counter has above the usual: the length of a frequent shingle's list at most."""
+    return np.log2(np.maximum(counts - np.median(counts), 1)).astype(np.uint8)
 
 
 def prefix_length(n: int, percent: int) -> tuple[int, int]:
@@ -90,23 +118,24 @@ def prefix_length(n: int, percent: int) -> tuple[int, int]:
 
 
 def build_sets(docs: DataFrame, n: int, percent: int, classes) -> DataFrame:
-    """Per row of ``docs``: size, 128-bit digest, prefix and hash minima of its set of shingles."""
+    """Per row of ``docs``: size, 128-bit digest, prefix, hash minima and parity bits of its set of shingles."""
     edges = (np.arange(1, BINS, dtype=np.uint64)) << np.uint64(64 - int(math.log2(BINS)))
 
     def build(batches):
         order = classes.value
         for batch in batches:
-            size, low, high, prefix, minima = [], [], [], [], []
+            size, low, high, prefix, minima, parity = [], [], [], [], [], []
             for _, found in sets(batch.column("text"), n):
                 k = len(found)
                 size.append(k)
                 low.append(int(mix(found).sum(dtype=np.uint64).astype(np.int64)))
                 high.append(int(mix(found ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
+                parity.append(np.packbits(np.bincount((found & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1).tobytes())
                 if not k:
                     prefix.append(b"")
                     minima.append([0] * BINS)
                     continue
-                rank = np.argsort(order[found >> np.uint64(44)], kind="stable")[: prefix_length(k, percent)[0]]
+                rank = np.argsort(order[_counter(found)], kind="stable")[: prefix_length(k, percent)[0]]
                 prefix.append(found[rank].tobytes())
                 at = np.concatenate(([0], np.searchsorted(found, edges), [k]))
                 filled = at[1:] > at[:-1]
@@ -115,11 +144,32 @@ def build_sets(docs: DataFrame, n: int, percent: int, classes) -> DataFrame:
                 minima.append(values.tolist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()),
-                 pa.array(prefix, pa.binary()), pa.array(minima, pa.list_(pa.int64()))],
-                ["doc_id", "n", "d1", "d2", "prefix", "minima"],
+                 pa.array(prefix, pa.binary()), pa.array(minima, pa.list_(pa.int64())), pa.array(parity, pa.binary())],
+                ["doc_id", "n", "d1", "d2", "prefix", "minima", "parity"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(build, "doc_id long, n long, d1 long, d2 long, prefix binary, minima array<long>")
+    return docs.select("doc_id", "text").mapInArrow(build, "doc_id long, n long, d1 long, d2 long, prefix binary, minima array<long>, parity binary")
+
+
+def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` that parity bits do not rule out.
+
+    Each element flips one of ``PARITY_BITS`` bits, so two sets differ in at least as many elements
+    as their bits do; a link allows only so many. No link is lost.
+    """
+    bits = classes.select("rep", "n", "parity")
+    with_a = lookup(pairs, bits.select(F.col("rep").alias("a"), F.col("n").alias("_na"), F.col("parity").alias("_pa")), ["a"], "inner")
+    with_b = lookup(with_a, bits.select(F.col("rep").alias("b"), F.col("n").alias("_nb"), F.col("parity").alias("_pb")), ["b"], "inner")
+
+    def check(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("_pa", "_pb"))
+            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            both = batch.column("_na").to_numpy() + batch.column("_nb").to_numpy()
+            keep = pa.array(apart <= both - 2 * -(-percent * both // (100 + percent)))
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
+
+    return with_b.select("a", "b", "_na", "_nb", "_pa", "_pb").mapInArrow(check, "a long, b long").distinct()
 
 
 def verify(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -166,8 +216,8 @@ def candidate_pairs(classes: DataFrame, percent: int, logs, order, buckets: int)
             owner = np.repeat(np.arange(len(lengths)), lengths)
             position = np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             # A very long list is dealt to cells, each pair of its parts meeting in one.
-            parts = np.maximum((1 << logs.value[token >> np.uint64(44)].astype(np.int64)) // HOT_LIST, 1)
-            parts[order.value[token >> np.uint64(44)] == 0] = 1
+            parts = np.maximum((1 << logs.value[_counter(token)].astype(np.int64)) // HOT_LIST, 1)
+            parts[order.value[_counter(token)] == 0] = 1
             if (parts > 1).any():
                 times = np.repeat(np.arange(len(token)), parts)
                 cell = np.arange(len(times)) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -252,22 +302,23 @@ def jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    logs = frequency_sketch(texts, n)
-    order, logs = spark.sparkContext.broadcast(ordering(logs)), spark.sparkContext.broadcast(logs)
+    counts = frequency_sketch(texts, n)
+    # Two arrays of COUNTERS bytes.
+    order, logs = spark.sparkContext.broadcast(ordering(counts)), spark.sparkContext.broadcast(excess(counts))
     rows = stage(build_sets(texts, n, percent, order), "shingle-sets")
     known = rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     # Equal sets have equal prefixes and minima, so any of them will do.
-    classes = stage(known.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("minima").alias("minima")), "shingle-classes")
+    classes = stage(known.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("minima").alias("minima"), F.first("parity").alias("parity")), "shingle-classes")
     members = known.select("doc_id", "n", "d1", "d2").distinct()
     copies = lookup(members, classes.select("n", "d1", "d2", "rep"), ["n", "d1", "d2"], "inner").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).filter("a <> b")
 
-    stars = stage(verify(star_pairs(classes, percent), texts, n, percent), "star-links")
+    stars = stage(verify(possible(star_pairs(classes, percent), classes, percent), texts, n, percent), "star-links")
     grouped = components(stars).select(F.col("node").alias("rep"), F.col("root").alias("_root"))
     listed = lookup(classes.select("rep", "n", "prefix"), grouped, ["rep"]).withColumn("comp", F.coalesce("_root", "rep"))
     entries = (classes.agg(F.sum(F.length("prefix"))).first()[0] or 0) // 8
     buckets = max(parallelism(spark), -(-entries // ENTRIES_PER_BUCKET))
     candidates = stage(candidate_pairs(listed, percent, logs, order, buckets), "candidates")
-    links = verify(candidates, texts, n, percent)
+    links = verify(stage(possible(candidates, classes, percent), "possible-links"), texts, n, percent)
     linked = components(stars.unionByName(links).unionByName(copies)).select(F.col("node").alias("doc_id"), F.col("root").alias("_root"))
     return lookup(rows.select("doc_id", F.col("n").alias("n_shingles")), linked, ["doc_id"]).select("doc_id", "n_shingles", F.coalesce("_root", "doc_id").alias("component_id"))
 

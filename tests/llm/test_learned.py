@@ -86,7 +86,7 @@ def test_jaccard_on_groups_and_odd_rows(spark, odd_docs, no_docs, monkeypatch):
     # Long lists dealt to cells, and few hash minima in common, find the same links.
     monkeypatch.setattr(jaccard, "HOT_LIST", 2)
     monkeypatch.setattr(jaccard, "KEY_BINS", ())
-    monkeypatch.setattr(jaccard, "ordering", lambda logs: np.ones(len(logs), np.uint8))
+    monkeypatch.setattr(jaccard, "ordering", lambda counts: np.ones(len(counts), np.uint8))
     monkeypatch.setattr(jaccard, "star_pairs", lambda classes, percent: classes.select(classes.rep.alias("a"), classes.rep.alias("b")).limit(0))
     same_rows(jaccard.jaccard_classes(df), expected)
     assert jaccard.jaccard_classes(no_docs).collect() == []
