@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import held_out, without
 from .subwords import Model, train
 
-PER_CLASS = 1200
+PER_CLASS = 600
 MAX_CLASSES = 256
 UNDETERMINED = "und"
 KEEP_AT = 0.3
@@ -34,8 +34,8 @@ def sample_by_class(labelled: DataFrame, label: str, per_class: int, seed: int =
 
 
 def _fit(sample: DataFrame, label: str, keep_case: bool, seed: int) -> tuple[Model, np.ndarray, np.ndarray]:
-    rows = sorted(sample.select("doc_id", "text", label).collect(), key=lambda r: (r["doc_id"], r["text"]))
-    return train([r["text"] for r in rows], [r[label] for r in rows], keep_case, seed=seed)
+    table = sample.select("doc_id", "text", label).toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    return train(table.column("text"), table.column(label).to_pylist(), keep_case, seed=seed)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = 0) -> Model | None:

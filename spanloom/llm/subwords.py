@@ -18,6 +18,8 @@ from .hashing import LOWER, mix, span_hashes, prefix_hashes, text_slices, words
 BITS = 17
 DIM = 16
 GRAMS = (2, 3, 4)
+# The driver has little memory: training takes its texts in small pieces.
+TRAINING_SLICE = 1 << 17
 _AS_IT_IS = np.arange(256, dtype=np.uint8)
 # Fixed value: the feature of a word that repeats the word before it.
 REPEAT = 0
@@ -95,10 +97,10 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _bags(texts: list[str], bits: int, keep_case: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+def _bags(texts: pa.Array, bits: int, keep_case: bool) -> list[tuple[np.ndarray, np.ndarray]]:
     """(distinct features, their shares) of each text."""
     bags = []
-    for low, high, data, bounds in text_slices(pa.array(texts, pa.large_string())):
+    for low, high, data, bounds in text_slices(texts, TRAINING_SLICE):
         sets = [(f, *_ranges(at)) for f, at in features(data, bounds, bits, keep_case)]
         for i in range(high - low):
             own = [f[first[i] : last[i]] for f, first, last in sets]
@@ -108,7 +110,7 @@ def _bags(texts: list[str], bits: int, keep_case: bool) -> list[tuple[np.ndarray
 
 
 def train(
-    texts: list[str], labels: list, keep_case: bool, epochs: int = 6, rate: float = 2.0, seed: int = 0,
+    texts: pa.Array | pa.ChunkedArray, labels: list, keep_case: bool, epochs: int = 6, rate: float = 2.0, seed: int = 0,
     bits: int = BITS, dim: int = DIM, hold: int = 5,
 ) -> tuple[Model, np.ndarray, np.ndarray]:
     """Stochastic gradient descent over ``texts``; every ``hold``-th text is kept out and sets the temperature.
