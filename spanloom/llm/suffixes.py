@@ -7,7 +7,7 @@ k-gram, wherever they stand.
 1. Anchors: k-gram values are counted over all documents; each batch of documents learns which of
    its own occur in another document. Only contexts of those go on.
 2. Suffix sort: contexts meet by k-gram. Equal contexts are settled at once. The suffixes of the
-   others are sorted by mergesort; two suffixes are compared by binary search for their common
+   others are put in buckets by their first bytes and sorted by mergesort; two are compared by binary search for their common
    extension on prefix polynomial hashes and then by one byte. Neighbours with a common extension
    of ``width`` bytes, verified byte by byte, are equal strings; all but those of the smallest
    ``doc_id`` are removed.
@@ -31,8 +31,8 @@ from .hashing import mix, prefix_hashes, span_hashes, text_slices
 
 WIDTH = 50
 GRAM = 25
-BATCH_BYTES = 6 << 20
-CONTEXT_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
+BUCKETS_PER_BATCH = 2
 _IPC = pa.ipc.IpcWriteOptions(compression="zstd")
 DOCS, COPIES, REPEATED, CONTEXTS, SPANS = range(5)
 ROW = "kind int, dest int, data binary"
@@ -103,9 +103,22 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     return mix(span_hashes(p, at, at + gram))
 
 
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes at each place as one number that sorts like them; zeros follow the end."""
+    wide = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
+    out = np.zeros(len(data) + 1, np.uint64)
+    for k in range(8):
+        out = (out << np.uint64(8)) | wide[k : k + len(out)]
+    return out
+
+
 def _anchor_key(value: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, 40 further bits). Anchors that agree by chance only send contexts for nothing."""
-    return (value % np.uint64(buckets)).astype(np.int64), value >> np.uint64(24)
+    """(bucket, 32 further bits). Anchors that agree by chance only send contexts for nothing."""
+    return (value % np.uint64(buckets)).astype(np.int64), (value >> np.uint64(32)).astype(np.uint32)
+
+
+def _full_key(bucket, key: np.ndarray) -> np.ndarray:
+    return (np.asarray(bucket, np.uint64) << np.uint64(32)) | key.astype(np.uint64)
 
 
 def post_documents(docs: DataFrame) -> DataFrame:
@@ -127,23 +140,32 @@ def post_anchors(docs: DataFrame, batches_n: int, buckets: int, width: int, gram
 
     def post(batches):
         for batch in batches:
-            home = batch.column("batch").to_numpy()
+            home = batch.column("batch").to_numpy().astype(np.int64)
+            kept = []
             for low, _, data, bounds in text_slices(batch.column("text")):
                 value, _, _, owner = contexts(data, bounds, width, gram)
                 bucket, key = _anchor_key(value, buckets)
-                by = np.lexsort((owner, key, bucket))
-                bucket, key, owner = bucket[by], key[by], owner[by]
+                full = _full_key(bucket, key)
+                by = np.argsort(full, kind="stable")
+                full, owner = full[by], owner[by]
                 new = np.ones(len(by), bool)
-                new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]) | (bucket[1:] != bucket[:-1])
-                bucket, key, owner = bucket[new], key[new], owner[new]
-                parts = list(_split(bucket))
-                data = []
-                for _, rows in parts:
-                    # Five bytes of key and the batch, column by column, in order of the key.
-                    packed = np.ascontiguousarray(key[rows].astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:]).tobytes()
-                    data.append(packed + home[low + owner[rows]].astype(np.uint32).tobytes())
-                if parts:
-                    yield _rows(REPEATED, np.array([d for d, _ in parts]), data)
+                new[1:] = (full[1:] != full[:-1]) | (owner[1:] != owner[:-1])
+                kept.append((full[new], home[low + owner[new]]))
+            if not kept:
+                continue
+            full, to = (np.concatenate(x) for x in zip(*kept, strict=True))
+            bucket = (full >> np.uint64(32)).astype(np.int64)
+            by = np.lexsort((to, bucket))
+            full, to, bucket = full[by], to[by], bucket[by]
+            data = []
+            parts = list(_split(bucket))
+            for _, rows in parts:
+                # Batches with the number of their keys, then the keys, 4 bytes each.
+                batches_of, times = np.unique(to[rows], return_counts=True)
+                head = np.concatenate(([len(batches_of)], batches_of, times)).astype(np.uint32)
+                data.append(head.tobytes() + full[rows].astype(np.uint32).tobytes())
+            if parts:
+                yield _rows(REPEATED, np.array([d for d, _ in parts]), data)
 
     return docs.mapInArrow(post, ROW)
 
@@ -156,11 +178,10 @@ def answer_anchors(posted: DataFrame, buckets: int) -> DataFrame:
         dest = -1
         for batch in batches:
             for bucket, data in zip(batch.column("dest").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                dest, n = bucket, len(data) // 9
-                wide = np.zeros((n, 8), np.uint8)
-                wide[:, 3:] = np.frombuffer(data, np.uint8, 5 * n).reshape(n, 5)
-                keys.append(wide.view(">u8").ravel().astype(np.uint64))
-                homes.append(np.frombuffer(data, np.uint32, n, 5 * n).astype(np.int64))
+                dest, head = bucket, np.frombuffer(data, np.uint32)
+                n = int(head[0])
+                homes.append(np.repeat(head[1 : n + 1].astype(np.int64), head[n + 1 : 2 * n + 1]))
+                keys.append(head[2 * n + 1 :])
         if not keys:
             return
         key, home = np.concatenate(keys), np.concatenate(homes)
@@ -173,7 +194,7 @@ def answer_anchors(posted: DataFrame, buckets: int) -> DataFrame:
         key, home = key[shared], home[shared]
         parts = list(_split(home))
         if parts:
-            yield _rows(REPEATED, np.array([d for d, _ in parts]), [np.unique(key[rows] * np.uint64(buckets) + np.uint64(dest)).tobytes() for _, rows in parts])
+            yield _rows(REPEATED, np.array([d for d, _ in parts]), [np.unique(_full_key(dest, key[rows])).tobytes() for _, rows in parts])
 
     return posted.repartitionById(buckets, F.col("dest")).mapInArrow(answer, ROW)
 
@@ -210,55 +231,68 @@ def _classes(data, start, end, doc) -> np.ndarray:
     return rep
 
 
-def post_contexts(joined: DataFrame, buckets: int, width: int, gram: int) -> DataFrame:
-    """Per batch of documents: contexts of shared anchors to their buckets; of equal ones in a batch only the first document's."""
+def _documents(pieces: list[bytes]) -> pa.Table:
+    """The documents of a batch in order of address, equal rows once; a document's number here is its place."""
+    table = _unpack(pieces).combine_chunks()
+    address, first, which = np.unique(table.column("addr").to_numpy(), return_index=True, return_inverse=True)
+    times = np.bincount(which, weights=table.column("times").to_numpy(), minlength=len(address)).astype(np.int64)
+    table = table.take(pa.array(first))
+    return table.set_column(table.column_names.index("times"), "times", pa.array(times))
+
+
+def _data(table: pa.Table, kind: int) -> list[bytes]:
+    kinds, data = table.column("kind").to_pylist(), table.column("data").to_pylist()
+    return [x for k, x in zip(kinds, data, strict=True) if k == kind]
+
+
+def _numbers(pieces: list[bytes], kind) -> np.ndarray:
+    return np.unique(np.concatenate([np.frombuffer(x, kind) for x in pieces] or [np.empty(0, kind)]))
 
-    def work(batches):
-        own: dict[int, list[bytes]] = {DOCS: [], REPEATED: [], COPIES: []}
-        for batch in batches:
-            for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                own[kind].append(data)
-        if not own[DOCS] or not own[REPEATED]:
-            return
-        shared = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in own[REPEATED]]))
-        copies = np.concatenate([np.frombuffer(x, np.int64) for x in own[COPIES]] or [np.empty(0, np.int64)])
-        table = _unpack(own[DOCS]).combine_chunks()
-        _, first = np.unique(table.column("addr").to_numpy(), return_index=True)
-        table = table.take(pa.array(first))
-        known = table.column("doc_id").is_valid().to_numpy() & ~np.isin(table.column("addr").to_numpy(), copies)
-        table = table.filter(pa.array(known))
-        if not table.num_rows:
-            return
-        ids, addresses = table.column("doc_id").to_numpy(), table.column("addr").to_numpy()
-        for low, _, data, bounds in text_slices(table.column("text"), 2 << 20):
-            value, start, end, owner = contexts(data, bounds, width, gram)
-            bucket, key = _anchor_key(value, buckets)
-            full = key * np.uint64(buckets) + bucket.astype(np.uint64)
-            at = np.minimum(np.searchsorted(shared, full), len(shared) - 1)
-            hit = shared[at] == full
-            value, start, end, owner = value[hit], start[hit], end[hit], owner[hit]
-            if not len(value):
-                continue
-            doc = ids[low + owner]
-            rep = _classes(data, start, end, doc)
-            later = doc > doc[rep]
-            place = start - bounds[owner]
-            size = end - start
-            if later.any():
-                table_of = pa.table({"addr": addresses[low + owner[later]], "start": place[later], "end": (place + size)[later]})
-                yield _rows(SPANS, np.array([-1]), [_pack(table_of)])
-            sent = np.flatnonzero(~later)
-            for dest, rows in _split((value[sent] % np.uint64(buckets)).astype(np.int64)):
-                rows = sent[rows]
-                total = np.cumsum(size[rows])
-                text = data[np.repeat(start[rows] - total + size[rows], size[rows]) + np.arange(total[-1])]
-                strings = pa.BinaryArray.from_buffers(
-                    pa.binary(), len(rows), [None, pa.py_buffer(np.concatenate(([0], total)).astype(np.int32).tobytes()), pa.py_buffer(text.tobytes())]
-                )
-                packed = pa.table({"value": value[rows], "doc_id": doc[rows], "addr": addresses[low + owner[rows]], "start": place[rows], "text": strings})
-                yield _rows(CONTEXTS, np.array([dest]), [_pack(packed)])
-
-    return joined.mapInArrow(work, ROW)
+
+def batch_contexts(documents: pa.Table, facts: pa.Table, buckets: int, width: int, gram: int) -> pa.Table:
+    """Per batch of documents: contexts of shared anchors to their buckets; of equal ones in a batch only the first document's."""
+    out = [_rows(SPANS, np.empty(0, int), [])]
+    shared = _numbers(_data(facts, REPEATED), np.uint64)
+    if not len(shared) or not documents.num_rows:
+        return pa.Table.from_batches(out)
+    home = documents.column("dest")[0].as_py()
+    table = _documents(_data(documents, DOCS))
+    known = table.column("doc_id").is_valid().to_numpy() & ~np.isin(table.column("addr").to_numpy(), _numbers(_data(facts, COPIES), np.int64))
+    number = np.flatnonzero(known)
+    table = table.filter(pa.array(known))
+    ids = table.column("doc_id").to_numpy()
+    for low, _, data, bounds in text_slices(table.column("text")):
+        value, start, end, owner = contexts(data, bounds, width, gram)
+        bucket, key = _anchor_key(value, buckets)
+        full = _full_key(bucket, key)
+        at = np.minimum(np.searchsorted(shared, full), len(shared) - 1)
+        hit = shared[at] == full
+        bucket, key, start, end, owner = bucket[hit], key[hit], start[hit], end[hit], owner[hit]
+        if not len(key):
+            continue
+        doc = ids[low + owner]
+        rep = _classes(data, start, end, doc)
+        later = doc > doc[rep]
+        place, size, which = start - bounds[owner], end - start, number[low + owner]
+        if later.any():
+            # Settled here; they pass through the bucket of their first context to the batch.
+            spans = pa.table({"batch": np.full(later.sum(), home, np.int32), "doc": which[later].astype(np.int32), "start": place[later], "end": (place + size)[later]})
+            out.append(_rows(SPANS, bucket[later][:1], [_pack(spans)]))
+        sent = np.flatnonzero(~later)
+        parts = list(_split(bucket[sent]))
+        packed = []
+        for _, rows in parts:
+            rows = sent[rows]
+            total = np.cumsum(size[rows])
+            text = data[np.repeat(start[rows] - total + size[rows], size[rows]) + np.arange(total[-1])]
+            offsets = pa.py_buffer(np.concatenate(([0], total)).astype(np.int32).tobytes())
+            packed.append(_pack(pa.table({
+                "batch": np.full(len(rows), home, np.int32), "doc": which[rows].astype(np.int32), "start": place[rows].astype(np.int32),
+                "doc_id": doc[rows], "key": key[rows], "text": pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, offsets, pa.py_buffer(text.tobytes())]),
+            })))
+        if parts:
+            out.append(_rows(CONTEXTS, np.array([d for d, _ in parts]), packed))
+    return pa.Table.from_batches(out)
 
 
 class Suffixes:
@@ -278,10 +312,12 @@ class Suffixes:
 
     def before(self, a: np.ndarray, b: np.ndarray, or_equal: bool) -> np.ndarray:
         """Whether suffix ``a`` comes before ``b``."""
+        out = np.full(len(a), or_equal)
+        differ = np.flatnonzero(span_hashes(self.prefix, a, a + self.width) != span_hashes(self.prefix, b, b + self.width))
+        a, b = a[differ], b[differ]
         length = self.common(a, b)
-        equal = length >= self.width
-        at = np.minimum(length, self.width - 1)
-        return np.where(equal, or_equal, self.data[a + at] < self.data[b + at])
+        out[differ] = self.data[a + length] < self.data[b + length]
+        return out
 
     def sort(self, at: np.ndarray, segment: np.ndarray) -> np.ndarray:
         """``at`` sorted by suffix within each run of equal ``segment`` numbers: mergesort, all runs of a level at once.
@@ -296,7 +332,11 @@ class Suffixes:
         inner = np.arange(len(at)) - begin
         run = 1
         while run < size.max(initial=0):
-            busy = np.flatnonzero(length > run)
+            # Pairs of runs that are in order as they stand, as all runs of equal suffixes are, stay.
+            lead = np.flatnonzero((inner % (2 * run) == 0) & (inner + run < length))
+            apart = np.zeros(len(at), bool)
+            apart[lead] = ~self.before(at[lead + run - 1], at[lead + run], True)
+            busy = np.flatnonzero(apart[begin + inner - inner % (2 * run)])
             k, n, base = inner[busy], length[busy], begin[busy]
             block = k // run
             left = block % 2 == 0
@@ -322,14 +362,15 @@ class Suffixes:
 
 
 def _removed(table: pa.Table, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(address, start, end) of spans to remove among the contexts of one bucket."""
+    """(context number, start, end) of spans to remove among the contexts of one bucket, as places in their documents."""
     text = table.column("text").combine_chunks().cast(pa.large_binary())
     (_, _, data, bounds), = list(text_slices(text, 1 << 62))
     start, end = bounds[:-1], bounds[1:]
-    value, doc, addr, place = (table.column(c).to_numpy() for c in ("value", "doc_id", "addr", "start"))
+    value, doc, place = (table.column(c).to_numpy() for c in ("key", "doc_id", "start"))
+    place = place.astype(np.int64)
     rep = _classes(data, start, end, doc)
     later = doc > doc[rep]
-    out = [(addr[later], place[later], place[later] + (end - start)[later])]
+    out = [(np.flatnonzero(later), place[later], place[later] + (end - start)[later])]
     heads = np.flatnonzero(rep == np.arange(len(rep)))
     heads = heads[np.argsort(value[heads], kind="stable")]
     crowd = np.zeros(len(heads), bool)
@@ -344,12 +385,21 @@ def _removed(table: pa.Table, width: int, gram: int) -> tuple[np.ndarray, np.nda
         at = np.repeat(start[heads] - total + windows, windows) + np.arange(total[-1])
         # The k-gram's place in a string is part of the string: equal strings agree in it.
         byte_value = np.repeat(value, end - start)
-        hits = np.flatnonzero(gram_hashes(data, gram) == byte_value[: len(data) - gram + 1])
+        hits = np.flatnonzero((gram_hashes(data, gram) >> np.uint64(32)).astype(np.uint32) == byte_value[: len(data) - gram + 1])
         offset = hits[np.minimum(np.searchsorted(hits, at), len(hits) - 1)] - at
-        by = np.lexsort((offset, value[owner]))
-        at, owner, offset = at[by], owner[by], offset[by]
-        fresh = np.ones(len(at), bool)
-        fresh[1:] = (value[owner][1:] != value[owner][:-1]) | (offset[1:] != offset[:-1])
+        # Buckets by first bytes keep the order of suffixes: the first eight and, where those reach
+        # the common k-gram, the eight after it. The mergesort is left with what is equal so far.
+        eight = eight_bytes(data)
+        head = eight[at]
+        after = np.where(offset < 8, eight[np.minimum(at + offset + gram, len(eight) - 1)], np.uint64(0))
+        group = value[owner]
+        by = np.lexsort((after, head, offset, group))
+        at = at[by]
+        fresh = np.zeros(len(at), bool)
+        fresh[0] = True
+        for key in (group, offset, head, after):
+            key = key[by]
+            fresh[1:] |= key[1:] != key[:-1]
         segment = np.cumsum(fresh)
         many = np.bincount(segment)[segment] > 1
         at, segment = at[many], segment[many]
@@ -382,78 +432,69 @@ def _removed(table: pa.Table, width: int, gram: int) -> tuple[np.ndarray, np.nda
                 each = np.repeat(np.arange(len(head)), times)
                 which = equals[np.repeat(first, times) + np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times)]
                 shift = place[which] - start[head[each]]
-                out.append((addr[which], low[each] + shift, high[each] + shift))
+                out.append((which, low[each] + shift, high[each] + shift))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
 def settle_contexts(posted: DataFrame, buckets: int, width: int, gram: int) -> DataFrame:
-    def work(batches):
-        own = [x for batch in batches for x in batch.column("data").to_pylist()]
-        if own:
-            addr, start, end = _removed(_unpack(own), width, gram)
-            if len(addr):
-                yield _rows(SPANS, np.array([-1]), [_pack(pa.table({"addr": addr, "start": start, "end": end}))])
-
-    return posted.repartitionById(buckets, F.col("dest")).mapInArrow(work, ROW)
-
-
-def deal_spans(spans: DataFrame, batches_n: int) -> DataFrame:
-    """Spans to the batches of their documents."""
+    """To every batch, the spans its documents lose."""
 
     def work(batches):
+        own: list[bytes] = []
         for batch in batches:
-            for data in batch.column("data").to_pylist():
-                table = _unpack([data])
-                yield from _post(SPANS, np.mod(table.column("addr").to_numpy(), batches_n), table)
-
-    return spans.mapInArrow(work, ROW)
+            for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                if kind == CONTEXTS:
+                    own.append(data)
+                else:
+                    spans = _unpack([data])
+                    yield from _post(SPANS, spans.column("batch").to_numpy(), spans)
+        if own:
+            table = _unpack(own)
+            which, start, end = _removed(table, width, gram)
+            home = table.column("batch").to_numpy()[which]
+            yield from _post(SPANS, home, pa.table({"batch": home, "doc": table.column("doc").to_numpy()[which], "start": start, "end": end}))
 
+    return posted.repartitionById(buckets, F.col("dest")).mapInArrow(work, ROW)
 
-def remove_spans(joined: DataFrame, width: int) -> DataFrame:
-    """Per document: its bytes, the removed spans and what is kept."""
 
-    def work(batches):
-        own: dict[int, list[bytes]] = {DOCS: [], COPIES: [], SPANS: []}
-        for batch in batches:
-            for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                own[kind].append(data)
-        if not own[DOCS]:
-            return
-        copies = np.unique(np.concatenate([np.frombuffer(x, np.int64) for x in own[COPIES]] or [np.empty(0, np.int64)]))
-        addr, low, high = (np.empty(0, np.int64),) * 3
-        if own[SPANS]:
-            spans = _unpack(own[SPANS])
-            addr, low, high = (spans.column(c).to_numpy() for c in ("addr", "start", "end"))
-            by = np.argsort(addr, kind="stable")
-            addr, low, high = addr[by], low[by], high[by]
-        for piece in own[DOCS]:
-            table = _unpack([piece])
-            ids, sizes, removed, kept = [], [], [], []
-            for row, text in zip(table.select(["doc_id", "addr", "times"]).to_pylist(), table.column("text"), strict=True):
-                data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-                change = np.zeros(len(data) + 1, np.int32)
-                s, e = np.searchsorted(addr, row["addr"], "left"), np.searchsorted(addr, row["addr"], "right")
-                np.add.at(change, low[s:e], 1)
-                np.add.at(change, high[s:e], -1)
-                at = np.searchsorted(copies, row["addr"])
-                if len(data) >= width and at < len(copies) and copies[at] == row["addr"]:
+RESULT = "doc_id long, n_bytes long, spans array<struct<start:long,length:long>>, kept binary"
+
+
+def batch_results(documents: pa.Table, facts: pa.Table, width: int) -> pa.Table:
+    """Per document of a batch: its bytes, the removed spans and what is kept."""
+    ids, sizes, removed, kept = [], [], [], []
+    if documents.num_rows:
+        table = _documents(_data(documents, DOCS))
+        copy = np.isin(table.column("addr").to_numpy(), _numbers(_data(facts, COPIES), np.int64))
+        pieces = _data(facts, SPANS)
+        doc, low, high = (np.empty(0, np.int64),) * 3
+        if pieces:
+            spans = _unpack(pieces)
+            doc, low, high = (spans.column(c).to_numpy().astype(np.int64) for c in ("doc", "start", "end"))
+            by = np.argsort(doc, kind="stable")
+            doc, low, high = doc[by], low[by], high[by]
+        first = np.searchsorted(doc, np.arange(table.num_rows + 1))
+        times, names = table.column("times").to_pylist(), table.column("doc_id").to_pylist()
+        row = 0
+        for _, _, data, bounds in text_slices(table.column("text")):
+            for i in range(len(bounds) - 1):
+                own = data[bounds[i] : bounds[i + 1]]
+                change = np.zeros(len(own) + 1, np.int32)
+                np.add.at(change, low[first[row] : first[row + 1]], 1)
+                np.add.at(change, high[first[row] : first[row + 1]], -1)
+                if copy[row] and len(own) >= width:
                     change[0] += 1
                 gone = np.cumsum(change[:-1]) > 0
-                edge = np.diff(gone.astype(np.int8), prepend=0, append=0)
-                starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-                found = [{"start": int(a), "length": int(b - a)} for a, b in zip(starts, ends, strict=True)]
-                n = row["times"]
-                ids += [row["doc_id"]] * n
-                sizes += [len(data)] * n
-                removed += [found] * n
-                kept += [data[~gone].tobytes()] * n
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))), pa.array(kept, pa.binary())],
-                ["doc_id", "n_bytes", "spans", "kept"],
-            )
-
-    return joined.mapInArrow(work, "doc_id long, n_bytes long, spans array<struct<start:long,length:long>>, kept binary")
+                edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
+                ids += [names[row]] * times[row]
+                sizes += [len(own)] * times[row]
+                removed += [[{"start": a, "length": b - a} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]] * times[row]
+                kept += [own[~gone].tobytes()] * times[row]
+                row += 1
+    return pa.table({
+        "doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array(sizes, pa.int64()),
+        "spans": pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))), "kept": pa.array(kept, pa.binary()),
+    })
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
@@ -469,7 +510,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     batches = max(1, -(-total // BATCH_BYTES))
-    buckets = max(parallelism(spark), batches)
+    buckets = max(parallelism(spark), BUCKETS_PER_BATCH * batches)
     placed = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("addr"), "text")
     placed = placed.select("doc_id", "addr", F.pmod("addr", F.lit(batches)).cast("int").alias("batch"), "text")
     known = placed.filter(F.col("doc_id").isNotNull())
@@ -488,12 +529,13 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
 
     copied = stage(copies.mapInArrow(post_copies, ROW), "suffix-copies")
     shared = answer_anchors(post_anchors(known.select("batch", "text"), batches, buckets, width, gram), buckets)
-    joined = post_documents(placed).unionByName(copied).unionByName(shared).repartitionById(batches, F.col("dest"))
-    found = stage(post_contexts(joined, buckets, width, gram), "suffix-contexts")
-    settled = settle_contexts(found.filter(F.col("kind") == CONTEXTS), buckets, width, gram)
-    spans = deal_spans(found.filter(F.col("kind") == SPANS).unionByName(settled), batches)
-    joined = post_documents(placed).unionByName(copied).unionByName(spans).repartitionById(batches, F.col("dest"))
-    return remove_spans(joined, width)
+    # The packed documents are shuffled once: both meetings read the same exchange.
+    documents = post_documents(placed).groupBy("dest")
+    facts = copied.unionByName(shared).groupBy("dest")
+    posted = documents.cogroup(facts).applyInArrow(lambda d, f: batch_contexts(d, f, buckets, width, gram), ROW)
+    spans = settle_contexts(posted, buckets, width, gram)
+    facts = copied.unionByName(spans).groupBy("dest")
+    return documents.cogroup(facts).applyInArrow(lambda d, f: batch_results(d, f, width), RESULT)
 
 
 def digest(removed: DataFrame) -> DataFrame:
