@@ -1,10 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
-
-Words are runs without blanks and ASCII punctuation, A-Z in lower case. All n-grams of the
-benchmark are counted over all documents; the rarest of each item are its seeds. Where a document
-holds a seed, the passage around it is aligned with the item, so edited and paraphrased copies
-score by what is left of the item. Every document is read where it lies; only benchmark data
-travel, in slices of bounded size, each slice with passes of its own over the documents.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
+
+Words are runs without blanks and ASCII punctuation, A-Z in lower case. All n-grams of an item are
+its seeds: which of them an edited copy keeps is not known beforehand, and the rarest are those
+that edits destroyed. Where a document holds a seed, the passage around it is aligned with the
+item, so edited and paraphrased copies score by what is left of the item. A copy that keeps no
+``GRAM`` successive words of its item has no seed and is not found. Every document is read where it
+lies; only benchmark data travel, in slices of bounded size, each slice with a pass of its own over
+the documents.
 """
 
 from __future__ import annotations
@@ -18,8 +20,6 @@ from pyspark.sql import DataFrame, functions as F
 from .hashing import BLANK, shingles, text_slices, word_hashes, words
 
 GRAM = 3
-SEED_SHARE = 0.5
-LEAST_SEEDS = 8
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 THRESHOLD = 0.5
 SLICE_BYTES = 4 << 20
@@ -52,27 +52,11 @@ class Items:
             row[: len(own)] = own
         gram, owner, place = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (grams, owners, places))
         by = np.lexsort((place, owner, gram))
-        self.gram, self.owner, self.place = gram[by].astype(np.uint64), owner[by], place[by]
-        self.distinct = np.unique(self.gram)
-        self._index(np.ones(len(self.gram), bool))
-
-    def _index(self, kept: np.ndarray) -> None:
-        self.kept = kept
-        self.seeds, self.first, self.times = np.unique(self.gram[kept], return_index=True, return_counts=True)
-        self.seed_owner, self.seed_place = self.owner[kept], self.place[kept]
+        self.seed_owner, self.seed_place = owner[by], place[by]
+        self.seeds, self.first, self.times = np.unique(gram[by].astype(np.uint64), return_index=True, return_counts=True)
         self.mask = np.zeros(1 << _MASK_BITS, bool)
         self.mask[(self.seeds >> np.uint64(64 - _MASK_BITS)).astype(np.int64)] = True
 
-    def keep_rarest(self, counts: np.ndarray) -> None:
-        """Of each item, the ``SEED_SHARE`` n-grams in the fewest documents, ``LEAST_SEEDS`` at least."""
-        count = counts[np.searchsorted(self.distinct, self.gram)]
-        by = np.lexsort((self.gram, count, self.owner))
-        size = np.bincount(self.owner, minlength=len(self.ids))
-        rank = np.empty(len(by), np.int64)
-        rank[by] = np.arange(len(by)) - np.repeat(np.cumsum(size) - size, size)
-        limit = np.maximum(LEAST_SEEDS, np.ceil(size * SEED_SHARE).astype(np.int64))
-        self._index(rank < limit[self.owner])
-
     def hits(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places in ``gram``, seed numbers) of all seeds."""
         maybe = np.flatnonzero(self.mask[(gram >> np.uint64(64 - _MASK_BITS)).astype(np.int64)])
@@ -159,7 +143,7 @@ def leaks(items: Items, column: pa.Array, threshold: float) -> Iterator[tuple[in
             yield row, number, score, one, max(two - one, 0)
 
 
-def _slices(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
+def _slices(benchmark: DataFrame) -> Iterator[Items]:
     """The benchmark's items with their seeds, a slice of at most about ``SLICE_BYTES`` of text at a time."""
     own = benchmark.filter(F.col("text").isNotNull()).select("item_id", "text")
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -167,27 +151,8 @@ def _slices(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
     for part in range(parts):
         rows = own.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
         items = Items(sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"])))
-        if not len(items.gram):
-            continue
-
-        def count(batches, items=items):
-            total = np.zeros(len(items.distinct), np.int64)
-            for batch in batches:
-                for _, _, data, bounds in text_slices(batch.column("text")):
-                    starts, ends, firsts = words(data, bounds, BETWEEN)
-                    gram, at = shingles(word_hashes(data, starts, ends), firsts, GRAM)
-                    place, seed = items.hits(gram)
-                    doc = np.searchsorted(at, place, "right") - 1
-                    total += np.bincount(np.unique(seed * len(at) + doc) // len(at), minlength=len(total))
-            used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], ["gram", "docs"])
-
-        counted = docs.select("text").mapInArrow(count, "gram int, docs long").groupBy("gram").agg(F.sum("docs").alias("docs"))
-        totals = np.zeros(len(items.distinct), np.int64)
-        for row in counted.collect():
-            totals[row["gram"]] = row["docs"]
-        items.keep_rarest(totals)
-        yield items
+        if len(items.seeds):
+            yield items
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -202,7 +167,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     id_type, item_type = docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType
     schema = f"doc_id {id_type.simpleString()}, item_id {item_type.simpleString()}, score double, first_word long, n_words long"
     result = spark.createDataFrame([], schema)
-    for items in _slices(docs, benchmark):
+    for items in _slices(benchmark):
 
         def search(batches, items=items):
             for batch in batches:
@@ -222,7 +187,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` without a leak, with all their columns."""
     kept = docs
-    for items in _slices(docs, benchmark):
+    for items in _slices(benchmark):
 
         def clean(batches, items=items):
             for batch in batches:

@@ -156,6 +156,32 @@ def smith_waterman(item, passage):
     return best
 
 
+def edited_copies(spark, seed, edit):
+    """20 items with one copy each, edited and put into other words: leaks found, and leaks of an alignment of all pairs."""
+    rng = random.Random(seed)
+    items = [[f"w{rng.randrange(400)}" for _ in range(rng.choice([20, 39, 40]))] for _ in range(20)]
+    docs = []
+    for item in items:
+        around = [f"w{rng.randrange(400)}" for _ in range(60)]
+        docs.append(around[:30] + edit(rng, item) + around[30:])
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    rows = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(docs)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in contamination.find_leaks(rows, bench).collect()}
+    scores = {(d, i): smith_waterman(x, y) / len(x) for d, y in enumerate(docs) for i, x in enumerate(items)}
+    return got, {pair: score for pair, score in scores.items() if score >= contamination.THRESHOLD}
+
+
+def test_leaks_of_edited_copies(spark):
+    def substitute(rng, item):
+        own = list(item)
+        for k in range(len(item) // 5 if len(item) > 20 else 3):
+            own[k * 5 + (2 if len(item) > 20 else 4)] = f"new{rng.randrange(99)}"
+        return own
+
+    got, wanted = edited_copies(spark, 1, substitute)
+    assert len(wanted) == 20 and got == pytest.approx(wanted)
+
+
 def test_alignment_equals_the_plain_one():
     rng = np.random.default_rng(4)
     item, passage = rng.integers(2, 6, (50, 12)).astype(np.uint64), rng.integers(2, 6, (50, 30)).astype(np.uint64)
