@@ -106,7 +106,8 @@ def leaks(items: Items, column: pa.Array, threshold: float) -> Iterator[tuple[in
         diagonal = np.repeat(position, times) - items.seed_place[entry]
         by = np.lexsort((diagonal, item, doc))
         doc, item, diagonal = doc[by], item[by], diagonal[by]
-        pad = np.maximum(8, items.lengths[item] // 4)
+        # The words that a passing alignment can leave out or put in: beyond them nothing belongs to the same one.
+        pad = np.ceil(max(0.0, 1 - threshold) * MATCH * items.lengths[item] / -GAP).astype(np.int64)
         fresh = np.ones(len(doc), bool)
         fresh[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > pad[1:])
         first = np.flatnonzero(fresh)

@@ -182,6 +182,17 @@ def test_leaks_of_edited_copies(spark):
     assert len(wanted) == 20 and got == pytest.approx(wanted)
 
 
+def test_leaks_across_insertions(spark):
+    def insert(rng, item):
+        half = len(item) // 2
+        low, high = list(item[:half]), list(item[half:])
+        low[3], high[-4] = "new", "other"
+        return low + [f"in{k}" for k in range(len(item) * 5 // 8)] + high
+
+    got, wanted = edited_copies(spark, 2, insert)
+    assert len(wanted) == 20 and got == pytest.approx(wanted)
+
+
 def test_alignment_equals_the_plain_one():
     rng = np.random.default_rng(4)
     item, passage = rng.integers(2, 6, (50, 12)).astype(np.uint64), rng.integers(2, 6, (50, 30)).astype(np.uint64)
