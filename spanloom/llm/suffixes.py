@@ -10,7 +10,9 @@ k-gram, wherever they stand.
    others are put in buckets by their first bytes and sorted by mergesort; two are compared by binary search for their common
    extension on prefix polynomial hashes and then by one byte. Neighbours with a common extension
    of ``width`` bytes, verified byte by byte, are equal strings; all but those of the smallest
-   ``doc_id`` are removed.
+   ``doc_id`` are removed. A k-gram of very many documents would bring all contexts of a common
+   passage's edges to one task: its contexts are cut into strings of ``width`` bytes, each of a
+   slice once, which meet by hash of the whole string and are compared as they are.
 3. Each batch of documents is met with its removed spans.
 
 Data move as packed, compressed arrays, one row per sender and receiver.
@@ -33,8 +35,10 @@ WIDTH = 50
 GRAM = 25
 BATCH_BYTES = 4 << 20
 BUCKETS_PER_BATCH = 2
+# Contexts of one k-gram in so many documents are some 20 MB with what their sort needs.
+HOT_DOCS = 8192
 _IPC = pa.ipc.IpcWriteOptions(compression="zstd")
-DOCS, COPIES, REPEATED, CONTEXTS, SPANS = range(5)
+DOCS, COPIES, REPEATED, CONTEXTS, SPANS, HOT, STRINGS = range(7)
 ROW = "kind int, dest int, data binary"
 
 
@@ -170,8 +174,8 @@ def post_anchors(docs: DataFrame, batches_n: int, buckets: int, width: int, gram
     return docs.mapInArrow(post, ROW)
 
 
-def answer_anchors(posted: DataFrame, buckets: int) -> DataFrame:
-    """To every batch, the keys among its own that more than one document holds."""
+def answer_anchors(posted: DataFrame, buckets: int, hot: int) -> DataFrame:
+    """To every batch, the keys among its own that more than one document holds, and those that more than ``hot`` hold."""
 
     def answer(batches):
         keys, homes = [], []
@@ -192,9 +196,12 @@ def answer_anchors(posted: DataFrame, buckets: int) -> DataFrame:
         shared[1:] |= same
         shared[:-1] |= same
         key, home = key[shared], home[shared]
-        parts = list(_split(home))
-        if parts:
-            yield _rows(REPEATED, np.array([d for d, _ in parts]), [np.unique(_full_key(dest, key[rows])).tobytes() for _, rows in parts])
+        _, which, times = np.unique(key, return_inverse=True, return_counts=True)
+        crowded = times[which] > hot
+        for kind, rows_of in ((REPEATED, np.arange(len(key))), (HOT, np.flatnonzero(crowded))):
+            parts = list(_split(home[rows_of]))
+            if parts:
+                yield _rows(kind, np.array([d for d, _ in parts]), [np.unique(_full_key(dest, key[rows_of[rows]])).tobytes() for _, rows in parts])
 
     return posted.repartitionById(buckets, F.col("dest")).mapInArrow(answer, ROW)
 
@@ -231,6 +238,46 @@ def _classes(data, start, end, doc) -> np.ndarray:
     return rep
 
 
+def _has_earlier(text: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether a smaller document holds the same string (of fixed width, compared byte by byte)."""
+    by = np.argsort(text, kind="stable")
+    fresh = np.ones(len(by), bool)
+    fresh[1:] = text[by[1:]] != text[by[:-1]]
+    group = np.flatnonzero(fresh)
+    smallest = np.repeat(np.minimum.reduceat(doc[by], group), np.diff(np.append(group, len(by))))
+    out = np.empty(len(by), bool)
+    out[by] = doc[by] > smallest
+    return out
+
+
+def _string_type(width: int) -> np.dtype:
+    """A row of ``STRINGS``: a string of ``width`` bytes and where it stands."""
+    return np.dtype([("batch", np.int32), ("doc", np.int32), ("start", np.int32), ("doc_id", np.int64), ("text", f"S{width}")])
+
+
+def _hot_strings(data, start, end, place, which, doc, home: int, buckets: int, width: int) -> list[pa.RecordBatch]:
+    """The strings of contexts of hot anchors to buckets of their own; those with an earlier one in the slice are settled here."""
+    windows = end - start - width + 1
+    shift = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+    at = np.repeat(start, windows) + shift
+    rows = np.empty(len(at), _string_type(width))
+    rows["batch"], rows["doc"], rows["doc_id"] = home, np.repeat(which, windows), np.repeat(doc, windows)
+    rows["start"] = np.repeat(place, windows) + shift
+    rows["text"] = np.lib.stride_tricks.sliding_window_view(data, width)[at].view(f"S{width}")[:, 0]
+    bucket = (mix(span_hashes(prefix_hashes(data), at, at + width)) % np.uint64(buckets)).astype(np.int64)
+    later = _has_earlier(rows["text"], rows["doc_id"])
+    out = []
+    if later.any():
+        low = rows["start"][later]
+        spans = pa.table({"batch": rows["batch"][later], "doc": rows["doc"][later], "start": low.astype(np.int64), "end": low.astype(np.int64) + width})
+        out.append(_rows(SPANS, bucket[later][:1], [_pack(spans)]))
+    rows, bucket = rows[~later], bucket[~later]
+    parts = list(_split(bucket))
+    if parts:
+        out.append(_rows(STRINGS, np.array([d for d, _ in parts]), [rows[r].tobytes() for _, r in parts]))
+    return out
+
+
 def _documents(pieces: list[bytes]) -> pa.Table:
     """The documents of a batch in order of address, equal rows once; a document's number here is its place."""
     table = _unpack(pieces).combine_chunks()
@@ -250,9 +297,12 @@ def _numbers(pieces: list[bytes], kind) -> np.ndarray:
 
 
 def batch_contexts(documents: pa.Table, facts: pa.Table, buckets: int, width: int, gram: int) -> pa.Table:
-    """Per batch of documents: contexts of shared anchors to their buckets; of equal ones in a batch only the first document's."""
+    """Per batch of documents: contexts of shared anchors to their buckets; of equal ones in a batch only the first document's.
+
+    Contexts of hot anchors go as strings.
+    """
     out = [_rows(SPANS, np.empty(0, int), [])]
-    shared = _numbers(_data(facts, REPEATED), np.uint64)
+    shared, hot = _numbers(_data(facts, REPEATED), np.uint64), _numbers(_data(facts, HOT), np.uint64)
     if not len(shared) or not documents.num_rows:
         return pa.Table.from_batches(out)
     home = documents.column("dest")[0].as_py()
@@ -267,7 +317,7 @@ def batch_contexts(documents: pa.Table, facts: pa.Table, buckets: int, width: in
         full = _full_key(bucket, key)
         at = np.minimum(np.searchsorted(shared, full), len(shared) - 1)
         hit = shared[at] == full
-        bucket, key, start, end, owner = bucket[hit], key[hit], start[hit], end[hit], owner[hit]
+        bucket, key, start, end, owner, crowded = bucket[hit], key[hit], start[hit], end[hit], owner[hit], np.isin(full[hit], hot)
         if not len(key):
             continue
         doc = ids[low + owner]
@@ -278,7 +328,10 @@ def batch_contexts(documents: pa.Table, facts: pa.Table, buckets: int, width: in
             # Settled here; they pass through the bucket of their first context to the batch.
             spans = pa.table({"batch": np.full(later.sum(), home, np.int32), "doc": which[later].astype(np.int32), "start": place[later], "end": (place + size)[later]})
             out.append(_rows(SPANS, bucket[later][:1], [_pack(spans)]))
-        sent = np.flatnonzero(~later)
+        cut = np.flatnonzero(~later & crowded)
+        if len(cut):
+            out += _hot_strings(data, start[cut], end[cut], place[cut], which[cut], doc[cut], home, buckets, width)
+        sent = np.flatnonzero(~later & ~crowded)
         parts = list(_split(bucket[sent]))
         packed = []
         for _, rows in parts:
@@ -441,10 +494,13 @@ def settle_contexts(posted: DataFrame, buckets: int, width: int, gram: int) -> D
 
     def work(batches):
         own: list[bytes] = []
+        strings: list[bytes] = []
         for batch in batches:
             for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data").to_pylist(), strict=True):
                 if kind == CONTEXTS:
                     own.append(data)
+                elif kind == STRINGS:
+                    strings.append(data)
                 else:
                     spans = _unpack([data])
                     yield from _post(SPANS, spans.column("batch").to_numpy(), spans)
@@ -453,6 +509,11 @@ def settle_contexts(posted: DataFrame, buckets: int, width: int, gram: int) -> D
             which, start, end = _removed(table, width, gram)
             home = table.column("batch").to_numpy()[which]
             yield from _post(SPANS, home, pa.table({"batch": home, "doc": table.column("doc").to_numpy()[which], "start": start, "end": end}))
+        if strings:
+            rows = np.concatenate([np.frombuffer(x, _string_type(width)) for x in strings])
+            rows = rows[_has_earlier(rows["text"], rows["doc_id"])]
+            start = rows["start"].astype(np.int64)
+            yield from _post(SPANS, rows["batch"], pa.table({"batch": rows["batch"].copy(), "doc": rows["doc"].copy(), "start": start, "end": start + width}))
 
     return posted.repartitionById(buckets, F.col("dest")).mapInArrow(work, ROW)
 
@@ -497,14 +558,15 @@ def batch_results(documents: pa.Table, facts: pa.Table, width: int) -> pa.Table:
     })
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = HOT_DOCS) -> DataFrame:
     """``doc_id``, ``n_bytes``, removed ``spans`` and ``kept`` bytes for every row of ``docs`` (``doc_id``, ``text``).
 
     A byte goes if a string of ``width`` bytes over it also starts in a document with a smaller
     ``doc_id``, judged on the whole UTF-8 texts as given; matches never cross documents. NULL and
     empty texts keep their no bytes; texts under ``width`` bytes keep all. Rows of one ``doc_id`` do
     not count as earlier than each other. A NULL ``doc_id`` is neither earlier nor later than any.
-    An empty table gives an empty result; other columns are not read.
+    An empty table gives an empty result; other columns are not read. ``hot`` decides how strings
+    meet, not which of them go.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -528,7 +590,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
                 yield _rows(COPIES, np.array([d for d, _ in lists]), [addr[r].astype(np.int64).tobytes() for _, r in lists])
 
     copied = stage(copies.mapInArrow(post_copies, ROW), "suffix-copies")
-    shared = answer_anchors(post_anchors(known.select("batch", "text"), batches, buckets, width, gram), buckets)
+    shared = answer_anchors(post_anchors(known.select("batch", "text"), batches, buckets, width, gram), buckets, hot)
     # The packed documents are shuffled once: both meetings read the same exchange.
     documents = post_documents(placed).groupBy("dest")
     facts = copied.unionByName(shared).groupBy("dest")

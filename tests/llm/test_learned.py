@@ -133,6 +133,32 @@ def test_suffixes_on_odd_rows(spark, odd_docs, no_docs):
     assert suffixes.remove_repeats(no_docs).collect() == []
 
 
+def test_suffixes_of_hot_anchors(spark, odd_docs):
+    rng = random.Random(12)
+    passage = "This licence line stands in very many documents and has other text around it. "
+    texts = [" ".join(f"w{rng.randrange(9000)}" for _ in range(20)) + passage + " ".join(f"w{rng.randrange(9000)}" for _ in range(20)) for _ in range(400)]
+    rows = list(enumerate(texts)) + [(r.doc_id, r.text) for r in odd_docs.collect()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = brute.remove_repeats(rows, 50)
+    for hot in (1, 100):
+        same_rows(suffixes.digest(suffixes.remove_repeats(df, hot=hot)), wanted)
+
+    # No bucket gets much of what a hot anchor brings.
+    table = pa.table({"doc_id": pa.array(range(400), pa.int64()), "addr": pa.array(range(400), pa.int64()), "times": pa.array([1] * 400, pa.int64()), "text": texts})
+    documents = pa.Table.from_batches(suffixes._post(suffixes.DOCS, np.zeros(400, np.int64), table))
+    found = [suffixes.contexts(d, b, 50, 25)[0] for _, _, d, b in suffixes.text_slices(table.column("text"))]
+    keys, counts = np.unique(suffixes._full_key(*suffixes._anchor_key(np.concatenate(found), 64)), return_counts=True)
+    facts = [suffixes._rows(kind, np.zeros(1, int), [keys[counts > least].tobytes()]) for kind, least in ((suffixes.REPEATED, 1), (suffixes.HOT, 100))]
+    sent = suffixes.batch_contexts(documents, pa.Table.from_batches(facts), 64, 50, 25).to_pylist()
+    received = np.zeros(64)
+    for r in sent:
+        if r["kind"] == suffixes.STRINGS:
+            received[r["dest"]] += len(r["data"])
+        elif r["kind"] == suffixes.CONTEXTS:
+            received[r["dest"]] += suffixes._unpack([r["data"]]).nbytes
+    assert received.max() < 4 * received.mean()
+
+
 def test_suffix_sort():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 99, 3000).astype(np.uint8)
