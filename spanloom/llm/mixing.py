@@ -2,9 +2,9 @@
 
 Each source's documents, in hash order, are one stream of tokens cut into blocks of fixed length.
 Output slots are dealt to sources by multinomial draws per output shard, stratified so that the
-totals meet the targets: slot numbers of all sources are mapped through one permutation of the
-output, without replacement, hence a shard's counts are random and a source's total is exact. The
-k-th slot of a source takes the block that the source's own permutation gives for k, a new
+totals meet the targets: the slots of all sources stand in the output in the order of a seeded hash
+of their own, so a shard's counts are those of a multinomial draw given that every source's total
+is exact (draws without replacement). The k-th slot of a source takes the block that the source's own permutation gives for k, a new
 permutation for each pass over the source.
 """
 
@@ -61,14 +61,26 @@ def source_plan(docs: DataFrame, block: int) -> DataFrame:
 
 
 def draw_slots(sources: DataFrame, partitions: int, seed: int) -> DataFrame:
-    """Every output slot: its shard and place, and the source (``ordinal``), pass and block it takes."""
-    slots = explode_range(sources.select("ordinal", "blocks", "slots", "first_slot", "all_slots"), "slots", "k", partitions)
-    place = permuted(F.col("first_slot") + F.col("k"), F.col("all_slots"), F.xxhash64(F.lit(seed), F.lit("output")))
+    """Every slot of every source: its number ``k``, and the pass and block it takes."""
+    slots = explode_range(sources.select("ordinal", "blocks", "slots", "all_slots"), "slots", "k", partitions)
     turn = F.floor(F.col("k") / F.col("blocks")).cast("long")
     source_seed = F.xxhash64(F.lit(seed), F.col("ordinal"), turn)
     return slots.select(
-        F.floor(place / SHARD_SLOTS).cast("long").alias("out_shard"), (place % SHARD_SLOTS).cast("int").alias("out_slot"),
-        "ordinal", turn.alias("pass"), permuted(F.col("k") % F.col("blocks"), F.col("blocks"), source_seed).alias("block"),
+        "ordinal", "k", "all_slots", turn.alias("pass"), permuted(F.col("k") % F.col("blocks"), F.col("blocks"), source_seed).alias("block")
+    )
+
+
+def place_slots(drawn: DataFrame, seed: int) -> DataFrame:
+    """``drawn`` with the output shard and place of each slot: their order by hash, numbered in chunks of about ``CHUNK_ROWS``."""
+    hashed = drawn.withColumn("_hash", F.xxhash64(F.lit(seed), F.lit("output"), "ordinal", "k"))
+    hashed = hashed.withColumn("_chunk", F.pmod(F.col("_hash"), F.ceil(F.col("all_slots") / CHUNK_ROWS).cast("long")))
+    sums = hashed.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_sum"))
+    offsets = exclusive_offsets(sums, [], "_chunk", "_sum", "_offset").select("_chunk", "_offset")
+    inside = Window.partitionBy("_chunk").orderBy("_hash", "ordinal", "k")
+    placed = hashed.withColumn("_inner", F.row_number().over(inside) - 1).join(offsets.hint("merge"), ["_chunk"])
+    place = F.col("_offset") + F.col("_inner")
+    return placed.select(
+        F.floor(place / SHARD_SLOTS).cast("long").alias("out_shard"), (place % SHARD_SLOTS).cast("int").alias("out_slot"), "ordinal", "pass", "block"
     )
 
 
@@ -108,7 +120,8 @@ class Mix:
         self.docs = stage(sized(df), "mix-docs")
         self.sources = stage(source_plan(self.docs, block), "mix-sources")
         rows = self.docs.count()
-        self.slots = draw_slots(self.sources, self.partitions, seed)
+        self.drawn = draw_slots(self.sources, self.partitions, seed)
+        self.slots = place_slots(self.drawn, seed)
         self.pieces = pack(self.docs, self.sources, rows, block, self.partitions, seed)
 
     def shard_counts(self) -> DataFrame:
@@ -121,7 +134,7 @@ class Mix:
 
     def taken(self) -> DataFrame:
         """One row per row of the input: words the mix takes from it, repeats counted."""
-        uses = self.slots.groupBy("ordinal", "block").agg(F.count(F.lit(1)).alias("_uses"))
+        uses = self.drawn.groupBy("ordinal", "block").agg(F.count(F.lit(1)).alias("_uses"))
         # Sizes are estimated from before the expansion of ranges, so the planner must not choose a broadcast.
         drawn = self.pieces.join(uses.hint("merge"), ["ordinal", "block"], "left")
         sums = drawn.groupBy("doc_id", "source", "size", "copy").agg(F.sum(F.col("piece") * F.coalesce("_uses", F.lit(0))).alias("taken"))

@@ -6,6 +6,7 @@ import hashlib
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,6 +109,22 @@ def test_mixing_query(spark):
         assert abs(taken[s] - wanted) <= 2 * mixing.BLOCK
 
 
+def test_mixing_shards_are_random(spark):
+    numbers = [10240, 20480, 30720]
+    rows = [(i, n, n, sum(numbers[:i]), sum(numbers)) for i, n in enumerate(numbers)]
+    sources = spark.createDataFrame(rows, "ordinal long, blocks long, slots long, first_slot long, all_slots long")
+    for seed in range(3):
+        placed = mixing.place_slots(mixing.draw_slots(sources, 8, seed), seed).collect()
+        assert sorted(r.out_shard * mixing.SHARD_SLOTS + r.out_slot for r in placed) == list(range(sum(numbers)))
+        assert Counter(r.ordinal for r in placed) == dict(enumerate(numbers))
+        counts = Counter((r.out_shard, r.ordinal) for r in placed)
+        for i, n in enumerate(numbers):
+            share = n / sum(numbers)
+            spread = np.std([counts[shard, i] for shard in range(60)])
+            # A draw of 1024 slots without replacement; 60 shards show it to about a tenth.
+            assert spread == pytest.approx((mixing.SHARD_SLOTS * share * (1 - share)) ** 0.5, rel=0.35)
+
+
 def test_mixing_slots(spark, odd_docs, no_docs):
     mix = mixing.Mix(odd_docs)
     rows = mix.taken().collect()
