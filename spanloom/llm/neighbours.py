@@ -126,7 +126,7 @@ def nearest(df: DataFrame, every: int = 20, k: int = 20, curves: int = CURVES, s
     asked = placed.groupBy("h").agg(F.max(F.col("vec_id") % every == 0).alias("asked"), F.min("vec_id").alias("rep"))
     entries = stage(lookup(rows.join(asked.select(F.col("rep").alias("vec_id"), "asked"), "vec_id"), asked.select("h", "rep"), ["h"], "inner").select("vec_id", "asked", "v"), "entries")
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    longest = entries.agg(F.max(length)).first()[0]
+    longest, many = entries.agg(F.max(length), F.count(F.lit(1))).first()
 
     def lay(batches):
         """Every curve's entries: candidates with their key and code, queries likewise."""
@@ -162,7 +162,8 @@ def nearest(df: DataFrame, every: int = 20, k: int = 20, curves: int = CURVES, s
     ranked = chunked.withColumn("_inner", F.sum(1 - F.col("role")).over(inside)).join(F.broadcast(offsets), ["_chunk", "curve"])
     ranked = stage(ranked.withColumn("rank", F.col("_offset") + F.col("_inner")).select("curve", "rank", "vec_id", "role", "step", "code"), "curves")
 
-    reach = _reach(entries, ranked, k, recall)
+    # Where there are hardly more entries than are wanted, each is in reach of all.
+    reach = many if many <= 4 * (k + SPARE) else _reach(entries, ranked, k, recall)
     block = F.floor(F.col("rank") / reach).cast("long")
     blocks = F.when(F.col("role") == 0, F.array(block)).otherwise(F.array(block - 1, block, block + 1))
     dealt = ranked.withColumn("block", F.explode(blocks))

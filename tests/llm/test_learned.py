@@ -283,6 +283,13 @@ def test_neighbours_query(spark):
     assert recall(QUERIES["op6_neighbours"](spark, SMALL).collect(), brute_neighbours(rows, 20, 20)) >= 0.95
 
 
+def test_neighbours_of_few_rows(spark):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, rng.standard_normal(64).tolist()) for i in range(20)], "vec_id long, embedding array<double>")
+    found = {(r.query_id, r.vec_id) for r in neighbours.nearest(df, 1, 20).collect()}
+    assert found == {(q, x) for q in range(20) for x in range(20) if q != x}
+
+
 def test_neighbours_on_odd_rows(spark):
     rng = np.random.default_rng(1)
     rows = {i: rng.standard_normal(8) * rng.uniform(0.1, 3) for i in range(150)}
