@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, classify, contamination, jaccard, lines, mixing, neighbours, sharding, suffixes
+from . import chat, classify, contamination, jaccard, lines, mixing, neighbours, rules, sharding, suffixes
+from ..operators.staging import stage
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +141,77 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of all documents without strings of 50 bytes that an earlier one holds."""
     return suffixes.digest(suffixes.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+@query
+def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents judged by the base rules and by the fences of their language and source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    measures = stage(rules.measure(docs).withColumn("row", F.struct("row.doc_id")), "quality-measures")
+    return rules.judge(measures).select("row.doc_id", *rules.BASE, "base_failed", "kept")
+
+
+def _rules_sql() -> str:
+    """Word windows and lines are unnested here, and quartiles are taken from the buckets' running counts."""
+    half = 1 << (rules.MANTISSA_BITS - 1)
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    shares = " union all ".join(
+        f"select row_id, lang, source, '{name}' as rule, case when {r.whole} > 0 then {r.part} * {rules.MILLION} // {r.whole} else 0 end as v, "
+        f"{r.slack} as slack, {str(r.both_ends).lower()} as two_sided from measured where not base_failed"
+        for name, r in rules.RULES.items()
+    )
+    return rf"""
+with doc as (
+  select row_number() over () as row_id, doc_id, lang, source, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^ 	-]+') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: translate(x, {blanks}, '') <> '') as l
+  from documents
+), windows as (
+  select row_id, i, array_to_string(w[i:i + {rules.WINDOW - 1}], ' ') as win
+  from (select row_id, w, unnest(range(1, len(w) - {rules.WINDOW - 2})) as i from doc where len(w) >= {rules.WINDOW})
+), twice as (
+  select row_id, i from (select row_id, i, count(*) over (partition by row_id, win) as n from windows) where n > 1
+), repeated as (
+  select row_id, count(distinct pos)::bigint as n from (select row_id, unnest(range(i, i + {rules.WINDOW})) as pos from twice) group by row_id
+), measured as (
+  select row_id, doc_id, lang, source, len(w)::bigint as n_words, length(translate(t, {blanks}, ''))::bigint as word_chars,
+    (length(t) - length(translate(t, '{rules.SYMBOLS}', '')))::bigint as n_symbols,
+    (length(t) - length(regexp_replace(t, '\p{{Lu}}', '', 'g')))::bigint as n_upper,
+    len(l)::bigint as n_lines, (len(l) - len(list_distinct(l)))::bigint as n_dup_lines,
+    len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1]))::bigint as n_word_runs,
+    coalesce(n, 0)::bigint as n_repeat_words,
+    len(w) < {rules.MIN_WORDS} or 100 * coalesce(n, 0) > {rules.MAX_REPEATED_PERCENT} * len(w) as base_failed
+  from doc left join repeated using (row_id)
+), shares as ({shares}
+), coded as (
+  select *, greatest(length(bin(v)) - {rules.MANTISSA_BITS}, 0) as beyond from shares
+), bucketed as (
+  select *, (v >> beyond) + beyond * {half} as code, (v >> beyond) << beyond as low_edge, (((v >> beyond) + 1) << beyond) - 1 as high_edge from coded
+), leveled as (
+  select 2 as level, lang, source, rule, code, low_edge, high_edge, slack, two_sided from bucketed
+  union all select 1, lang, null, rule, code, low_edge, high_edge, slack, two_sided from bucketed
+  union all select 0, null, null, rule, code, low_edge, high_edge, slack, two_sided from bucketed
+), summed as (
+  select level, lang, source, rule, code, any_value(low_edge) as low_edge, any_value(high_edge) as high_edge, any_value(slack) as slack,
+    any_value(two_sided) as two_sided, count(*) as n from leveled group by all
+), counted as (
+  select *, sum(n) over (partition by level, lang, source, rule order by code) as upto, sum(n) over (partition by level, lang, source, rule) as docs from summed
+), quartiles as (
+  select level, lang, source, rule, any_value(docs) as docs, any_value(slack) as slack, any_value(two_sided) as two_sided,
+    min(low_edge) filter (4 * upto >= docs) as q1, min(high_edge) filter (4 * upto >= 3 * docs) as q3
+  from counted group by level, lang, source, rule
+), fences as (
+  select *, {rules.FENCE} * greatest(q3 - q1, slack) as reach from quartiles where docs >= {rules.MIN_DOCS} or level = 0
+), nearest as (
+  select s.row_id, s.rule, s.v, arg_max(case when f.two_sided then f.q1 - f.reach else 0 end, f.level) as low, arg_max(f.q3 + f.reach, f.level) as high
+  from shares s join fences f on f.rule = s.rule and (f.level = 0 or f.lang is not distinct from s.lang)
+    and (f.level < 2 or f.source is not distinct from s.source)
+  group by s.row_id, s.rule, s.v
+), broken as (select distinct row_id from nearest where v < low or v > high)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and row_id not in (select row_id from broken) as kept
+from measured
+"""
+
+
+ORACLE_SQL["op11_rules"] = _rules_sql()
