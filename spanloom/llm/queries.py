@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, classify, contamination, jaccard, lines, mixing, neighbours, rules, sharding, suffixes
+from . import chat, classify, codes, contamination, jaccard, lines, mixing, neighbours, rules, sharding, suffixes
 from ..operators.staging import stage
 from .common import held_out, table
 
@@ -163,7 +163,8 @@ def _rules_sql() -> str:
     return rf"""
 with doc as (
   select row_number() over () as row_id, doc_id, lang, source, coalesce(text, '') as t,
-    regexp_extract_all(coalesce(text, ''), '[^ 	-]+') as w,
+    regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') as w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: translate(x, {blanks}, '') <> '') as l
   from documents
 ), windows as (
@@ -215,3 +216,10 @@ from measured
 
 
 ORACLE_SQL["op11_rules"] = _rules_sql()
+
+
+@query
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors under codebooks learned from all of them."""
+    found = codes.compressed(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
