@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, classify, codes, contamination, jaccard, lines, mixing, neighbours, rules, sharding, suffixes
+from . import chat, classify, codes, contamination, infill, jaccard, lines, mixing, neighbours, rules, sharding, suffixes
 from ..operators.staging import stage
 from .common import held_out, table
 
@@ -223,3 +223,9 @@ def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of all vectors under codebooks learned from all of them."""
     found = codes.compressed(table(spark, sf_dir, "embeddings"))
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut for fill-in-middle, and restored from the outputs."""
+    return infill.digest(table(spark, sf_dir, "documents"))
