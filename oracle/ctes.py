@@ -275,23 +275,6 @@ from traces t where kind = 'assistant'
 
 CTES["assistant_msgs"] = "select run_id, ts, text from assistant_all where run_id in (select run_id from skeleton)"
 
-CTES["completions"] = f"""
-with ended as (
-  select run_id, start_ts, total_tokens, ord_ts, ord_id,
-    lead(start_ts) over (partition by thread_id order by start_ts, ord_ts, ord_id) as next_ts
-  from skeleton where start_ts is not null),
-free as (
-  select start_ts, last(run_id order by ord_ts, ord_id) as run_id, last(next_ts order by ord_ts, ord_id) as next_ts
-  from ended where total_tokens = 0 group by start_ts),
-found as (
-  select e.ts, e.time_text, e.p, f.run_id, f.next_ts
-  from (select * from traces where kind = 'completed') e asof join free f on e.ts >= f.start_ts)
-select run_id, ts, time_text, {num(js('p', 'prompt_tokens'))} as input_tokens, {num(js('p', 'completion_tokens'))} as output_tokens,
-  {num(js('p', 'total_tokens'))} as total_tokens, {dbl(js('p', 'duration_ms'))} as duration_ms,
-  replace(coalesce({js('p', 'status')}, ''), 'RunStatus.', '') as status
-from found where next_ts is null or ts < next_ts
-"""
-
 CTES["audits"] = f"""
 with lines as (
   select ts, time_text, m, nullif(json_extract_string(m, '$.extra.run_id'), '') as audit_run,
@@ -320,6 +303,40 @@ select * from (
 where run_id is not null
 """
 
+CTES["completions"] = f"""
+with recursive runs_of as (
+  select k.run_id, k.total_tokens, k.start_ts, k.ord_ts, k.ord_id, k.thread_id, o.place,
+    lead(k.start_ts) over (partition by k.thread_id order by k.start_ts, k.ord_ts, k.ord_id) as next_ts
+  from skeleton k join (select thread_id, row_number() over (order by thread_ts, thread_req, thread_id) as place from owners) o using (thread_id)
+  where k.start_ts is not null),
+filled as (select run_id, min(ts) as filled_ts from audits where has_metrics and total_tokens <> 0 group by run_id),
+open_runs as (
+  select r.run_id, place, start_ts, next_ts, filled_ts, row_number() over () as i
+  from runs_of r left join filled using (run_id) where r.total_tokens = 0),
+events as (
+  select row_number() over (order by ts) as n, ts, time_text, {num(js('p', 'prompt_tokens'))} as input_tokens,
+    {num(js('p', 'completion_tokens'))} as output_tokens, {num(js('p', 'total_tokens'))} as total_tokens,
+    {dbl(js('p', 'duration_ms'))} as duration_ms, replace(coalesce({js('p', 'status')}, ''), 'RunStatus.', '') as status
+  from traces where kind = 'completed' and ts is not null),
+-- the current run of every thread at every event, if it is without tokens then but for earlier completions
+asked as (
+  select e.n, e.total_tokens, list(r.i order by r.place) as candidates
+  from events e left join open_runs r on r.start_ts <= e.ts and (r.next_ts is null or r.next_ts > e.ts)
+    and (r.filled_ts is null or r.filled_ts > e.ts)
+  group by e.n, e.total_tokens),
+-- one step an event: the first thread whose run no earlier completion has used
+walk as (
+  select 0::bigint as n, []::bigint[] as used, null::bigint as pick
+  union all
+  select n, case when pick is not null and total_tokens <> 0 then list_append(used, pick) else used end, pick
+  from (
+    select a.n, a.total_tokens, w.used, list_filter(a.candidates, lambda c: c is not null and not list_contains(w.used, c))[1] as pick
+    from walk w join asked a on a.n = w.n + 1)
+)
+select r.run_id, e.ts, e.time_text, e.input_tokens, e.output_tokens, e.total_tokens, e.duration_ms, e.status
+from walk w join events e using (n) join open_runs r on r.i = w.pick
+"""
+
 CTES["all_events"] = """
 select run_id, ts, time_text, input_tokens, output_tokens, total_tokens, duration_ms, status, true as has_metrics,
   true as is_completion, null as agent_id, null as input, null as output from completions
@@ -328,14 +345,6 @@ select run_id, ts, time_text, input_tokens, output_tokens, total_tokens, duratio
   false, agent_id, input, output from audits
 """
 
-CTES["events_kept"] = """
-select * exclude (had) from (
-  select *, coalesce(max(case when has_metrics and total_tokens > 0 then 1 else 0 end) over (
-    partition by run_id order by ts rows between unbounded preceding and 1 preceding), 0) as had
-  from all_events)
-where not (is_completion and had = 1)
-"""
-
 
 def _fst(expr: str, cond: str) -> str:
     return f"(list({expr} order by ts) filter (where {cond}))[1]"
@@ -350,7 +359,7 @@ select run_id,
   coalesce({_fst('struct_pack(i := input_tokens, o := output_tokens, t := total_tokens, d := duration_ms)', 'has_metrics and total_tokens > 0')},
            {_lst('struct_pack(i := input_tokens, o := output_tokens, t := total_tokens, d := duration_ms)', 'has_metrics')}) as u,
   {_lst('status', 'true')} as status, {_lst('time_text', 'true')} as end_time, {_lst('agent_id', 'agent_id is not null')} as agent_id
-from events_kept group by run_id
+from all_events group by run_id
 """
 
 CTES["texts"] = """

@@ -93,7 +93,7 @@ BODIES: dict[str, str] = {
         status from completions""",
     "audit_assign": """select run_id, epoch_us(ts) as ts, total_tokens, status, has_metrics, agent_id, input, output,
         meta_trace, meta_span, meta_user, input_length, output_length from audits""",
-    "run_events": "select run_id, epoch_us(ts) as ts, is_completion, total_tokens, status, agent_id from events_kept",
+    "run_events": "select run_id, epoch_us(ts) as ts, is_completion, total_tokens, status, agent_id from all_events",
     "tool_msg_zip": "select run_id, tool_id, nth, fill from tool_fills",
     "extract_counters": """
         select 'users' as counter, count(distinct user_id) as n from chat
@@ -110,7 +110,7 @@ BODIES: dict[str, str] = {
           select m.run_id from assistant_msgs m where not exists (
             select 1 from assistant_msgs x where x.run_id = m.run_id and x.text <> '' and x.ts < m.ts) and not exists (
             select 1 from audits x where x.run_id = m.run_id and x.output <> '' and x.ts < m.ts))
-        union all select 'run_events', count(*) from events_kept""",
+        union all select 'run_events', count(*) from all_events""",
     "silver_users": "select user_id, total_interactions, total_tokens from users",
     "silver_threads": """select user_id, thread_id, start_time, end_time, round(duration_ms, 4) as duration_ms,
         total_input_tokens, total_output_tokens, total_tokens from threads""",

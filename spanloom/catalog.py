@@ -82,6 +82,10 @@ class Workspace:
     def routed(self) -> DataFrame:
         return M.stage_traces(self.traces)
 
+    @cached_property
+    def audits(self) -> DataFrame:
+        return stage(M.audit_runs(self.routed, self.skeleton.runs), "audits")
+
     @cached_property
     def silver(self) -> V.Silver:
         return V.build_silver(self.requests, self.dependencies, self.traces)
@@ -378,14 +382,14 @@ def assistant_first(w: Workspace) -> DataFrame:
 
 @query
 def run_completed_asof(w: Workspace) -> DataFrame:
-    return M.completion_runs(w.routed, w.skeleton.runs).select(
+    return M.completion_runs(w.routed, w.skeleton.runs, w.skeleton.owners, w.audits).select(
         "run_id", micros("ts"), "input_tokens", "output_tokens", "total_tokens", "duration_ms", "status"
     )
 
 
 @query
 def audit_assign(w: Workspace) -> DataFrame:
-    return M.audit_runs(w.routed, w.skeleton.runs).select(
+    return w.audits.select(
         "run_id", micros("ts"), "total_tokens", "status", "has_metrics", "agent_id", "input", "output",
         F.col("audit.trace_id").alias("meta_trace"), F.col("audit.span_id").alias("meta_span"),
         F.col("audit.user_id").alias("meta_user"), "audit.input_length", "audit.output_length",
@@ -394,10 +398,8 @@ def audit_assign(w: Workspace) -> DataFrame:
 
 @query
 def run_events(w: Workspace) -> DataFrame:
-    runs = w.skeleton.runs
-    events = M.all_events(M.completion_runs(w.routed, runs), M.audit_runs(w.routed, runs))
-    kept = M.drop_late_completions(events)
-    return kept.select("run_id", micros("ts"), "is_completion", "total_tokens", "status", "agent_id")
+    completions = M.completion_runs(w.routed, w.skeleton.runs, w.skeleton.owners, w.audits)
+    return M.all_events(completions, w.audits).select("run_id", micros("ts"), "is_completion", "total_tokens", "status", "agent_id")
 
 
 @query

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.lookup import lookup
+from ..operators.staging import stage
 from . import messages as M
 from .runs import Skeleton
 from .silver import Silver
@@ -67,8 +68,8 @@ def extraction_counters(skeleton: Skeleton, routed: DataFrame) -> DataFrame:
     runs = skeleton.runs
     inputs = M.user_message_runs(routed, runs).filter(F.col("run_id").isNotNull())
     outputs = M.assistant_messages(routed, runs)
-    audits = M.audit_runs(routed, runs)
-    events = M.drop_late_completions(M.all_events(M.completion_runs(routed, runs), audits))
+    audits = stage(M.audit_runs(routed, runs), "audits")
+    events = M.all_events(M.completion_runs(routed, runs, skeleton.owners, audits), audits)
     audit_text = lambda c: audits.select("run_id", *M.TRACE_POSITION, F.col(c).alias("text"))
     taken = _taken(inputs, audit_text("input")).unionByName(_taken(outputs, audit_text("output")))
 

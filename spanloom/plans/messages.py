@@ -16,7 +16,8 @@ from ..functions.scalars import (
     text_or,
 )
 from ..operators.lookup import lookup
-from ..operators.ordered import asof_backward, next_value, order_chunks, running_sum
+from ..operators.matching import CHUNK_ROWS, NEVER, first_open, greedy_matches
+from ..operators.ordered import CHUNK, asof_backward, next_value, order_chunks, row_numbers, running_sum
 from ..operators.staging import stage, together
 from .runs import first_by, last_by
 
@@ -162,23 +163,51 @@ def first_texts(messages: DataFrame, out: str) -> DataFrame:
 # --- events that settle a run -----------------------------------------------------------------
 
 
-def completion_runs(routed: DataFrame, runs: DataFrame, chunks: int | None = None) -> DataFrame:
-    """``run_completed`` events with their run.
+def completion_runs(
+    routed: DataFrame, runs: DataFrame, owners: DataFrame, audits: DataFrame, chunks: int | None = None, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
+    """``run_completed`` events with the run that each settles; events without one are left out.
 
-    A completion names no run. It goes to the latest started run that has no tokens yet, and
-    only while that run is still the current one of its thread.
+    A completion names no run. Threads are asked in the order in which requests first named them, and the
+    first whose current run, the latest started by then, has no tokens yet gives that run. A completion
+    with tokens uses the run up; so does an audit line with tokens, from its place in the order of
+    traces on. Completions without a readable time have no run.
     """
-    started = started_runs(runs)
-    by, order = ["thread_id"], ["ts", "run_order", "run_id"]
-    ended = next_value(order_chunks(started, by, order, chunks), by, order, F.col("ts"), "next_ts")
-    open_runs = ended.filter(F.col("total_tokens") == 0).select("ts", "run_id", "run_order", "next_ts")
-    events = of_kind(routed, "completed").select(
-        *TRACE_POSITION, "time_text", *EVENT_FIELDS, "status"
+    spent = (
+        audits.filter(F.col("has_metrics") & (F.col("total_tokens") != 0))
+        .groupBy(F.col("run_id").alias("spent_run")).agg(F.min(trace_order()).alias("at"))
+        .select("spent_run", "at.*", F.lit(1).alias("side"))
     )
-    found = asof_backward(events, open_runs, [], "ts", ["tie", "row_id"], ["run_order", "run_id"], "run", chunks)
-    current = F.col("run.next_ts").isNull() | (F.col("ts") < F.col("run.next_ts"))
-    return found.filter(F.col("run").isNotNull() & current).select(
-        F.col("run.run_id").alias("run_id"), *events.columns
+    starts = started_runs(runs.filter("known_thread")).withColumn("side", F.lit(0))
+    events = of_kind(routed, "completed").filter(F.col("ts").isNotNull()).select(
+        *TRACE_POSITION, "time_text", *EVENT_FIELDS, "status", F.lit(1).alias("side")
+    )
+    both = (
+        starts.withColumnRenamed("total_tokens", "known_tokens")
+        .unionByName(events.withColumn("is_event", F.lit(True)), allowMissingColumns=True)
+        .unionByName(spent, allowMissingColumns=True)
+    )
+    order = ["ts", "side", "run_order", "run_id", "tie", "row_id"]
+    by_thread = ["thread_order", "thread_id"]
+    line, ranked = together(
+        lambda: stage(row_numbers(order_chunks(both, [], order, chunks), [], order, "number").withColumn("seq", F.col("number") - 1).drop(CHUNK), "run-line"),
+        lambda: row_numbers(order_chunks(owners.select("thread_id", "thread_order"), [], by_thread, chunks), [], by_thread, "rank"),
+    )
+    own = line.filter("side = 0").select("thread_id", "run_id", "seq", "known_tokens")
+    followed = next_value(order_chunks(own, ["thread_id"], ["seq"], chunks), ["thread_id"], ["seq"], F.col("seq"), "next_seq")
+    spent_at = line.filter(F.col("spent_run").isNotNull()).select(F.col("spent_run").alias("run_id"), F.col("seq").alias("spent_seq"))
+    placed = lookup(lookup(followed.filter("known_tokens = 0"), spent_at, ["run_id"]), ranked.select("thread_id", "rank"), ["thread_id"])
+    end = F.least(F.coalesce("next_seq", F.lit(NEVER)), F.coalesce("spent_seq", F.lit(NEVER)))
+    windows = stage(
+        placed.select(F.col("run_id").alias("id"), "rank", F.col("seq").alias("start"), end.alias("end")).filter("end > start"), "run-windows"
+    )
+    events = line.filter("is_event")
+    taken = stage(greedy_matches(windows, events.filter("total_tokens <> 0").select("seq"), chunk_rows), "settled-runs")
+    left = windows.join(taken.withColumnRenamed("seq", "taken"), "id", "left").withColumn("end", F.least("end", "taken"))
+    seen = first_open(left.drop("taken"), events.filter("total_tokens = 0").select("seq"), chunk_rows)
+    found = taken.select("seq", F.col("id").alias("own_run")).unionByName(seen.select("seq", F.col("id").alias("own_run")))
+    return events.join(found, "seq").select(
+        F.col("own_run").alias("run_id"), *TRACE_POSITION, "time_text", *EVENT_FIELDS, "status"
     )
 
 
@@ -208,21 +237,6 @@ def all_events(completions: DataFrame, audits: DataFrame) -> DataFrame:
     )
 
 
-def drop_late_completions(events: DataFrame) -> DataFrame:
-    """Events that count.
-
-    A completion counts only while its run has no tokens: one that comes after an event of the
-    same run with tokens is dropped. Audit lines always count.
-    """
-    filled = (
-        events.filter(F.col("has_metrics") & (F.col("total_tokens") != 0))
-        .groupBy("run_id")
-        .agg(F.min(trace_order()).alias("filled_at"))
-    )
-    kept = ~F.col("is_completion") | F.col("filled_at").isNull() | (trace_order() <= F.col("filled_at"))
-    return lookup(events, filled, ["run_id"]).filter(kept).drop("filled_at")
-
-
 def finish_runs(runs: DataFrame, events: DataFrame, inputs: DataFrame, outputs: DataFrame) -> DataFrame:
     """Runs with tokens, times, status and texts settled by traces.
 

@@ -26,9 +26,8 @@ def build_runs(skeleton: Skeleton, routed: DataFrame) -> DataFrame:
     runs = skeleton.runs
 
     def settled() -> DataFrame:
-        # read twice: to find when each run got its tokens, and to settle the runs
-        events = M.all_events(M.completion_runs(routed, runs), M.audit_runs(routed, runs))
-        return M.drop_late_completions(stage(events, "run-events"))
+        audits = stage(M.audit_runs(routed, runs), "audits")
+        return M.all_events(M.completion_runs(routed, runs, skeleton.owners, audits), audits)
 
     asked, events = together(lambda: M.user_message_runs(routed, runs), settled)
     inputs = asked.filter(F.col("run_id").isNotNull())

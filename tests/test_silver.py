@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+import random
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from spanloom.catalog import Workspace
-from spanloom.plans import hierarchy as H
+from spanloom.plans import hierarchy as H, messages as M
+from spanloom.plans.runs import build_skeleton
 from spanloom.plans.silver import build_silver
 from spanloom.schemas import SILVER_SCHEMAS
 
@@ -201,21 +203,68 @@ def test_completions(spark):
         tables = silver(spark, runs, deps, traces).tables()
         return rows(tables["runs"], "run_id", "total_tokens", "duration_ms", "end_time")
 
-    # the latest run in time takes it; one with tokens from dependencies is passed over
-    assert settle(completed(25, 3))["r2"] == (3, 9.0, at(25))
-    assert settle(completed(25, 3), deps=[dependency("d", 1, run="r2", props=tokens)]) == {
-        "r1": (3, 9.0, at(25)), "r2": (4, 5.0, ""), "r3": (0, 5.0, "")}
-    # the first with tokens settles the run, later ones are dropped; zero tokens do not settle it
-    assert settle(completed(21, 0), completed(22, 5, "1"), completed(23, 6, "2"))["r2"] == (5, 1.0, at(22))
-    # r1 is no longer the current run of its thread once r3 has started
-    late = settle(completed(35, 3), deps=[dependency("d", 1, run=r, props=tokens) for r in ("r2", "r3")])
-    assert late["r1"] == (0, 5.0, "")
+    # the thread that was named first is asked first; a run with tokens is passed over
+    assert settle(completed(25, 3))["r1"] == (3, 9.0, at(25))
+    assert settle(completed(25, 3), deps=[dependency("d", 1, run="r1", props=tokens)]) == {
+        "r1": (4, 5.0, ""), "r2": (3, 9.0, at(25)), "r3": (0, 5.0, "")}
+    # each with tokens uses a run up, and the next goes to the next thread
+    both = settle(completed(25, 3), completed(26, 4, "8"), completed(27, 5))
+    assert both["r1"] == (3, 9.0, at(25)) and both["r2"] == (4, 8.0, at(26)) and both["r3"] == (0, 5.0, "")
+    # one without tokens does not use it up
+    assert settle(completed(21, 0), completed(22, 5, "1"))["r1"] == (5, 1.0, at(22))
+    # only the current run of a thread is asked
+    late = settle(completed(35, 3))
+    assert late["r3"] == (3, 9.0, at(35)) and late["r1"] == (0, 5.0, "")
     # an audit with tokens settles the run before the completion arrives
-    assert settle(audit(21, run="r2", total=8), completed(22, 5))["r2"] == (8, 77.0, at(21))
+    spent = settle(audit(21, run="r1", total=8), completed(22, 5))
+    assert spent["r1"] == (8, 77.0, at(21)) and spent["r2"] == (5, 9.0, at(22))
     # before any run
     assert settle(completed(5, 3)) == settle()
 
 
+def replay_completions(threads, traces):
+    """The rule event by event: ``threads`` lists (thread, [(start, run)]) in order of first mention."""
+    tokens, settled = {r: 0 for _, own in threads for _, r in own}, {}
+    for minute, run, total in traces:
+        if run is None:
+            for _, own in threads:
+                started = [r for start, r in sorted(own) if start <= minute]
+                if started and not tokens[started[-1]]:
+                    tokens[started[-1]], settled[started[-1]] = total, at(minute)
+                    break
+        else:
+            settled[run] = at(minute)
+            if total is not None and not tokens[run]:
+                tokens[run] = total
+    return {r: (tokens[r], settled.get(r, "")) for r in tokens}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_completions_over_overlapping_threads(spark, seed):
+    """Completions with and without tokens and audit lines, in chunks of a few positions, against a replay."""
+    rng = random.Random(seed)
+    requests, threads = [], {}
+    for minute in sorted(rng.sample(range(50), 22)):
+        thread, run = f"t{rng.randrange(6)}", f"r{minute}"
+        threads.setdefault(thread, []).append((minute, run))
+        requests.append(request(str(minute), minute, "u", thread, run))
+    known = [r for own in threads.values() for _, r in own]
+    events = [
+        (minute, None, rng.choice([0, 3, 4])) if rng.random() < 0.8 else (minute, rng.choice(known), rng.choice([None, 0, 9]))
+        for minute in sorted(rng.sample(range(60), 30))
+    ]
+    lines = [completed(m, total) if run is None else audit(m, run=run, total=total) for m, run, total in events]
+    skeleton = build_skeleton(bronze(spark, "app_requests", requests), bronze(spark, "app_dependencies", []))
+    routed = M.stage_traces(bronze(spark, "app_traces", lines))
+    audits = M.audit_runs(routed, skeleton.runs)
+    rows_of = lambda **sizes: M.finish_runs(
+        skeleton.runs, M.all_events(M.completion_runs(routed, skeleton.runs, skeleton.owners, audits, **sizes), audits),
+        M.user_message_runs(routed, skeleton.runs), M.assistant_messages(routed, skeleton.runs),
+    )
+    wanted = replay_completions(list(threads.items()), events)
+    assert rows(rows_of(chunks=3, chunk_rows=10), "run_id", "total_tokens", "end_time") == wanted
+
+
 def test_audit_lines(spark):
     model = silver(spark, [request("1", 10, "u", "t1", "r1"), request("2", 20, "u", "t1", "r2")], [
         dependency("d", 1, run="r1", props={"gen_ai.agent.id": "old"}),
