@@ -18,7 +18,8 @@ from pyspark.util import inheritable_thread_target
 def stage_root(spark: SparkSession) -> str:
     """Folder for staged tables: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
-    Without either it is a folder of this application in the warehouse, which all executors share.
+    Without either it is a folder of this application in the warehouse. A warehouse on a local disk is not
+    shared between the machines of a cluster, so it is refused there.
     """
     context = spark.sparkContext
     root = (
@@ -28,7 +29,12 @@ def stage_root(spark: SparkSession) -> str:
     )
     if root:
         return root.rstrip("/")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages-{context.applicationId}"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    path = context._jvm.org.apache.hadoop.fs.Path(warehouse)
+    scheme = path.getFileSystem(context._jsc.hadoopConfiguration()).getScheme()
+    if scheme == "file" and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share: the warehouse is a local folder")
+    return f"{warehouse}/_stages-{context.applicationId}"
 
 
 _scopes: list[list[str]] = []

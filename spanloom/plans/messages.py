@@ -15,6 +15,7 @@ from ..functions.scalars import (
     strip_status,
     text_or,
 )
+from ..operators.capped import capped_numbers
 from ..operators.lookup import lookup
 from ..operators.matching import CHUNK_ROWS, NEVER, first_open, greedy_matches
 from ..operators.ordered import CHUNK, asof_backward, next_value, order_chunks, row_numbers, running_sum
@@ -301,29 +302,13 @@ def tool_message_fills(routed: DataFrame, tools: DataFrame, chunks: int | None =
     limits = numbered.groupBy("run_id", F.col("tool_id").alias("message_id")).agg(
         F.min_by(F.col("before") + F.col("empty"), F.struct(*tool_order)).alias("limit")
     )
-    limited = lookup(ordered, limits, ["run_id", "message_id"])
-    filling = _filling(limited, by, message_order)
+    limited = stage(lookup(ordered, limits, ["run_id", "message_id"]), "limited-messages")
+    filling = capped_numbers(limited, "run_id", message_order, "limit", "nth")
     return numbered.filter("empty = 1").select("run_id", (F.col("before") + 1).alias("nth"), "row_id").join(
         filling.select("run_id", "nth", F.col("text").alias("fill")), ["run_id", "nth"]
     )
 
 
-def _filling(messages: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """Messages that fill a tool, with the number ``nth`` of that tool among those without output.
-
-    A message fills if fewer tools than its ``limit`` are filled before it. That number is first
-    taken as if all messages before it filled, and counted again until nothing changes: each round
-    settles at least one more message of every run, and without limits the first is the last.
-    """
-    fills = F.col("limit").isNull() | (F.col("done") < F.col("limit"))
-    counted = running_sum(messages.withColumn("fill", F.lit(1).cast("long")), by, order, F.col("fill"), "done")
-    while True:
-        counted = stage(counted.withColumn("now", F.when(fills, 1).otherwise(0).cast("long")), "tool-fills")
-        if not counted.filter(F.col("now") != F.col("fill")).limit(1).count():
-            return counted.filter("fill = 1").withColumn("nth", F.col("done") + 1)
-        counted = running_sum(counted.drop("fill", "done").withColumnRenamed("now", "fill"), by, order, F.col("fill"), "done")
-
-
 def fill_tools(tools: DataFrame, fills: DataFrame) -> DataFrame:
     filled = tools.join(fills.select("row_id", "fill"), "row_id", "left")
     return filled.withColumn("output_full", F.coalesce("fill", "output_full")).drop("fill")
