@@ -17,6 +17,11 @@ columns = {t: "'" + ", ".join(f"{c} string" for c in names) + "'" for t, names i
 BODIES: dict[str, str] = {
     "export_unpack": f"select {_DATED} from app_requests",
     "csv_roundtrip": "select TimeGenerated, Message, OperationId, Properties, date_routine from app_traces",
+    "export_ranges": f"select {_DATED} from app_requests",
+    "csv_ranges": "select TimeGenerated, Message, OperationId, Properties, date_routine from app_traces",
+    "bronze_versions": f"""
+        select {_DATED} from app_requests
+        where {ts('TimeGenerated')} is null or {ts('TimeGenerated')} >= timestamp '2024-01-10 12:00:00'""",
     "bronze_overwrite": f"select {_DATED} from app_requests",
     "bronze_date": "select Id, substring(TimeGenerated, 1, 10) as date_routine from app_requests",
     "scan_all": "select * from app_dependencies",

@@ -12,6 +12,7 @@ from .operators.staging import stage, stage_path
 from .plans import analysis as A, hierarchy as H, messages as M, reports as R, runs as U, silver as V, spans as S, tools as X
 from .schemas import PARTITION_COLUMN
 from .sinks.bronze import overwrite_bronze, retained
+from .sinks.versions import VersionedTable
 from .sources import telemetry as T
 from .sources.export import read_export, with_partition_date
 from .sources.tables import CSV_OPTIONS, profile, read_csv
@@ -162,6 +163,32 @@ def bronze_overwrite(w: Workspace) -> DataFrame:
     return w.spark.read.schema(w.requests.schema).parquet(path).select(_REQUEST_COLUMNS)
 
 
+@query
+def export_ranges(w: Workspace) -> DataFrame:
+    """The same documents, each cut into its rows by byte ranges."""
+    path = stage_path(w.spark, "export")
+    _write_exports(w.requests, path)
+    return read_export(w.spark, path, "app_requests", short_rows="drop", large=0).select(_REQUEST_COLUMNS)
+
+
+@query
+def csv_ranges(w: Workspace) -> DataFrame:
+    """The same CSV files, cut into records by byte ranges."""
+    path = stage_path(w.spark, "csv")
+    w.traces.write.options(header="true", quote=CSV_OPTIONS["quote"], escape=CSV_OPTIONS["escape"]).csv(path)
+    rows = read_csv(w.spark, path, "app_traces", large=0)
+    return rows.select("TimeGenerated", "Message", "OperationId", "Properties", "date_routine")
+
+
+@query
+def bronze_versions(w: Workspace) -> DataFrame:
+    """Requests written as one version of a table and purged in the next."""
+    table = VersionedTable(w.spark, stage_path(w.spark, "versions"), "app_requests")
+    table.overwrite(w.requests)
+    table.purge("2024-01-10T12:00:00Z")
+    return table.read().select(_REQUEST_COLUMNS)
+
+
 @query
 def bronze_date(w: Workspace) -> DataFrame:
     return with_partition_date(w.requests).select("Id", "date_routine")
