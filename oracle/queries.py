@@ -42,6 +42,7 @@ BODIES: dict[str, str] = {
           first_value(thread_id ignore nulls) over w as thread_id_filled, tool_name
         from spans window w as (partition by trace_id order by timestamp, span_id
           rows between unbounded preceding and unbounded following)""",
+    "run_store_attrs": "select * from attrs",
     "users_active": "select user_id, count(*) as total_requests from spans where name = 'POST /chat' group by user_id",
     "threads_summary": """
         select thread_id, count(*) filter (where name = 'POST /chat') as interacciones,
@@ -170,5 +171,8 @@ BODIES: dict[str, str] = {
 }
 
 
+BODIES["span_store_fill"] = BODIES["span_fill"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: compose(body) for name, body in BODIES.items()}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import scalars as C
 from .operators.staging import stage, stage_path
-from .plans import analysis as A, hierarchy as H, messages as M, reports as R, runs as U, silver as V, spans as S, tools as X
+from .plans import analysis as A, hierarchy as H, messages as M, reports as R, runs as U, silver as V, spans as S, store as K, tools as X
 from .schemas import PARTITION_COLUMN
 from .sinks.bronze import overwrite_bronze, retained
 from .sinks.versions import VersionedTable
@@ -261,6 +261,30 @@ def audit_log(w: Workspace) -> DataFrame:
     return R.audit_log(w.traces)
 
 
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@query
+def span_store_fill(w: Workspace) -> DataFrame:
+    """The trace fill out of a store bucketed by trace."""
+    path = stage_path(w.spark, "span_store")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    K.save_span_store(w.spans, table, _buckets(w.spark), path)
+    return K.stored_fill(w.spark, table).select(
+        micros("timestamp"), "name", "kind", "user_id_filled", "thread_id_filled", "tool_name"
+    )
+
+
+@query
+def run_store_attrs(w: Workspace) -> DataFrame:
+    """Run attributes out of a store of dependencies bucketed by run."""
+    path = stage_path(w.spark, "run_store")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    K.save_run_store(w.skeleton.resolved, table, _buckets(w.spark), path)
+    return K.stored_run_attributes(w.spark, table)
+
+
 # --- scalars ----------------------------------------------------------------------------------
 
 
