@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import scalars as C
 from .operators.staging import stage, stage_path
-from .plans import analysis as A, hierarchy as H, messages as M, reports as R, runs as U, silver as V, spans as S, store as K, tools as X
+from .plans import analysis as A, daily as D, hierarchy as H, messages as M, reports as R, runs as U, silver as V, spans as S, store as K, tools as X
 from .schemas import PARTITION_COLUMN
 from .sinks.bronze import overwrite_bronze, retained
 from .sinks.versions import VersionedTable
 from .sources import telemetry as T
 from .sources.export import read_export, with_partition_date
 from .sources.tables import CSV_OPTIONS, profile, read_csv
+from .streaming.exports import load_new_exports
 
 Query = Callable[["Workspace"], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -285,6 +286,50 @@ def run_store_attrs(w: Workspace) -> DataFrame:
     return K.stored_run_attributes(w.spark, table)
 
 
+def _daily(w: Workspace, name: str) -> DataFrame:
+    """A report merged from the states of two loads: the days to the 15th, and those after it."""
+    root = stage_path(w.spark, "daily")
+    bronze = {source: f"{root}/bronze/{source}" for source in D.SOURCES}
+    states = D.DailyStates(w.spark, f"{root}/states")
+    for first in (True, False):
+        for source, path in bronze.items():
+            early = F.col(PARTITION_COLUMN) <= "2024-01-15"
+            rows = w.bronze[source].filter(early if first else ~early)
+            rows.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
+        states.add(bronze)
+    return states.report(name)
+
+
+@query
+def daily_users_active(w: Workspace) -> DataFrame:
+    return _daily(w, "users_active")
+
+
+@query
+def daily_threads_summary(w: Workspace) -> DataFrame:
+    return _daily(w, "threads_summary").withColumn("ultimo_mensaje", micros("ultimo_mensaje"))
+
+
+@query
+def daily_run_first(w: Workspace) -> DataFrame:
+    return _daily(w, "run_first")
+
+
+@query
+def daily_op_run_map(w: Workspace) -> DataFrame:
+    return _daily(w, "op_run_map")
+
+
+@query
+def export_stream(w: Workspace) -> DataFrame:
+    """The export documents loaded by the stream, in two calls."""
+    path = stage_path(w.spark, "stream")
+    for half in (0, 1):
+        _write_exports(w.requests.filter(F.substring("Id", 4, 20).cast("bigint") % 2 == half), f"{path}/in/{half}")
+        load_new_exports(w.spark, f"{path}/in/*/*", f"{path}/out", f"{path}/checkpoint", "app_requests", short_rows="drop")
+    return w.spark.read.schema(w.requests.schema).parquet(f"{path}/out").select(_REQUEST_COLUMNS)
+
+
 # --- scalars ----------------------------------------------------------------------------------
 
 

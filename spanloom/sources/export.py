@@ -121,9 +121,13 @@ def _rows(spark: SparkSession, paths: str | list[str], table: str, large: int) -
     found = _whole_documents(documents)
     if cut:
         found = found.unionByName(_large_documents(spark, cut))
+    return _placed(found, table)
+
+
+def _placed(rows: DataFrame, table: str) -> DataFrame:
     # header order may differ per file: each row comes with the places of its document's header
     place = F.struct(*[F.array_position("names", F.lit(c)).cast("int").alias(c) for c in export_columns(table)])
-    return found.select("names", F.size("names").alias("width"), place.alias("place"), "row")
+    return rows.select("names", F.size("names").alias("width"), place.alias("place"), "row")
 
 
 def _cell(column: str) -> Column:
@@ -144,7 +148,16 @@ def read_export(spark: SparkSession, paths: str | list[str], table: str, short_r
     returns them. ``undeclared_columns`` lists the columns of the documents that the table has not.
     Documents above ``large`` bytes are read in ranges.
     """
-    rows, fits = _rows(spark, paths, table, large), F.size("row") == F.col("width")
+    return _cells(_rows(spark, paths, table, large), table, short_rows)
+
+
+def document_rows(documents: DataFrame, table: str, short_rows: str = "fail") -> DataFrame:
+    """Bronze rows of whole document texts (``value``), as ``read_export`` gives them; a stream will do."""
+    return _cells(_placed(_whole_documents(documents), table), table, short_rows)
+
+
+def _cells(rows: DataFrame, table: str, short_rows: str) -> DataFrame:
+    fits = F.size("row") == F.col("width")
     if short_rows == "drop":
         rows = rows.filter(fits)
     else:
