@@ -174,6 +174,7 @@ BODIES: dict[str, str] = {
 # The same result by another way.
 SAME = {
     "span_store_fill": "span_fill", "daily_users_active": "users_active", "daily_threads_summary": "threads_summary",
+    **{f"document_{t}": f"silver_{t}" for t in ("users", "threads", "runs", "run_steps", "tools")},
     "daily_run_first": "run_first", "daily_op_run_map": "op_run_map", "export_stream": "export_unpack",
 }
 BODIES |= {name: BODIES[other] for name, other in SAME.items()}

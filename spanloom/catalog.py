@@ -594,3 +594,35 @@ def hierarchy_json(w: Workspace) -> DataFrame:
         value("metadata.operation_name").alias("meta_operation"),
         F.length(value("output_full")).alias("output_length"),
     )
+
+
+def _document_table(w: Workspace, name: str) -> DataFrame:
+    """A silver table read back out of the whole nested document."""
+    path = stage_path(w.spark, "document")
+    H.write_hierarchy_json(w.silver, path)
+    return H.read_hierarchy_json(w.spark, path)[name]
+
+
+@query
+def document_users(w: Workspace) -> DataFrame:
+    return _document_table(w, "users")
+
+
+@query
+def document_threads(w: Workspace) -> DataFrame:
+    return _document_table(w, "threads").withColumn("duration_ms", rounded("duration_ms"))
+
+
+@query
+def document_runs(w: Workspace) -> DataFrame:
+    return _document_table(w, "runs").withColumn("duration_ms", rounded("duration_ms"))
+
+
+@query
+def document_run_steps(w: Workspace) -> DataFrame:
+    return _document_table(w, "run_steps").withColumn("duration_ms", rounded("duration_ms"))
+
+
+@query
+def document_tools(w: Workspace) -> DataFrame:
+    return _document_table(w, "tools").withColumn("duration_ms", rounded("duration_ms"))

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.scalars import preview
+from ..functions.scalars import JSON_LIMITS, preview
 from ..operators.lookup import lookup
+from ..operators.ordered import order_chunks, running_last
 from ..operators.staging import stage
+from ..schemas import SILVER_SCHEMAS, silver_columns
 from .silver import Silver, reachable
 
 # Sort key of a row. ``<level>_part``: 0 opens the node, 1 is inside it, 2 closes it.
@@ -221,3 +223,42 @@ def json_lines(silver: Silver) -> DataFrame:
 def write_hierarchy_json(silver: Silver, path: str) -> None:
     """Write the document as text files that, joined in name order, are one JSON object."""
     json_lines(silver).orderBy(*PATH).select("text").write.mode("error").text(path)
+
+
+def read_hierarchy_json(spark: SparkSession, path: str, chunks: int | None = None) -> dict[str, DataFrame]:
+    """The five tables out of a document that ``write_hierarchy_json`` has written, by any number of tasks.
+
+    A line opens a node, is a tool, or closes a node. Nodes stand after their parents and before the next
+    node of a parent's level, so a node's parent is the last one opened on the level above, which a
+    running value over the lines in order gives.
+    """
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
+    lines = spark.read.text(path).select(
+        part.alias("part"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row_id"), "value"
+    )
+    opened = F.regexp_extract("value", r'"(\w+)":\[$', 1)
+    level = F.lit(None).cast("string")
+    for name, children in CHILDREN.items():
+        level = F.when(opened == children, F.lit(name)).otherwise(level)
+    is_tool = F.col("value").rlike(r'^,?\{"') & F.col("value").endswith("}")
+    leveled = lines.withColumn("level", F.when(is_tool, F.lit("tool")).otherwise(level)).filter(F.col("level").isNotNull())
+    head = F.when(F.col("level") == "user", F.instr("value", F.lit(':{"user_id":')) + 1).otherwise(F.instr("value", F.lit("{")))
+    tail = F.when(F.col("level") == "tool", F.lit(0)).otherwise(F.length(opened) + 5)  # ,"name":[
+    node = F.substr("value", head, F.length("value") - head + 1 - tail)
+    nodes = leveled.select("part", "start", "row_id", "level", F.when(F.col("level") == "tool", node).otherwise(F.concat(node, F.lit("}"))).alias("node"))
+    order = ["part", "start", "row_id"]
+    # A struct, as an id may be missing from a node without its node being missing.
+    for name in ("user", "run", "step"):
+        own = F.when(F.col("level") == name, F.struct(F.get_json_object("node", f"$.{name}_id").alias("id")))
+        nodes = nodes.withColumn(f"_{name}", own)
+    placed = order_chunks(nodes, [], order, chunks)
+    for name in ("user", "run", "step"):
+        placed = running_last(placed, [], order, F.col(f"_{name}"), f"in_{name}")
+    found = stage(placed.select("level", "node", *[F.col(f"in_{name}.id").alias(f"in_{name}") for name in ("user", "run", "step")]), "document-nodes", ["level"])
+    parents = {"threads": ("user_id", "in_user"), "run_steps": ("run_id", "in_run"), "tools": ("step_id", "in_step")}
+    tables = {}
+    for name, level_name in zip(("users", "threads", "runs", "run_steps", "tools"), LEVELS, strict=True):
+        parsed = found.filter(F.col("level") == level_name).select(F.from_json("node", SILVER_SCHEMAS[name], JSON_LIMITS).alias("n"), "in_user", "in_run", "in_step")
+        key, parent = parents.get(name, (None, None))
+        tables[name] = parsed.select(*[F.col(parent).alias(c) if c == key else F.col(f"n.{c}") for c in silver_columns(name)])
+    return tables

@@ -354,6 +354,28 @@ def test_json_document(generated, tmp_path):
     assert set(runs[0][1]["metadata"]) <= {"trace_id", "span_id", "user_id", "input_length", "output_length"}
 
 
+def test_document_is_read_back(spark, generated, tmp_path):
+    path = str(tmp_path / "json")
+    H.write_hierarchy_json(generated.silver, path)
+    back = H.read_hierarchy_json(spark, path, chunks=5)
+    for name, df in generated.tables.items():
+        assert back[name].dtypes == df.dtypes, name
+        assert sorted(map(str, back[name].collect())) == sorted(map(str, df.collect())), name
+
+
+def test_document_of_odd_ids_and_texts_is_read_back(spark, tmp_path):
+    odd = 'x":{"user_id":"y\\'
+    model = silver(spark, [request("1", 1, odd, "t{", 'r"threads":['), request("2", 2, "u", "t2", "r2")], [
+        dependency("a", 2, run="r2", name='tool.x"tools":['), dependency("b", 3, run='r"threads":[', name="tool.y", props={"tool.output_full": "]}\n{"}),
+    ])
+    H.write_hierarchy_json(model, str(tmp_path / "j"))
+    back = H.read_hierarchy_json(spark, str(tmp_path / "j"))
+    for name, df in model.tables().items():
+        assert sorted(map(str, back[name].collect())) == sorted(map(str, df.collect())), name
+    H.write_hierarchy_json(silver(spark), str(tmp_path / "empty"))
+    assert all(df.count() == 0 for df in H.read_hierarchy_json(spark, str(tmp_path / "empty")).values())
+
+
 def test_json_of_odd_ids(spark, tmp_path):
     odd = 'q"uo\\te'
     H.write_hierarchy_json(silver(spark, [request("1", 1, odd, "t", "r"), request("2", 2, "u", "t2")]), str(tmp_path / "j"))
