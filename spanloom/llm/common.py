@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # Fixed value: what counts as a word in every operator that counts words.
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Multipliers of the index permutations: primes just below 2^20. At least six of them are coprime
-# to any length under 2^42, and their product with an index stays inside a 64-bit integer.
-PRIMES = [1048573, 1048571, 1048559, 1048549, 1048517, 1048507, 1048447, 1048433]
+# Rounds of the index permutation, and steps in which an index that fell outside is sent on. Fewer than 16
+# fall outside for lengths under 256; of longer ones less than a 16th does, so 16 steps are never used up.
+ROUNDS = 4
+WALK = 16
 SPREAD = 4096
 
 
@@ -79,8 +82,35 @@ def explode_range(df: DataFrame, count: str, out: str, partitions: int) -> DataF
     return dealt.withColumn(out, F.explode(F.sequence(low, F.least(low + SPREAD, F.col(count)) - 1))).drop("_part")
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, evaluated once however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def permuted(index: Column, length: Column, seed: Column) -> Column:
-    """Place of ``index`` in a seeded permutation of 0 .. ``length`` - 1 (``length`` below 2^42)."""
-    usable = F.filter(F.array(*[F.lit(p).cast("long") for p in PRIMES]), lambda p: length % p != 0)
-    factor = F.element_at(usable, (F.pmod(seed, F.lit(6)) + 1).cast("int"))
-    return F.pmod(factor * index + F.pmod(F.shiftright(seed, 8), length), length)
+    """Place of ``index`` in a seeded pseudorandom permutation of 0 .. ``length`` - 1 (``length`` below 2^42).
+
+    A Feistel network over two digits, whose bases multiply to little more than ``length``; a place beyond
+    the end is sent through again until it is inside.
+    """
+    size = length.cast("long")
+    high = F.ceil(F.sqrt(size)).cast("long")
+    shape = F.struct(size.alias("n"), high.alias("a"), F.call_function("div", size + high - 1, high).alias("b"), seed.alias("seed"))
+
+    def mix(s: Column, i: Column, digit: Column, side: int) -> Column:
+        return F.xxhash64(s["seed"], i, digit, F.lit(side))
+
+    def sent(s: Column, x: Column) -> Column:
+        def step(d: Column, i: Column) -> Column:
+            left = bind(F.pmod(d["l"] + F.pmod(mix(s, i, d["r"], 0), s["a"]), s["a"]), lambda v: v)
+            return bind(left, lambda v: F.struct(v.alias("l"), F.pmod(d["r"] + F.pmod(mix(s, i, v, 1), s["b"]), s["b"]).alias("r")))
+
+        digits = F.struct(F.call_function("div", x, s["b"]).alias("l"), F.pmod(x, s["b"]).alias("r"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), digits, step, lambda d: d["l"] * s["b"] + d["r"])
+
+    def walked(s: Column) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(WALK)), sent(s, index.cast("long")), lambda x, _: F.when(x < s["n"], x).otherwise(sent(s, x))
+        )
+
+    return bind(shape, walked)

@@ -1,11 +1,12 @@
 """Mixing sources to target weights by fixed-length token blocks.
 
 Each source's documents, in hash order, are one stream of tokens cut into blocks of fixed length.
-Output slots are dealt to sources by multinomial draws per output shard, stratified so that the
-totals meet the targets: the slots of all sources stand in the output in the order of a seeded hash
-of their own, so a shard's counts are those of a multinomial draw given that every source's total
-is exact (draws without replacement). The k-th slot of a source takes the block that the source's own permutation gives for k, a new
-permutation for each pass over the source.
+The output is cut into shards of slots. Every slot draws its source by a seeded hash against the cumulative
+weights, so a shard's counts by source are a multinomial draw; sums over the shards then differ
+from the targets by about the square root of them, and that is made good over all shards alike: of a source's
+slots, numbered in the order of a second hash, those beyond its target go to sources that are short of theirs.
+The k-th slot of a source takes the block at the k-th place of the source's own pseudorandom permutation,
+a new one for each pass over the source. Slots and blocks are joined by index.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ BLOCK = 64
 SHARD_SLOTS = 1024
 MAX_PASSES = 3
 CHUNK_ROWS = 1024
+CELL = 32
 
 
 def sized(df: DataFrame) -> DataFrame:
@@ -60,27 +62,59 @@ def source_plan(docs: DataFrame, block: int) -> DataFrame:
     )
 
 
+def _drawn(sources: DataFrame, total: int, partitions: int, seed: int) -> DataFrame:
+    """Every output slot with the source that it draws: the owner of a place that a hash picks among all places."""
+    number = F.col("id")
+    slots = sources.sparkSession.range(0, total, 1, partitions).select(
+        F.floor(number / SHARD_SLOTS).cast("long").alias("out_shard"), (number % SHARD_SLOTS).cast("int").alias("out_slot"),
+        F.pmod(F.xxhash64(F.lit(seed), F.lit("draw"), number), F.lit(max(total, 1))).alias("_at"),
+    )
+    # Places are joined to their owners cell by cell: a cell has few places, so few owners.
+    last = F.col("first_slot") + F.col("slots") - 1
+    cell = lambda at: F.floor(at / CELL).cast("long")
+    spans = sources.filter("slots > 0").select(
+        "ordinal", F.col("first_slot").alias("_low"), last.alias("_high"), cell(F.col("first_slot")).alias("_first"),
+        (cell(last) - cell(F.col("first_slot")) + 1).alias("_cells"),
+    )
+    owners = explode_range(spans, "_cells", "_c", partitions).select("ordinal", "_low", "_high", (F.col("_first") + F.col("_c")).alias("_cell"))
+    return slots.withColumn("_cell", cell(F.col("_at"))).join(owners.hint("merge"), "_cell").filter(
+        F.col("_at").between(F.col("_low"), F.col("_high"))
+    ).select("ordinal", "out_shard", "out_slot")
+
+
 def draw_slots(sources: DataFrame, partitions: int, seed: int) -> DataFrame:
-    """Every slot of every source: its number ``k``, and the pass and block it takes."""
-    slots = explode_range(sources.select("ordinal", "blocks", "slots", "all_slots"), "slots", "k", partitions)
+    """Every output slot: ``out_shard``, ``out_slot``, its source ``ordinal``, and the ``pass`` and ``block`` it takes.
+
+    Each source has exactly its ``slots``. ``sources`` is read several times: pass a table.
+    """
+    order = F.xxhash64(F.lit(seed), F.lit("order"), "out_shard", "out_slot")
+    total = sources.agg(F.coalesce(F.max("all_slots"), F.lit(0)).cast("long")).first()[0]
+    drawn = _drawn(sources, total, partitions, seed).withColumn("_order", order)
+    drawn = stage(drawn.withColumn("_chunk", F.pmod("_order", F.lit(max(1, math.ceil(total / CHUNK_ROWS))).cast("long"))), "mix-draws")
+    counts = drawn.groupBy("ordinal", "_chunk").agg(F.count(F.lit(1)).alias("_count"))
+    offsets = exclusive_offsets(counts, ["ordinal"], "_chunk", "_count", "_offset").select("ordinal", "_chunk", "_offset")
+    inside = Window.partitionBy("ordinal", "_chunk").orderBy("_order", "out_shard", "out_slot")
+    numbered = drawn.withColumn("_inner", F.row_number().over(inside) - 1).join(offsets.hint("merge"), ["ordinal", "_chunk"])
+    totals = counts.groupBy("ordinal").agg(F.sum("_count").alias("_sum"))
+    drawn_sum = F.coalesce("_sum", F.lit(0))
+    balance = sources.select("ordinal", "slots", "blocks").join(totals, "ordinal", "left").select(
+        "ordinal", "slots", "blocks", drawn_sum.alias("_sum"),
+        F.greatest(drawn_sum - F.col("slots"), F.lit(0)).alias("_over"), F.greatest(F.col("slots") - drawn_sum, F.lit(0)).alias("_short"),
+    )
+    balance = exclusive_offsets(balance, [], "ordinal", "_over", "_over_before")
+    balance = stage(exclusive_offsets(balance, [], "ordinal", "_short", "_short_before"), "mix-balance")
+    owned = lookup(numbered, balance.select("ordinal", "slots", "_over_before"), ["ordinal"], "inner").withColumn("k", F.col("_offset") + F.col("_inner"))
+    free = owned.filter(F.col("k") >= F.col("slots")).select((F.col("_over_before") + F.col("k") - F.col("slots")).alias("_free"), "out_shard", "out_slot")
+    wanted = explode_range(balance.select("ordinal", "_sum", "_short", "_short_before"), "_short", "_i", partitions).select(
+        (F.col("_short_before") + F.col("_i")).alias("_free"), "ordinal", (F.col("_sum") + F.col("_i")).alias("k")
+    )
+    moved = free.join(wanted.hint("merge"), "_free").select("ordinal", "k", "out_shard", "out_slot")
+    slots = owned.filter(F.col("k") < F.col("slots")).select("ordinal", "k", "out_shard", "out_slot").unionByName(moved)
+    slots = lookup(slots, balance.select("ordinal", "blocks"), ["ordinal"], "inner")
     turn = F.floor(F.col("k") / F.col("blocks")).cast("long")
     source_seed = F.xxhash64(F.lit(seed), F.col("ordinal"), turn)
     return slots.select(
-        "ordinal", "k", "all_slots", turn.alias("pass"), permuted(F.col("k") % F.col("blocks"), F.col("blocks"), source_seed).alias("block")
-    )
-
-
-def place_slots(drawn: DataFrame, seed: int) -> DataFrame:
-    """``drawn`` with the output shard and place of each slot: their order by hash, numbered in chunks of about ``CHUNK_ROWS``."""
-    hashed = drawn.withColumn("_hash", F.xxhash64(F.lit(seed), F.lit("output"), "ordinal", "k"))
-    hashed = hashed.withColumn("_chunk", F.pmod(F.col("_hash"), F.ceil(F.col("all_slots") / CHUNK_ROWS).cast("long")))
-    sums = hashed.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_sum"))
-    offsets = exclusive_offsets(sums, [], "_chunk", "_sum", "_offset").select("_chunk", "_offset")
-    inside = Window.partitionBy("_chunk").orderBy("_hash", "ordinal", "k")
-    placed = hashed.withColumn("_inner", F.row_number().over(inside) - 1).join(offsets.hint("merge"), ["_chunk"])
-    place = F.col("_offset") + F.col("_inner")
-    return placed.select(
-        F.floor(place / SHARD_SLOTS).cast("long").alias("out_shard"), (place % SHARD_SLOTS).cast("int").alias("out_slot"), "ordinal", "pass", "block"
+        "out_shard", "out_slot", "ordinal", "k", turn.alias("pass"), permuted(F.col("k") % F.col("blocks"), F.col("blocks"), source_seed).alias("block")
     )
 
 
@@ -120,24 +154,22 @@ class Mix:
         self.docs = stage(sized(df), "mix-docs")
         self.sources = stage(source_plan(self.docs, block), "mix-sources")
         rows = self.docs.count()
-        self.drawn = draw_slots(self.sources, self.partitions, seed)
-        self.slots = place_slots(self.drawn, seed)
+        self.slots = draw_slots(self.sources, self.partitions, seed)
         self.pieces = pack(self.docs, self.sources, rows, block, self.partitions, seed)
 
     def shard_counts(self) -> DataFrame:
         """Slots of each source in each output shard."""
         return self.slots.groupBy("out_shard", "ordinal").agg(F.count(F.lit(1)).alias("slots"))
 
-    def manifest(self) -> DataFrame:
+    def manifest(self, how: str = "inner") -> DataFrame:
         """What stands in every output slot: the pieces of documents of its block, in order of ``copy``, ``first_word``."""
-        return self.slots.join(self.pieces.hint("merge"), ["ordinal", "block"])
+        # Sizes are estimated from before the expansion of ranges, so the planner must not choose a broadcast.
+        return self.slots.join(self.pieces.hint("merge"), ["ordinal", "block"], how)
 
     def taken(self) -> DataFrame:
-        """One row per row of the input: words the mix takes from it, repeats counted."""
-        uses = self.drawn.groupBy("ordinal", "block").agg(F.count(F.lit(1)).alias("_uses"))
-        # Sizes are estimated from before the expansion of ranges, so the planner must not choose a broadcast.
-        drawn = self.pieces.join(uses.hint("merge"), ["ordinal", "block"], "left")
-        sums = drawn.groupBy("doc_id", "source", "size", "copy").agg(F.sum(F.col("piece") * F.coalesce("_uses", F.lit(0))).alias("taken"))
+        """One row per row of the input: words of it that stand in the output, repeats counted."""
+        words = F.when(F.col("out_slot").isNotNull(), F.col("piece")).otherwise(F.lit(0))
+        sums = self.manifest("right").groupBy("doc_id", "source", "size", "copy").agg(F.sum(words).alias("taken"))
         empty = explode_range(self.docs.filter(F.col("size") == 0), "copies", "copy", self.partitions).select(
             "doc_id", "source", "size", "copy", F.lit(0).cast("long").alias("taken")
         )

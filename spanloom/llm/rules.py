@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.lookup import lookup
 from ..operators.staging import stage
-from .common import WORD, null_safe_key, without
+from .common import WORD, bind, null_safe_key, without
 
 # Blanks between words, characters that count as symbols, the window of repeated words.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -56,11 +56,6 @@ RULES = {
 }
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, evaluated once however often ``body`` uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
     """Number of words inside windows of ``window`` words that occur twice or more in ``words``.
 

@@ -114,17 +114,42 @@ def test_mixing_shards_are_random(spark):
     rows = [(i, n, n, sum(numbers[:i]), sum(numbers)) for i, n in enumerate(numbers)]
     sources = spark.createDataFrame(rows, "ordinal long, blocks long, slots long, first_slot long, all_slots long")
     for seed in range(3):
-        placed = mixing.place_slots(mixing.draw_slots(sources, 8, seed), seed).collect()
+        placed = mixing.draw_slots(sources, 8, seed).collect()
         assert sorted(r.out_shard * mixing.SHARD_SLOTS + r.out_slot for r in placed) == list(range(sum(numbers)))
         assert Counter(r.ordinal for r in placed) == dict(enumerate(numbers))
         counts = Counter((r.out_shard, r.ordinal) for r in placed)
         for i, n in enumerate(numbers):
             share = n / sum(numbers)
             spread = np.std([counts[shard, i] for shard in range(60)])
-            # A draw of 1024 slots without replacement; 60 shards show it to about a tenth.
+            # A multinomial draw of 1024 slots; 60 shards show its spread to about a tenth.
             assert spread == pytest.approx((mixing.SHARD_SLOTS * share * (1 - share)) ** 0.5, rel=0.35)
 
 
+def test_mixing_draws_differ_by_seed_and_meet_the_totals(spark):
+    """Many small sources, one of half of all: each has its slots, every block is used evenly, and seeds give other shards."""
+    numbers = [3000] + [1 + i % 7 for i in range(800)]
+    firsts = np.cumsum([0, *numbers])
+    rows = [(i, max(1, n // 2), n, int(firsts[i]), sum(numbers)) for i, n in enumerate(numbers)]
+    sources = spark.createDataFrame(rows, "ordinal long, blocks long, slots long, first_slot long, all_slots long").cache()
+    found = [mixing.draw_slots(sources, 8, seed).collect() for seed in (0, 1)]
+    for placed in found:
+        assert sorted(r.out_shard * mixing.SHARD_SLOTS + r.out_slot for r in placed) == list(range(sum(numbers)))
+        assert Counter(r.ordinal for r in placed) == dict(enumerate(numbers))
+        uses = Counter((r.ordinal, r.block) for r in placed)
+        assert all(0 <= b < rows[o][1] and n in (numbers[o] // rows[o][1], numbers[o] // rows[o][1] + 1) for (o, b), n in uses.items())
+    counts = [Counter((r.out_shard, r.ordinal) for r in placed) for placed in found]
+    assert counts[0] != counts[1]
+
+
+def test_permutations_look_random(spark):
+    """Neighbouring indices land apart, and other seeds give other permutations."""
+    n = 5000
+    places = [[r.p for r in spark.range(n).select("id", permuted(F.col("id"), F.lit(n), F.lit(seed)).alias("p")).orderBy("id").collect()] for seed in (1, 2)]
+    assert places[0] != places[1] and all(sorted(p) == list(range(n)) for p in places)
+    steps = np.diff(places[0])
+    assert len(set(steps.tolist())) > 0.7 * n * 0.6 and abs(np.corrcoef(range(n), places[0])[0, 1]) < 0.06
+
+
 def test_mixing_slots(spark, odd_docs, no_docs):
     mix = mixing.Mix(odd_docs)
     rows = mix.taken().collect()
