@@ -20,8 +20,8 @@ from .common import WORD, null_safe_key
 
 # Marks of the template.
 OPEN, CLOSE = "<s>", "\n</s>"
-CONTROL = r"(\\*)(</?s>)"
-ESCAPED = r"\\(\\*)(</?s>)"
+CONTROL = r"(</?s>)"
+ESCAPED = r"\\(</?s>)"
 
 BUDGET = 512
 HISTORY = 128
@@ -29,11 +29,11 @@ TURN_TOKENS = 4
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, F.lit(CONTROL), F.lit(r"$1\\$2"))
+    return F.regexp_replace(text, F.lit(CONTROL), F.lit(r"\\$1"))
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, F.lit(ESCAPED), F.lit("$1$2"))
+    return F.regexp_replace(text, F.lit(ESCAPED), F.lit("$1"))
 
 
 def escape_role(role: Column) -> Column:

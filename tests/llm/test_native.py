@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -211,3 +213,38 @@ def test_lines(spark):
     assert got[3].host == "site.org" and got[3].text == "own 3" and (got[3].n_lines, got[3].n_removed) == (4, 3)
     assert got[10].n_removed == 0 and got[11].text == "" and got[12].host == "" and got[14].text == "rare"
     assert lines.drop_boilerplate(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("text", ["<", "<p ", "<!--", "<script>", "<style", "a<", "\\", "\\<s>", "<s>", ">", "\n", "</s"])
+def test_long_texts_take_linear_time(spark, text):
+    """A text of a million characters that a careless pattern would search again from each of them."""
+    long = text * (1_000_000 // len(text))
+    pages = spark.createDataFrame([(1, "http://a.b", long)], "page_id long, url string, html string")
+    turns = spark.createDataFrame([(1, 0, "assistant", long)], "conv_id long, turn long, role string, text string")
+    start = time.time()
+    line = pages.select(F.array_join(lines.lines_of(F.col("html")), "\n").alias("t")).first().t
+    back = chat.digest(chat.format_conversations(turns)).first()
+    assert time.time() - start < 12  # seconds with start-up, where the first patterns took minutes
+    assert back.loss_sha256 == hashlib.sha256(long.encode()).hexdigest()
+    assert line == {"<": long, "<p ": long.strip(), "a<": long, "\\": long, "</s": long, ">": long}.get(text, line)
+    if text in ("<!--", "<script>"):
+        assert line == ""
+
+
+def test_lines_equal_a_plain_reading(spark):
+    htmls = ["a < b", "a < b <p>c</p> d < e", "<p", "x<!-- <p> --y", "<SCRIPT>a</script>b<style>c", "<p a='<b>'>z", "<scripture>t</scripture>", "1 <br/ 2 > 3 <"]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(htmls)], "i long, h string")
+    got = {r.i: r.l for r in df.select("i", lines.lines_of(F.col("h")).alias("l")).collect()}
+
+    def plain(html):
+        text = re.sub(lines.OTHER_TAG, "", re.sub(lines.BLOCK_TAG, "\n", re.sub(lines.INVISIBLE.replace(r"\z", r"\Z"), "", html)))
+        return [x for x in (y.strip(lines.BLANKS) for y in re.split(r"[\r\n]+", text)) if x]
+
+    assert got == {i: plain(h) for i, h in enumerate(htmls)}
+
+
+def test_columns_of_any_name(spark, odd_docs):
+    pages = spark.createDataFrame([(i, "http://a.b", "<p>x</p><p>y</p>", "1", "2", "3") for i in range(4)], "page_id long, url string, html string, _frequent string, _host string, keys string")
+    assert lines.drop_boilerplate(pages).select("page_id", "_frequent", "_host", "keys", "n_removed").distinct().count() == 4
+    docs = odd_docs.withColumnsRenamed({"shard": "_uses", "_row": "_words", "n": "_times"})
+    assert mixing.mixed_documents(docs).columns == docs.columns
