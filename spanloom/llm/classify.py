@@ -1,7 +1,7 @@
 """Quality classifier and language ID on subword embeddings.
 
-Both learn from a bounded sample of labelled rows (``PER_CLASS`` rows of each class on average,
-drawn by a hash of the id), on the driver. Whole texts of all rows are scored on the executors,
+Both learn on the driver from a bounded sample of labelled rows: ``PER_CLASS`` rows of each class on average,
+``SAMPLE_ROWS`` of all, drawn by a hash, among texts up to ``LONGEST`` characters. Whole texts of all rows are scored on the executors,
 Arrow batch by Arrow batch; the model is a table of a fixed size.
 """
 
@@ -13,24 +13,30 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import held_out, without
+from .common import held_out, unused, without
 from .subwords import Model, train
 
 PER_CLASS = 600
-MAX_CLASSES = 256
+SAMPLE_ROWS = 20_000
+LONGEST = 200_000
 UNDETERMINED = "und"
 KEEP_AT = 0.3
 LOST_SHARE = 0.001
 
 
 def sample_by_class(labelled: DataFrame, label: str, per_class: int, seed: int = 0) -> DataFrame:
-    """About ``per_class`` rows of each of at most ``MAX_CLASSES`` (the largest) labels, all of small ones."""
-    counts = labelled.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), label).limit(MAX_CLASSES).collect()
-    share = F.lit(0.0)
-    for row in counts:
-        share = F.when(F.col(label) == row[label], F.lit(min(1.0, per_class / row["n"]))).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.filter(draw < share)
+    """About ``per_class`` rows of each label, all of small ones, and about ``SAMPLE_ROWS`` of all at most.
+
+    Rows are drawn by a hash of id and text, and equal rows are one.
+    """
+    kinds = [c for c in ("doc_id", "text") if c in labelled.columns]
+    counts = labelled.groupBy(F.col(label).alias("_drawn")).agg(F.count(F.lit(1)).alias("_rows"))
+    classes = counts.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).first()[0]
+    # A model has a vector for each label, so its labels fit a broadcast.
+    rates = counts.select("_drawn", (F.lit(min(per_class, SAMPLE_ROWS / classes)) / F.col("_rows")).alias("_share"))
+    draw = F.pmod(F.xxhash64(F.lit(seed), *kinds), F.lit(1 << 30)) / float(1 << 30)
+    drawn = labelled.join(F.broadcast(rates), F.col(label) == F.col("_drawn")).filter(draw < F.col("_share"))
+    return drawn.drop("_drawn", "_share").dropDuplicates()
 
 
 def _fit(sample: DataFrame, label: str, keep_case: bool, seed: int) -> tuple[Model, np.ndarray, np.ndarray]:
@@ -47,7 +53,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("_label"))
     drawn = sample_by_class(known, "_label", per_class, seed)
     # At most about per_class rows of two classes, whatever the size of the corpus.
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
+    texts = docs.select("doc_id", "text").filter(F.length("text") <= LONGEST)
     sample = texts.join(F.broadcast(drawn), "doc_id")
     if len({r["_label"] for r in sample.select("_label").distinct().collect()}) < 2:
         return None
@@ -85,7 +91,7 @@ def fit_language(docs: DataFrame, per_class: int = PER_CLASS, seed: int = 0) ->
     Rejection is calibrated on texts kept out of the training: the score under which at most
     ``LOST_SHARE`` of the right answers fall, and never more than 0.5.
     """
-    known = docs.select("doc_id", "text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    known = docs.select("doc_id", "text", "lang").filter((F.length("text") <= LONGEST) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     sample = sample_by_class(known, "lang", per_class, seed)
     if sample.select("lang").distinct().limit(2).count() < 1:
         return LanguageModel(None, 0.0)
@@ -105,11 +111,12 @@ def identify_language(docs: DataFrame, fitted: LanguageModel) -> DataFrame:
     model, limit = fitted.model, fitted.reject_below
     rows = without(docs, "lang_pred", "score", "rejected")
     names = rows.columns
-    lettered = rows.withColumn("_lettered", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    flag = unused(rows, "_lettered")
+    lettered = rows.withColumn(flag, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
 
     def identify(batches):
         for batch in batches:
-            known = batch.column("_lettered").to_numpy(zero_copy_only=False).astype(bool)
+            known = batch.column(len(names)).to_numpy(zero_copy_only=False).astype(bool)
             if model is None:
                 known = np.zeros(batch.num_rows, bool)
                 best, score = np.zeros(batch.num_rows, int), np.zeros(batch.num_rows)

@@ -64,7 +64,10 @@ def _ranges(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """Class scores per feature (``table``), ``bias`` and the temperature of the softmax."""
+    """A row per class and feature (``table``), ``bias`` and the temperature of the softmax.
+
+    With more classes than a vector has places, ``table`` has the vectors, and ``head`` their softmax's matrix.
+    """
 
     classes: list
     table: np.ndarray
@@ -72,21 +75,23 @@ class Model:
     bits: int
     keep_case: bool
     temperature: float = 1.0
+    head: np.ndarray | None = None
 
     def logits(self, column: pa.Array) -> np.ndarray:
         """One row of class logits per text; a text without features has the bias alone."""
-        out = np.zeros((len(column), len(self.classes)))
+        width = len(self.table)
+        out = np.zeros((len(column), width))
         for low, high, data, bounds in text_slices(column):
             count = np.zeros(high - low)
-            total = np.zeros((high - low, len(self.classes)))
+            total = np.zeros((high - low, width))
             for feature, at in features(data, bounds, self.bits, self.keep_case):
                 first, last = _ranges(at)
                 count += last - first
-                for c in range(len(self.classes)):
+                for c in range(width):
                     sums = np.concatenate(([0.0], np.cumsum(self.table[c][feature], dtype=np.float64)))
                     total[:, c] += sums[last] - sums[first]
             out[low:high] = total / np.maximum(count, 1)[:, None]
-        return (out + self.bias) / self.temperature
+        return ((out if self.head is None else out @ self.head.T) + self.bias) / self.temperature
 
     def probabilities(self, column: pa.Array) -> np.ndarray:
         return softmax(self.logits(column))
@@ -143,8 +148,11 @@ def train(
             bias -= 0.02 * step * p
             # The mean spreads the gradient over all features: one step moves the hidden vector by ``step``.
             embed[ids] -= (step / max(float(share @ share), 1e-6)) * share[:, None] * (back * 0.1)
-    model = Model(classes, np.ascontiguousarray((embed @ weight.T).T), bias.astype(np.float64), bits, keep_case)
-    logits = np.array([(model.table[:, ids] @ share if len(ids) else np.zeros(len(classes))) + model.bias for ids, share in (bags[i] for i in calibrate)]).reshape(-1, len(classes))
+    many = len(classes) > dim
+    rows = embed.T if many else (embed @ weight.T).T
+    model = Model(classes, np.ascontiguousarray(rows), bias.astype(np.float64), bits, keep_case, head=weight if many else None)
+    means = np.array([model.table[:, ids] @ share if len(ids) else np.zeros(len(rows)) for ids, share in (bags[i] for i in calibrate)]).reshape(-1, len(rows))
+    logits = (means @ weight.T if many else means) + model.bias
     truth = target[calibrate]
     model.temperature = calibrated_temperature(logits, truth)
     return model, softmax(logits / model.temperature), truth

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from spanloom.llm import classify, contamination, graph, jaccard, neighbours, suffixes
 from spanloom.llm.queries import QUERIES
@@ -321,3 +322,20 @@ def test_hashing_of_slices(texts):
             found = [bytes(data[s:e]) for s, e in zip(starts, ends, strict=True)]
             got += [found[firsts[i] : firsts[i + 1]] for i in range(len(firsts) - 1)]
         assert got == [t.encode().split() for t in texts]
+
+
+def test_three_hundred_languages(spark):
+    """More classes than a vector has places; a label of few rows is learned too, and equal rows are drawn once."""
+    rng = np.random.default_rng(0)
+    rows = []
+    for lang in range(300):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(12)]
+        rows += [(lang * 100 + i, " ".join(rng.choice(words, 30)), f"l{lang:03d}") for i in range(14)]
+    rows += [(9_000_001, "the same text", "hot")] * 5000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    assert classify.sample_by_class(docs, "lang", 600).filter("lang = 'hot'").count() <= 1
+    fitted = classify.fit_language(docs, per_class=12)
+    assert len(fitted.model.classes) >= 300 and fitted.model.head is not None
+    found = classify.identify_language(docs.filter("lang <> 'hot'").withColumn("_lettered", F.lit(1)), fitted)
+    right, n = found.agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count(F.lit(1))).first()
+    assert n == 4200 and right > 0.9 * n and "_lettered" in found.columns
