@@ -330,7 +330,8 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """
     classes = jaccard_classes(docs, n, percent).groupBy("doc_id").agg(F.min("component_id").alias("_component"), F.count(F.lit(1)).alias("_times"))
     classes = stage(classes, "components")
-    keyed = lookup(docs.withColumn("_doc", F.col("doc_id").cast("long")), classes.select(F.col("doc_id").alias("_doc"), "_component"), ["_doc"])
-    kept = keyed.filter(F.col("_component").isNull() | (F.col("_component") == F.col("_doc"))).drop("_doc", "_component")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc"))
+    keyed = lookup(rows, classes.select(F.col("doc_id").alias("doc"), F.col("_component").alias("component")), ["doc"])
+    kept = keyed.filter(F.col("component").isNull() | (F.col("component") == F.col("doc"))).select("row.*")
     # Only repeated ids can have equal rows; without any, rows need not be compared.
     return kept.dropDuplicates() if classes.filter(F.col("doc_id").isNotNull() & (F.col("_times") > 1)).limit(1).count() else kept

@@ -182,12 +182,13 @@ def mixed_documents(df: DataFrame, seed: int = 0) -> DataFrame:
 
     Expected repeats equal the uses, so the sources meet their targets in words; texts stay whole.
     """
-    uses = Mix(df, seed).taken().groupBy("doc_id", "source", "size").agg((F.avg("taken") / F.greatest(F.col("size"), F.lit(1))).alias("_uses"))
-    sized_rows = df.withColumn("_words", F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long"))
-    sized_rows = sized_rows.withColumn("_key_doc", F.col("doc_id")).withColumn("_key_source", F.col("source"))
-    dim = uses.select(F.col("doc_id").alias("_key_doc"), F.col("source").alias("_key_source"), F.col("size").alias("_words"), "_uses")
-    found = lookup(sized_rows, dim, ["_key_doc", "_key_source", "_words"], null_safe=True)
-    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.crc32("text")), F.lit(1 << 20)) / float(1 << 20)
-    times = F.floor(F.col("_uses") + draw).cast("int")
-    repeated = found.withColumn("_times", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in df.columns])
+    uses = Mix(df, seed).taken().groupBy("doc_id", "source", "size").agg((F.avg("taken") / F.greatest(F.col("size"), F.lit(1))).alias("uses"))
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), "doc_id", "source",
+        F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+    )
+    found = lookup(rows, uses, ["doc_id", "source", "size"], null_safe=True)
+    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.crc32("row.text")), F.lit(1 << 20)) / float(1 << 20)
+    times = F.floor(F.col("uses") + draw).cast("int")
+    repeated = found.withColumn("time", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))))
+    return repeated.select("row.*")
