@@ -1,8 +1 @@
 """Agent-telemetry analytics on Spark: bronze exports -> spans -> conversation hierarchy."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# Functions for Python workers travel with the code of this package, so executors need not have it installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
