@@ -25,11 +25,11 @@ FROM_BRONZE = [
 ]
 LOADS = [
     "export_unpack", "csv_roundtrip", "bronze_overwrite", "bronze_date", "scan_all", "span_union", "props_safe", "props_nested",
-    "safe_numeric", "safe_timestamp", "assistant_text",
+    "safe_numeric", "safe_timestamp", "assistant_text", "export_ranges", "csv_ranges", "bronze_versions",
 ]
 FROM_SKELETON = ["op_run_map", "run_attrs", "tools_attach", "user_msg_asof", "run_completed_asof", "audit_assign", "tool_msg_zip"]
 MORE_FROM_SKELETON = ["run_first", "dep_resolve", "run_universe", "tools_extract", "run_steps_extract", "assistant_first", "extract_counters"]
-MORE_FROM_SILVER = ["run_events", "thread_rollup", "user_rollup"]
+MORE_FROM_SILVER = ["run_events", "thread_rollup", "user_rollup", "span_store_fill", "run_store_attrs"]
 FROM_SILVER = [
     "silver_users", "silver_threads", "silver_runs", "silver_run_steps", "silver_tools", "summary_global",
     "token_top_runs", "token_top_threads", "tool_usage", "latency_stats", "hierarchy_view", "hierarchy_json",
