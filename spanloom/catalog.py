@@ -585,7 +585,7 @@ def hierarchy_view(w: Workspace) -> DataFrame:
 def hierarchy_json(w: Workspace) -> DataFrame:
     """Values read back out of the JSON text of every node."""
     value = lambda name: F.get_json_object("node", f"$.{name}")
-    return H.json_nodes(w.silver).select(
+    return H.json_nodes(w.silver, staged=False).select(
         "level", "parent_id",
         F.coalesce(*[value(f"{level}_id") for level in reversed(H.LEVELS)]).alias("node_id"),
         value("total_tokens").cast("bigint").alias("total_tokens"),

@@ -36,8 +36,12 @@ class Levels(NamedTuple):
     tool: DataFrame
 
 
-def place_levels(silver: Silver, runs_by_start: bool = False) -> Levels:
-    """Each level with its path, its parents' ids, and whether it is its parent's first child."""
+def place_levels(silver: Silver, runs_by_start: bool = False, staged: bool = True) -> Levels:
+    """Each level with its path, its parents' ids, and whether it is its parent's first child.
+
+    Paths are written once where the result is sorted, and so read twice; ``staged`` says so.
+    """
+    keep = stage if staged else lambda df, label: df
     start = [F.col("start_time")] if runs_by_start else []
     users = silver.users.withColumn("user_at", F.struct("user_order", "user_id"))
     threads = silver.threads.withColumn("thread_at", F.struct("thread_order", "thread_id"))
@@ -48,21 +52,20 @@ def place_levels(silver: Silver, runs_by_start: bool = False) -> Levels:
     def first(children: DataFrame, parent: str, at: str) -> DataFrame:
         return children.groupBy(parent).agg(F.min(at).alias(f"first_{at}"))
 
-    # Paths are narrow and read by every level below: each is written once.
     first_user = users.agg(F.min("user_at")).scalar()
-    user_path = stage(
+    user_path = keep(
         users.join(first(threads, "user_id", "thread_at"), "user_id", "left").select("user_id", "user_at", "first_thread_at"),
         "user-path",
     )
     threads = lookup(threads, user_path, ["user_id"], "inner")
-    thread_path = stage(
+    thread_path = keep(
         threads.join(first(runs, "thread_id", "run_at"), "thread_id", "left").select(
             "user_id", "user_at", "thread_id", "thread_at", "first_run_at"
         ),
         "thread-path",
     )
     runs = lookup(runs, thread_path, ["thread_id"], "inner")
-    run_path = stage(
+    run_path = keep(
         runs.join(first(steps, "run_id", "step_at"), "run_id", "left")
         .join(first(tools, "run_id", "tool_at"), "run_id", "left")
         .select("user_id", "user_at", "thread_id", "thread_at", "run_id", "run_at", "first_step_at", "first_tool_at"),
@@ -169,9 +172,9 @@ CHILDREN = {"user": "threads", "thread": "runs", "run": "run_steps", "step": "to
 _PARENT = {"user": None, "thread": "user_id", "run": "thread_id", "step": "run_id", "tool": "step_id"}
 
 
-def json_nodes(silver: Silver) -> DataFrame:
+def json_nodes(silver: Silver, staged: bool = True) -> DataFrame:
     """One row per node: its path and its own fields as a JSON object, children left out."""
-    levels = place_levels(silver)
+    levels = place_levels(silver, staged=staged)
     nodes = None
     for level in LEVELS:
         parent = F.col(_PARENT[level]) if _PARENT[level] else F.lit(None).cast("string")
