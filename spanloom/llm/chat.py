@@ -2,8 +2,12 @@
 
 A conversation is cut into windows on turn boundaries by prefix sums of turn tokens. Every turn is
 new in exactly one window. A later window starts with the system turn and the last turns of the
-window before, up to a limit of tokens; those repeats are outside the loss mask, so each assistant
-text is a target once.
+window before, up to a limit of tokens and to what the budget leaves; those repeats are outside the
+loss mask, so each assistant text is a target once.
+
+Turns that start in one cell of the prefix sums form a window. Only the last of them can end beyond
+the cell; where the window would then be too long, that turn is a window of its own. So the cut
+needs no walk along the conversation.
 
 Template: a turn is ``<s>`` role newline text newline ``</s>``. In roles and texts the control
 strings ``<s>`` and ``</s>`` get one more backslash in front than they have; newline and backslash
@@ -45,52 +49,77 @@ def unescape_role(role: Column) -> Column:
 
 
 def _starts(turns: DataFrame) -> DataFrame:
-    """Tokens before each turn of its conversation; a conversation may span any number of tasks."""
+    """``start``, the tokens before each turn of its conversation, and ``system``, those of a system turn at its
+    beginning; a conversation may span any number of tasks."""
     order = ["turn", "role", "text", "_id"]
     chunked = order_chunks(turns, ["_conv"], order)
-    inside = Window.partitionBy(CHUNK, "_conv").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    sums = chunked.groupBy(CHUNK, "_conv").agg(F.sum("tokens").alias("_sum"))
+    rows = Window.partitionBy(CHUNK, "_conv").orderBy(*order)
+    inside = rows.rowsBetween(Window.unboundedPreceding, -1)
+    system = F.when(F.col("role") == "system", F.col("tokens")).otherwise(F.lit(0).cast("long"))
+    sums = chunked.groupBy(CHUNK, "_conv").agg(F.sum("tokens").alias("_sum"), F.min_by(system, F.struct(*order)).alias("_first"))
     before = Window.partitionBy("_conv").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     # Chunks are consecutive ranges: at most the first conversation of a chunk has a carry.
-    carry = sums.select(CHUNK, "_conv", F.sum("_sum").over(before).alias("_carry")).filter(F.col("_carry").isNotNull())
+    carry = sums.select(
+        CHUNK, "_conv", F.sum("_sum").over(before).alias("_carry"), F.first("_first").over(before).alias("_head")
+    ).filter(F.col("_carry").isNotNull())
     return (
         chunked.withColumn("_inner", F.coalesce(F.sum("tokens").over(inside), F.lit(0)))
+        .withColumn("_own_head", F.first(system).over(rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .join(F.broadcast(carry), [CHUNK, "_conv"], "left")
         .withColumn("start", F.col("_inner") + F.coalesce("_carry", F.lit(0)))
+        .withColumn("system", F.coalesce("_head", "_own_head"))
     )
 
 
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
+
+
 def format_conversations(df: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """Windows of the conversations in ``df`` (``conv_id``, ``turn``, ``role``, ``text``; others are not read).
 
     Returns ``conv_id``, ``window``, ``n_repeated`` (turns at the beginning that are repeats),
     ``text`` and ``loss``, the spans (start, length in code points of ``text``) of new assistant
-    texts. New turns of a window begin within ``budget - history`` tokens of each other; no turn is
-    cut, so a window has at most the budget, the system turn and what its last turn exceeds.
+    texts. A window of several new turns has at most ``budget`` tokens, the system turn and repeats
+    included. No turn is cut, so one new turn that is too long beside the system turn makes a longer
+    window, without repeats. Numbers of windows ascend in the conversation, with gaps.
 
     NULL texts and roles are empty, NULL turns come first, NULL is a conversation of its own; equal
     turn numbers are ordered by role and text, equal rows are turns of their own. An empty table
     gives no windows.
     """
-    stride = budget - history
     turns = df.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
         null_safe_key("conv_id").alias("_conv"), F.monotonically_increasing_id().alias("_id"),
     ).withColumn("tokens", (F.regexp_count("text", F.lit(WORD)) + TURN_TOKENS).cast("long"))
-    placed = _starts(turns).select(
-        "conv_id", "_conv", "start", "tokens", F.floor(F.col("start") / stride).cast("long").alias("_own"),
-        F.struct("start", F.lit(True).alias("new"), "role", "text").alias("_turn"),
+    # New turns have ``_room`` tokens; a cell is narrower, so that few last turns have to be set apart.
+    room = F.greatest(F.lit(budget - history) - F.col("system"), F.lit(1).cast("long"))
+    placed = _starts(turns).withColumn("_room", room).withColumn("_cell", F.greatest(_div(F.col("_room") * 3, F.lit(4)), F.lit(1).cast("long"))).select(
+        "conv_id", "_conv", "start", "tokens", "system", "_room", "_cell", _div(F.col("start"), F.col("_cell")).alias("_own"),
+        F.struct("start", F.lit(True).alias("new"), "tokens", "role", "text").alias("_turn"),
     )
-    ended = placed.withColumn("_end", F.max(F.col("start") + F.col("tokens")).over(Window.partitionBy("_conv", "_own")))
-    following = F.floor(F.col("_end") / stride).cast("long")
+    of_cell = Window.partitionBy("_conv", "_own")
+    celled = placed.withColumns({
+        "_first": F.min("start").over(of_cell), "_last": F.max("start").over(of_cell), "_stop": F.max(F.col("start") + F.col("tokens")).over(of_cell),
+    })
+    split = (F.col("_stop") - F.col("_first") > F.col("_room")) & (F.col("_last") > F.col("_first"))
+    apart = split & (F.col("start") == F.col("_last"))
+    number = F.col("_own") * 2 + F.when(apart, 1).otherwise(0)
+    ended = celled.withColumn("_number", number).withColumn("_end", F.when(split & ~apart, F.col("_last")).otherwise(F.col("_stop")))
+    # The turn after a window starts at its end: in this cell, set apart, or in a later one.
+    following = F.when(split & ~apart, F.col("_own") * 2 + 1).otherwise(_div(F.col("_end"), F.col("_cell")) * 2)
     first_system = (F.col("start") == 0) & (F.col("_turn.role") == "system")
-    repeats = (F.col("_end") - F.col("start") <= history) & (following > F.col("_own")) & ~first_system
+    repeats = (F.col("_end") - F.col("start") <= history) & (following > F.col("_number")) & ~first_system
     repeated = F.struct(following.alias("window"), F.col("_turn").withField("new", F.lit(False)).alias("_turn"))
-    own = F.struct(F.col("_own").alias("window"), "_turn")
-    placements = ended.select("conv_id", "_conv", F.explode(F.when(repeats, F.array(own, repeated)).otherwise(F.array(own))).alias("_place"))
+    own = F.struct(F.col("_number").alias("window"), "_turn")
+    placements = ended.select("conv_id", "_conv", "system", F.explode(F.when(repeats, F.array(own, repeated)).otherwise(F.array(own))).alias("_place"))
+    new, start, tokens = F.col("_place._turn.new"), F.col("_place._turn.start"), F.col("_place._turn.tokens")
     windows = placements.groupBy("conv_id", "_conv", F.col("_place.window").alias("window")).agg(
-        F.array_sort(F.collect_list("_place._turn")).alias("_turns")
-    ).filter(F.exists("_turns", lambda t: t["new"]))
+        F.array_sort(F.collect_list("_place._turn")).alias("_turns"), F.min(F.when(new, start)).alias("_start"),
+        F.sum(F.when(new, tokens)).alias("_tokens"), F.max("system").alias("_kept"),
+    ).filter(F.col("_start").isNotNull())
+    left = F.lit(budget) - F.col("_kept") - F.col("_tokens")
+    windows = windows.withColumn("_turns", F.filter("_turns", lambda t: t["new"] | (F.col("_start") - t["start"] <= left))).drop("_start", "_tokens", "_kept")
     system = placed.filter(first_system).select("_conv", F.col("_turn").withField("new", F.lit(False)).alias("_system"))
     joined = lookup(windows, system, ["_conv"])
     turns_of = F.when((F.col("window") > 0) & F.col("_system").isNotNull(), F.concat(F.array("_system"), "_turns")).otherwise(F.col("_turns"))

@@ -55,23 +55,31 @@ with turns as (
       + len(regexp_extract_all(role, '</?s>')) + 1 + length(text) + len(regexp_extract_all(text, '</?s>')) + 5 as chars
   from turns
 ), placed as (
-  select *, sum(tokens) over (partition by conv_id order by n) - tokens as start_token,
-    sum(tokens) over (partition by conv_id) as all_tokens from measured
+  select *, sum(tokens) over (partition by conv_id order by n) - tokens as start_token from measured
+), cells as (
+  select *, greatest(384 - system_tokens, 1) as room, start_token // greatest(greatest(384 - system_tokens, 1) * 3 // 4, 1) as cell from (
+    select *, first_value(case when role = 'system' then tokens else 0 end) over (partition by conv_id order by n) as system_tokens from placed)
 ), windowed as (
-  select *, start_token // 384 as win, max(start_token + tokens) over (partition by conv_id, start_token // 384) as end_token from placed
+  select *, 2 * cell + case when last_start > first_start and start_token = last_start and stop - first_start > room then 1 else 0 end as win from (
+    select *, min(start_token) over c as first_start, max(start_token) over c as last_start, max(start_token + tokens) over c as stop
+    from cells window c as (partition by conv_id, cell))
+), windows as (
+  select *, lag(win) over (partition by conv_id order by win) as previous from (
+    select conv_id, win, min(start_token) as win_start, 512 - max(system_tokens) - sum(tokens) as free from windowed group by conv_id, win)
+), repeated as (
+  select t.conv_id, sum(chars) as repeated_chars from windows w join windowed t on t.conv_id is not distinct from w.conv_id and t.win = w.previous
+  where win_start - start_token <= least(128, free) and not (n = 1 and role = 'system') group by t.conv_id
 ), per_conv as (
   select conv_id, count(*)::bigint as n_turns,
     sha256(string_agg(role || chr(10) || text || chr(10), '' order by n)) as turns_sha256,
     coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
     sha256(coalesce(string_agg(text, '' order by n) filter (role = 'assistant'), '')) as loss_sha256,
     sum(chars) as new_chars,
-    coalesce(sum(chars) filter (end_token - start_token <= 128 and end_token // 384 > win and end_token < all_tokens
-      and not (n = 1 and role = 'system')), 0) as repeated_chars,
     coalesce(sum(chars) filter (n = 1 and role = 'system'), 0) * (count(distinct win) - 1) as system_chars
   from windowed group by conv_id
 )
-select conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, (new_chars + repeated_chars + system_chars)::bigint as formatted_chars
-from per_conv
+select p.conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, (new_chars + coalesce(repeated_chars, 0) + system_chars)::bigint as formatted_chars
+from per_conv p left join repeated r on r.conv_id is not distinct from p.conv_id
 """
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import time
 import zlib
@@ -202,6 +203,28 @@ def test_chat_windows(spark):
     assert chat.digest(chat.format_conversations(df.limit(0))).collect() == []
 
 
+def test_chat_windows_keep_the_budget(spark):
+    rng = random.Random(7)
+    rows = [(1, t, "user" if t % 2 else "assistant", "w " * 300) for t in range(60)]
+    for conv in range(2, 40):
+        long = rng.choice([20, 150, 400])
+        rows += [(conv, 0, rng.choice(["system", "user"]), "s " * rng.choice([0, 30, 90, 150, 260]))]
+        rows += [(conv, t, "user" if t % 2 else "assistant", "w " * rng.randrange(long)) for t in range(1, rng.randrange(2, 60))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    given = spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id", F.col("turn").cast("long"), "role", "text")
+    for turns, budget, history in ((df, 200, 60), (df, 512, 128), (df, 100, 100), (given, 512, 128)):
+        several = 0
+        for r in chat.format_conversations(turns, budget, history).collect():
+            pieces = [p[len(chat.OPEN):].split("\n", 1) for p in r.text.split(chat.CLOSE)[:-1]]
+            sizes = [len(text.split()) + chat.TURN_TOKENS for _, text in pieces]
+            new, repeated = sizes[r.n_repeated :], pieces[: r.n_repeated]
+            assert sum(sizes) <= budget or len(new) == 1 and all(role == "system" for role, _ in repeated[:1]) and len(repeated) <= 1
+            several += len(new) > 1
+        assert several or budget == history
+        got = {(r.conv_id, r.n_turns) for r in chat.digest(chat.format_conversations(turns, budget, history)).collect()}
+        assert got == {(r.conv_id, r["count"]) for r in turns.groupBy("conv_id").count().collect()}
+
+
 def test_lines(spark):
     page = "<html><nav>menu &amp; more</nav><script>x<p>y</script><p>own {i}</p><p>twice</p><div>twice</div><!-- <p>no</p> --></html>"
     rows = [(i, "https://u@Site.org:80/a?b", page.replace("{i}", str(i)), "x", 7) for i in range(10)]
