@@ -4,8 +4,9 @@ Every string of ``width`` bytes has a smallest k-gram (by hash). Consecutive str
 one form a context, so a text is a chain of contexts and equal strings lie in contexts of the same
 k-gram, wherever they stand.
 
-1. Anchors: k-gram values are counted over all documents; each batch of documents learns which of
-   its own occur in another document. Only contexts of those go on.
+1. Anchors: k-gram values are counted over all documents but copies of a whole text; a batch of
+   documents sends each of its values once, with the number of its documents that hold it, and learns
+   which occur in several documents. Only contexts of those go on.
 2. Suffix sort: contexts meet by k-gram. Equal contexts are settled at once. The suffixes of the
    others are put in buckets by their first bytes and sorted by mergesort; two are compared by binary search for their common
    extension on prefix polynomial hashes and then by one byte. Neighbours with a common extension
@@ -40,6 +41,8 @@ HOT_DOCS = 8192
 _IPC = pa.ipc.IpcWriteOptions(compression="zstd")
 DOCS, COPIES, REPEATED, CONTEXTS, SPANS, HOT, STRINGS = range(7)
 ROW = "kind int, dest int, data binary"
+# A row of the documents: two hashes of id and text, so that different rows do not pass for one.
+ADDRESS = np.dtype([("one", np.int64), ("two", np.int64)])
 
 
 def _rows(kind: int, dest: np.ndarray, data: list[bytes]) -> pa.RecordBatch:
@@ -125,80 +128,82 @@ def _full_key(bucket, key: np.ndarray) -> np.ndarray:
     return (np.asarray(bucket, np.uint64) << np.uint64(32)) | key.astype(np.uint64)
 
 
+def _addresses(table: pa.Table | pa.RecordBatch) -> np.ndarray:
+    out = np.empty(table.num_rows, ADDRESS)
+    out["one"], out["two"] = table.column("addr").to_numpy(), table.column("addr2").to_numpy()
+    return out
+
+
 def post_documents(docs: DataFrame) -> DataFrame:
     """Rows (id, address, batch, text) to their batches; equal rows once with their number."""
 
     def post(batches):
         for batch in batches:
-            addresses = batch.column("addr").to_numpy()
-            _, first, count = np.unique(addresses, return_index=True, return_counts=True)
+            _, first, count = np.unique(_addresses(batch), return_index=True, return_counts=True)
             once = batch.take(pa.array(first))
-            table = pa.Table.from_arrays([once.column("doc_id"), once.column("addr"), pa.array(count, pa.int64()), once.column("text")], ["doc_id", "addr", "times", "text"])
+            table = pa.Table.from_arrays([once.column("doc_id"), once.column("addr"), once.column("addr2"), pa.array(count, pa.int64()), once.column("text")], ["doc_id", "addr", "addr2", "times", "text"])
             yield from _post(DOCS, once.column("batch").to_numpy(), table)
 
     return docs.mapInArrow(post, ROW)
 
 
-def post_anchors(docs: DataFrame, batches_n: int, buckets: int, width: int, gram: int) -> DataFrame:
-    """Anchor keys to their buckets, each once per document."""
-
-    def post(batches):
-        for batch in batches:
-            home = batch.column("batch").to_numpy().astype(np.int64)
-            kept = []
-            for low, _, data, bounds in text_slices(batch.column("text")):
-                value, _, _, owner = contexts(data, bounds, width, gram)
-                bucket, key = _anchor_key(value, buckets)
-                full = _full_key(bucket, key)
-                by = np.argsort(full, kind="stable")
-                full, owner = full[by], owner[by]
-                new = np.ones(len(by), bool)
-                new[1:] = (full[1:] != full[:-1]) | (owner[1:] != owner[:-1])
-                kept.append((full[new], home[low + owner[new]]))
-            if not kept:
-                continue
-            full, to = (np.concatenate(x) for x in zip(*kept, strict=True))
-            bucket = (full >> np.uint64(32)).astype(np.int64)
-            by = np.lexsort((to, bucket))
-            full, to, bucket = full[by], to[by], bucket[by]
-            data = []
-            parts = list(_split(bucket))
-            for _, rows in parts:
-                # Batches with the number of their keys, then the keys, 4 bytes each.
-                batches_of, times = np.unique(to[rows], return_counts=True)
-                head = np.concatenate(([len(batches_of)], batches_of, times)).astype(np.uint32)
-                data.append(head.tobytes() + full[rows].astype(np.uint32).tobytes())
-            if parts:
-                yield _rows(REPEATED, np.array([d for d, _ in parts]), data)
-
-    return docs.mapInArrow(post, ROW)
+def batch_anchors(documents: pa.Table, facts: pa.Table, buckets: int, width: int, gram: int, hot: int) -> pa.Table:
+    """Per batch of documents: its anchor keys to their buckets, each once with its number of documents, at most ``hot + 1``."""
+    out = [_rows(REPEATED, np.empty(0, int), [])]
+    if not documents.num_rows:
+        return pa.Table.from_batches(out)
+    home = documents.column("dest")[0].as_py()
+    table = _compared(documents, facts)[0]
+    kept = []
+    for _, _, data, bounds in text_slices(table.column("text")):
+        value, _, _, owner = contexts(data, bounds, width, gram)
+        full = _full_key(*_anchor_key(value, buckets))
+        by = np.argsort(full, kind="stable")
+        full, owner = full[by], owner[by]
+        new = np.ones(len(by), bool)
+        new[1:] = (full[1:] != full[:-1]) | (owner[1:] != owner[:-1])
+        kept.append(np.unique(full[new], return_counts=True))
+    if not kept:
+        return pa.Table.from_batches(out)
+    full, which = np.unique(np.concatenate([k for k, _ in kept]), return_inverse=True)
+    times = np.zeros(len(full), np.int64)
+    np.add.at(times, which, np.concatenate([t for _, t in kept]))
+    times = np.minimum(times, hot + 1)
+    parts = list(_split((full >> np.uint64(32)).astype(np.int64)))
+    data = []
+    for _, rows in parts:
+        # The batch, how many keys several documents hold, their numbers, those keys, then the others; 4 bytes each.
+        several = times[rows] > 1
+        rows = np.concatenate((rows[several], rows[~several]))
+        head = np.concatenate(([home, several.sum()], times[rows[: several.sum()]])).astype(np.uint32)
+        data.append(head.tobytes() + full[rows].astype(np.uint32).tobytes())
+    if parts:
+        out.append(_rows(REPEATED, np.array([d for d, _ in parts]), data))
+    return pa.Table.from_batches(out)
 
 
 def answer_anchors(posted: DataFrame, buckets: int, hot: int) -> DataFrame:
     """To every batch, the keys among its own that more than one document holds, and those that more than ``hot`` hold."""
 
     def answer(batches):
-        keys, homes = [], []
+        keys, homes, counts = [], [], []
         dest = -1
         for batch in batches:
             for bucket, data in zip(batch.column("dest").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                dest, head = bucket, np.frombuffer(data, np.uint32)
-                n = int(head[0])
-                homes.append(np.repeat(head[1 : n + 1].astype(np.int64), head[n + 1 : 2 * n + 1]))
-                keys.append(head[2 * n + 1 :])
+                dest, given = bucket, np.frombuffer(data, np.uint32)
+                several = int(given[1])
+                keys.append(given[2 + several :])
+                homes.append(np.full(len(keys[-1]), given[0], np.int32))
+                counts.append(np.concatenate((given[2 : 2 + several], np.ones(len(keys[-1]) - several, np.uint32))))
         if not keys:
             return
-        key, home = np.concatenate(keys), np.concatenate(homes)
+        key, home, count = np.concatenate(keys), np.concatenate(homes), np.concatenate(counts)
         by = np.argsort(key, kind="stable")
-        key, home = key[by], home[by]
-        same = key[1:] == key[:-1]
-        shared = np.zeros(len(key), bool)
-        shared[1:] |= same
-        shared[:-1] |= same
-        key, home = key[shared], home[shared]
-        _, which, times = np.unique(key, return_inverse=True, return_counts=True)
-        crowded = times[which] > hot
-        for kind, rows_of in ((REPEATED, np.arange(len(key))), (HOT, np.flatnonzero(crowded))):
+        key, home, count = key[by], home[by], count[by]
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        total = np.repeat(np.add.reduceat(count.astype(np.int64), first), np.diff(np.append(first, len(key))))
+        for kind, least in ((REPEATED, 1), (HOT, hot)):
+            rows_of = np.flatnonzero(total > least)
             parts = list(_split(home[rows_of]))
             if parts:
                 yield _rows(kind, np.array([d for d, _ in parts]), [np.unique(_full_key(dest, key[rows_of[rows]])).tobytes() for _, rows in parts])
@@ -281,7 +286,7 @@ def _hot_strings(data, start, end, place, which, doc, home: int, buckets: int, w
 def _documents(pieces: list[bytes]) -> pa.Table:
     """The documents of a batch in order of address, equal rows once; a document's number here is its place."""
     table = _unpack(pieces).combine_chunks()
-    address, first, which = np.unique(table.column("addr").to_numpy(), return_index=True, return_inverse=True)
+    address, first, which = np.unique(_addresses(table), return_index=True, return_inverse=True)
     times = np.bincount(which, weights=table.column("times").to_numpy(), minlength=len(address)).astype(np.int64)
     table = table.take(pa.array(first))
     return table.set_column(table.column_names.index("times"), "times", pa.array(times))
@@ -296,6 +301,17 @@ def _numbers(pieces: list[bytes], kind) -> np.ndarray:
     return np.unique(np.concatenate([np.frombuffer(x, kind) for x in pieces] or [np.empty(0, kind)]))
 
 
+def _copies(facts: pa.Table) -> np.ndarray:
+    return _numbers(_data(facts, COPIES), ADDRESS)
+
+
+def _compared(documents: pa.Table, facts: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """The documents of a batch that have an id and are no copies of an earlier text, and their numbers."""
+    table = _documents(_data(documents, DOCS))
+    known = table.column("doc_id").is_valid().to_numpy() & ~np.isin(_addresses(table), _copies(facts))
+    return table.filter(pa.array(known)), np.flatnonzero(known)
+
+
 def batch_contexts(documents: pa.Table, facts: pa.Table, buckets: int, width: int, gram: int) -> pa.Table:
     """Per batch of documents: contexts of shared anchors to their buckets; of equal ones in a batch only the first document's.
 
@@ -306,10 +322,7 @@ def batch_contexts(documents: pa.Table, facts: pa.Table, buckets: int, width: in
     if not len(shared) or not documents.num_rows:
         return pa.Table.from_batches(out)
     home = documents.column("dest")[0].as_py()
-    table = _documents(_data(documents, DOCS))
-    known = table.column("doc_id").is_valid().to_numpy() & ~np.isin(table.column("addr").to_numpy(), _numbers(_data(facts, COPIES), np.int64))
-    number = np.flatnonzero(known)
-    table = table.filter(pa.array(known))
+    table, number = _compared(documents, facts)
     ids = table.column("doc_id").to_numpy()
     for low, _, data, bounds in text_slices(table.column("text")):
         value, start, end, owner = contexts(data, bounds, width, gram)
@@ -526,7 +539,7 @@ def batch_results(documents: pa.Table, facts: pa.Table, width: int) -> pa.Table:
     ids, sizes, removed, kept = [], [], [], []
     if documents.num_rows:
         table = _documents(_data(documents, DOCS))
-        copy = np.isin(table.column("addr").to_numpy(), _numbers(_data(facts, COPIES), np.int64))
+        copy = np.isin(_addresses(table), _copies(facts))
         pieces = _data(facts, SPANS)
         doc, low, high = (np.empty(0, np.int64),) * 3
         if pieces:
@@ -573,26 +586,27 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: i
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     batches = max(1, -(-total // BATCH_BYTES))
     buckets = max(parallelism(spark), BUCKETS_PER_BATCH * batches)
-    placed = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("addr"), "text")
-    placed = placed.select("doc_id", "addr", F.pmod("addr", F.lit(batches)).cast("int").alias("batch"), "text")
+    placed = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("addr"), F.xxhash64(F.lit(1), "text", "doc_id").alias("addr2"), "text")
+    placed = placed.withColumn("batch", F.pmod("addr", F.lit(batches)).cast("int"))
     known = placed.filter(F.col("doc_id").isNotNull())
 
     # Copies of a whole text need no comparison: everything in them starts in the first one too.
-    digests = known.select("doc_id", "addr", "batch", F.sha2("text", 256).alias("_sha"))
+    digests = known.select("doc_id", "addr", "addr2", "batch", F.sha2("text", 256).alias("_sha"))
     firsts = digests.groupBy("_sha").agg(F.min("doc_id").alias("_first"))
-    copies = lookup(digests, firsts, ["_sha"], "inner").filter(F.col("doc_id") > F.col("_first")).select("batch", "addr").distinct()
+    copies = lookup(digests, firsts, ["_sha"], "inner").filter(F.col("doc_id") > F.col("_first")).select("batch", "addr", "addr2").distinct()
 
     def post_copies(parts):
         for part in parts:
-            addr = part.column("addr").to_numpy()
+            addr = _addresses(part)
             lists = list(_split(part.column("batch").to_numpy()))
             if lists:
-                yield _rows(COPIES, np.array([d for d, _ in lists]), [addr[r].astype(np.int64).tobytes() for _, r in lists])
+                yield _rows(COPIES, np.array([d for d, _ in lists]), [addr[r].tobytes() for _, r in lists])
 
     copied = stage(copies.mapInArrow(post_copies, ROW), "suffix-copies")
-    shared = answer_anchors(post_anchors(known.select("batch", "text"), batches, buckets, width, gram), buckets, hot)
-    # The packed documents are shuffled once: both meetings read the same exchange.
+    # The packed documents are shuffled once: the three meetings read the same exchange.
     documents = post_documents(placed).groupBy("dest")
+    anchors = documents.cogroup(copied.groupBy("dest")).applyInArrow(lambda d, f: batch_anchors(d, f, buckets, width, gram, hot), ROW)
+    shared = answer_anchors(anchors, buckets, hot)
     facts = copied.unionByName(shared).groupBy("dest")
     posted = documents.cogroup(facts).applyInArrow(lambda d, f: batch_contexts(d, f, buckets, width, gram), ROW)
     spans = settle_contexts(posted, buckets, width, gram)

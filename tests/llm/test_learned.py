@@ -145,7 +145,7 @@ def test_suffixes_of_hot_anchors(spark, odd_docs):
         same_rows(suffixes.digest(suffixes.remove_repeats(df, hot=hot)), wanted)
 
     # No bucket gets much of what a hot anchor brings.
-    table = pa.table({"doc_id": pa.array(range(400), pa.int64()), "addr": pa.array(range(400), pa.int64()), "times": pa.array([1] * 400, pa.int64()), "text": texts})
+    table = pa.table({"doc_id": pa.array(range(400), pa.int64()), "addr": pa.array(range(400), pa.int64()), "addr2": pa.array([0] * 400, pa.int64()), "times": pa.array([1] * 400, pa.int64()), "text": texts})
     documents = pa.Table.from_batches(suffixes._post(suffixes.DOCS, np.zeros(400, np.int64), table))
     found = [suffixes.contexts(d, b, 50, 25)[0] for _, _, d, b in suffixes.text_slices(table.column("text"))]
     keys, counts = np.unique(suffixes._full_key(*suffixes._anchor_key(np.concatenate(found), 64)), return_counts=True)
@@ -160,6 +160,28 @@ def test_suffixes_of_hot_anchors(spark, odd_docs):
     assert received.max() < 4 * received.mean()
 
 
+def test_a_hot_anchor_is_one_entry_per_batch():
+    texts = [f"{i:06d} " + "This licence line stands in very many documents and has other text around it. " + f"{i * 7919 % 99991:06d}" for i in range(3000)]
+    table = pa.table({"doc_id": pa.array(range(3000), pa.int64()), "addr": pa.array(range(3000), pa.int64()), "addr2": pa.array([0] * 3000, pa.int64()), "times": pa.array([1] * 3000, pa.int64()), "text": texts})
+    documents = pa.Table.from_batches(suffixes._post(suffixes.DOCS, np.full(3000, 5), table))
+    sent = suffixes.batch_anchors(documents, pa.Table.from_batches([suffixes._rows(suffixes.COPIES, np.empty(0, int), [])]), 64, 50, 25, 100).to_pylist()
+    entries, most = 0, 0
+    for r in sent:
+        given = np.frombuffer(r["data"], np.uint32)
+        assert given[0] == 5
+        keys = given[2 + given[1] :]
+        assert len(np.unique(keys)) == len(keys)
+        entries, most = entries + len(keys), max(most, int(given[2 : 2 + given[1]].max(initial=0)))
+    held = [suffixes.contexts(d, b, 50, 25)[::3] for _, _, d, b in suffixes.text_slices(table.column("text"))]
+    assert most == 101 and entries == len(np.unique(np.concatenate([suffixes._full_key(*suffixes._anchor_key(v, 64)) for v, _ in held])))
+
+
+def test_rows_whose_first_hash_agrees_stay_apart():
+    table = pa.table({"doc_id": pa.array([1, 2, 2], pa.int64()), "addr": pa.array([9, 9, 9], pa.int64()), "addr2": pa.array([1, 2, 2], pa.int64()), "times": pa.array([1, 1, 1], pa.int64()), "text": ["a", "b", "b"]})
+    got = suffixes._documents([suffixes._pack(table)]).to_pydict()
+    assert got["text"] == ["a", "b"] and got["times"] == [1, 2]
+
+
 def test_suffix_sort():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 99, 3000).astype(np.uint8)
