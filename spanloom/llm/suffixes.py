@@ -324,6 +324,7 @@ def batch_contexts(documents: pa.Table, facts: pa.Table, buckets: int, width: in
     home = documents.column("dest")[0].as_py()
     table, number = _compared(documents, facts)
     ids = table.column("doc_id").to_numpy()
+    parts: dict[int, list[tuple]] = {}
     for low, _, data, bounds in text_slices(table.column("text")):
         value, start, end, owner = contexts(data, bounds, width, gram)
         bucket, key = _anchor_key(value, buckets)
@@ -345,19 +346,25 @@ def batch_contexts(documents: pa.Table, facts: pa.Table, buckets: int, width: in
         if len(cut):
             out += _hot_strings(data, start[cut], end[cut], place[cut], which[cut], doc[cut], home, buckets, width)
         sent = np.flatnonzero(~later & ~crowded)
-        parts = list(_split(bucket[sent]))
-        packed = []
-        for _, rows in parts:
-            rows = sent[rows]
-            total = np.cumsum(size[rows])
-            text = data[np.repeat(start[rows] - total + size[rows], size[rows]) + np.arange(total[-1])]
-            offsets = pa.py_buffer(np.concatenate(([0], total)).astype(np.int32).tobytes())
-            packed.append(_pack(pa.table({
-                "batch": np.full(len(rows), home, np.int32), "doc": which[rows].astype(np.int32), "start": place[rows].astype(np.int32),
-                "doc_id": doc[rows], "key": key[rows], "text": pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, offsets, pa.py_buffer(text.tobytes())]),
-            })))
-        if parts:
-            out.append(_rows(CONTEXTS, np.array([d for d, _ in parts]), packed))
+        if len(sent):
+            sent = sent[np.argsort(bucket[sent], kind="stable")]
+            total = np.cumsum(size[sent])
+            text = data[np.repeat(start[sent] - total + size[sent], size[sent]) + np.arange(total[-1])]
+            columns = which[sent].astype(np.int32), place[sent].astype(np.int32), doc[sent], key[sent], size[sent]
+            first = np.flatnonzero(np.diff(bucket[sent], prepend=-1))
+            for one, two in zip(first, np.append(first[1:], len(sent)), strict=True):
+                parts.setdefault(int(bucket[sent[one]]), []).append((*(c[one:two] for c in columns), text[total[one] - size[sent[one]] : total[two - 1]]))
+    # One message to a bucket, not one of each slice: messages cost more than what is in them.
+    packed = []
+    for pieces in parts.values():
+        which, place, doc, key, size, text = (np.concatenate(x) for x in zip(*pieces, strict=True))
+        offsets = pa.py_buffer(np.concatenate(([0], np.cumsum(size))).astype(np.int32).tobytes())
+        packed.append(_pack(pa.table({
+            "batch": np.full(len(which), home, np.int32), "doc": which, "start": place, "doc_id": doc, "key": key,
+            "text": pa.BinaryArray.from_buffers(pa.binary(), len(which), [None, offsets, pa.py_buffer(text.tobytes())]),
+        })))
+    if parts:
+        out.append(_rows(CONTEXTS, np.array(list(parts)), packed))
     return pa.Table.from_batches(out)
 
 
