@@ -1,17 +1,20 @@
 """Approximate nearest neighbours by shifted Hilbert curves.
 
 Vectors are projected by seeded random rotations, one per curve, shifted at random, and put on a
-Hilbert curve. Each curve's order is cut by range in Spark; queries look at the candidates of their
-own block of the order and of the two beside it. What the curves find is merged by approximate
+Hilbert curve. Each curve's order is cut by range in Spark; queries look at the candidates within
+reach on either side. Orders are cut into pieces of a fixed size, and a piece meets the queries of a
+stretch of fixed length at a time, so a task's group does not grow with the reach. What the curves find is merged by approximate
 scores of 8-bit codes and reranked exactly on the original vectors.
 
-The width of a block is set by measurement: for a few sample queries the exact neighbours are found
-by one pass over all vectors, and the blocks are made wide enough that the wanted share of them
+The reach is set by measurement: for a few sample queries the exact neighbours are found
+by one pass over all vectors, and the reach is made long enough that the wanted share of them
 lies within reach on some curve. Equal vectors are one entry of the index, so a vector that occurs
 very often is no hot spot; an entry stands for its smallest ids, as ties go to them.
 
 For inner products of vectors of unequal length, candidates get one more coordinate that makes all
-of them equally long, and queries get 0 there: the nearest is then the largest inner product.
+of them equally long, and queries get 0 there: the nearest is then the largest inner product. So
+that a few long vectors do not press all others together, candidates are put in bands by length, each
+band half as long as the one before, the last with all the rest; each has its own scale and curves.
 """
 
 from __future__ import annotations
@@ -33,6 +36,10 @@ BITS = 5
 SAMPLE_QUERIES = 96
 RECALL = 0.96
 SPARE = 16
+BANDS = 8
+# Candidates of a piece, and places of the order whose queries meet a piece together.
+PIECE = 4096
+STRETCH = 8 * PIECE
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -128,30 +135,39 @@ def nearest(df: DataFrame, every: int = 20, k: int = 20, curves: int = CURVES, s
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     longest, many = entries.agg(F.max(length), F.count(F.lit(1))).first()
 
+    own_band = F.least(F.floor(F.log2(F.lit(longest) / length)), F.lit(BANDS - 1)).cast("int")
+    # At most BANDS rows.
+    scales = {r["band"]: r["scale"] for r in entries.groupBy(own_band.alias("band")).agg(F.max(length).alias("scale")).collect()}
+
     def lay(batches):
         """Every curve's entries: candidates with their key and code, queries likewise."""
         for batch in batches:
             x = _matrix(batch.column("v")) / longest
             ids, is_query = batch.column("vec_id").to_numpy(), batch.column("asked").to_numpy(zero_copy_only=False).astype(bool)
-            extra = np.sqrt(np.maximum(1 - (x * x).sum(axis=1), 0))[:, None]
+            bands = batch.column("band").to_numpy()
+            norm = np.sqrt((x * x).sum(axis=1))[:, None]
             step = np.abs(x).max(axis=1) / 127
             codes = [c.tobytes() for c in np.rint(x / step[:, None]).astype(np.int8)]
-            candidate, query = np.hstack([x, extra]), np.hstack([x, 0 * extra])[is_query]
-            own = np.arange(len(ids))
-            for role, data, which in ((0, candidate, own), (1, query, own[is_query])):
-                for number in range(curves if len(data) else 0):
-                    projection, shift = curve(size + 1, number, seed, DIMS)
-                    # Projections of a rotated unit vector have a spread of 1 / sqrt(size).
-                    place = (data @ projection * math.sqrt(size + 1) / 8 + 0.5) * 0.5 + shift * 0.5
-                    cells = np.clip((place * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
-                    key = hilbert_keys(cells, BITS)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(key), number), pa.int32()), pa.array(key), pa.array(ids[which]), pa.array(np.full(len(key), role), pa.int32()),
-                         pa.array(step[which]), pa.array([codes[i] for i in which], pa.binary())],
-                        ["curve", "key", "vec_id", "role", "step", "code"],
-                    )
-
-    laid = entries.mapInArrow(lay, "curve int, key long, vec_id long, role int, step double, code binary")
+            query = np.hstack([x / norm, 0 * norm])[is_query]
+            asking = np.flatnonzero(is_query)
+            for band, scale in scales.items():
+                own = np.flatnonzero(bands == band)
+                y = x[own] * (longest / scale)
+                candidate = np.hstack([y, np.sqrt(np.maximum(1 - (y * y).sum(axis=1), 0))[:, None]])
+                for role, data, which in ((0, candidate, own), (1, query, asking)):
+                    for number in range(curves if len(data) else 0):
+                        projection, shift = curve(size + 1, number, seed, DIMS)
+                        # Projections of a rotated unit vector have a spread of 1 / sqrt(size).
+                        place = (data @ projection * math.sqrt(size + 1) / 8 + 0.5) * 0.5 + shift * 0.5
+                        cells = np.clip((place * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
+                        key = hilbert_keys(cells, BITS)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(key), band * curves + number), pa.int32()), pa.array(key), pa.array(ids[which]), pa.array(np.full(len(key), role), pa.int32()),
+                             pa.array(step[which]), pa.array([codes[i] for i in which], pa.binary())],
+                            ["curve", "key", "vec_id", "role", "step", "code"],
+                        )
+
+    laid = entries.withColumn("band", own_band).mapInArrow(lay, "curve int, key long, vec_id long, role int, step double, code binary")
     order = ["key", "vec_id", "role"]
     chunked = order_chunks(laid, ["curve"], order)
     # Rank among the candidates of the curve; queries take the rank of the candidates before them.
@@ -164,9 +180,18 @@ def nearest(df: DataFrame, every: int = 20, k: int = 20, curves: int = CURVES, s
 
     # Where there are hardly more entries than are wanted, each is in reach of all.
     reach = many if many <= 4 * (k + SPARE) else _reach(entries, ranked, k, recall)
-    block = F.floor(F.col("rank") / reach).cast("long")
-    blocks = F.when(F.col("role") == 0, F.array(block)).otherwise(F.array(block - 1, block, block + 1))
-    dealt = ranked.withColumn("block", F.explode(blocks))
+    piece = min(reach, PIECE)
+
+    def at(place, width):
+        return F.floor(place / width).cast("long")
+
+    rank, own_piece = F.col("rank"), at(F.col("rank"), piece)
+    # A piece and a stretch meet if a query of the stretch has a candidate of the piece within reach.
+    in_reach = F.sequence(F.greatest(at(rank - reach, piece), F.lit(0).cast("long")), at(rank + reach, piece))
+    asked_from = F.sequence(F.greatest(at(own_piece * piece - reach, STRETCH), F.lit(0).cast("long")), at((own_piece + 1) * piece - 1 + reach, STRETCH))
+    meetings = F.when(F.col("role") == 1, F.transform(in_reach, lambda p: F.struct(p.alias("piece"), at(rank, STRETCH).alias("stretch")))).otherwise(
+        F.transform(asked_from, lambda q: F.struct(own_piece.alias("piece"), q.alias("stretch"))))
+    dealt = ranked.withColumn("_met", F.explode(meetings)).select("*", "_met.piece", "_met.stretch").drop("_met")
     wanted = k + SPARE
 
     def search(table: pa.Table) -> pa.Table:
@@ -195,28 +220,42 @@ def nearest(df: DataFrame, every: int = 20, k: int = 20, curves: int = CURVES, s
             "scores": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(columns[2][by], pa.float32())),
         })
 
-    found = dealt.groupBy("curve", "block").applyInArrow(search, "query_id long, ids array<long>, scores array<float>")
+    found = dealt.groupBy("curve", "piece", "stretch").applyInArrow(search, "query_id long, ids array<long>, scores array<float>")
 
     def merge(batches):
-        lists: dict[int, dict[int, float]] = {}
+        """The best entries of each query; lists come in order of the query, so one query is held at a time."""
+        now, own = None, {}
+
+        def best(n):
+            return dict(sorted(own.items(), key=lambda x: (-x[1], x[0]))[:n])
+
+        def answer():
+            chosen = best(wanted)
+            return pa.RecordBatch.from_arrays([pa.array([now] * len(chosen), pa.int64()), pa.array(list(chosen), pa.int64())], ["query_id", "entry"])
+
         for batch in batches:
+            done = []
             for q, ids, scores in zip(*(batch.column(c).to_pylist() for c in ("query_id", "ids", "scores")), strict=True):
-                own = lists.setdefault(q, {})
+                if q != now:
+                    if own:
+                        done.append(answer())
+                    now, own = q, {}
                 own.update(zip(ids, scores, strict=True))
                 if len(own) > 8 * wanted:
-                    lists[q] = dict(sorted(own.items(), key=lambda x: (-x[1], x[0]))[:wanted])
-        for q, own in lists.items():
-            best = sorted(own.items(), key=lambda x: (-x[1], x[0]))[:wanted]
-            yield pa.RecordBatch.from_arrays([pa.array([q] * len(best), pa.int64()), pa.array([x for x, _ in best], pa.int64())], ["query_id", "entry"])
+                    own = best(wanted)
+            if done:
+                yield from pa.Table.from_batches(done).combine_chunks().to_batches()
+        if own:
+            yield answer()
 
-    near = found.repartition(parallelism(spark), "query_id").mapInArrow(merge, "query_id long, entry long")
+    near = found.repartition(parallelism(spark), "query_id").sortWithinPartitions("query_id").mapInArrow(merge, "query_id long, entry long")
     # A query's equals are as near as it is to itself.
     near = near.unionByName(entries.filter("asked").select(F.col("vec_id").alias("query_id"), F.col("vec_id").alias("entry")))
     return _rerank(near, entries, placed, asked, every, k)
 
 
 def _reach(entries: DataFrame, ranked: DataFrame, k: int, recall: float) -> int:
-    """Block width at which ``recall`` of the exact neighbours of the sample queries is in reach on some curve."""
+    """Distance in the order at which ``recall`` of the exact neighbours of the sample queries is in reach on some curve."""
     spark = entries.sparkSession
     sample = entries.filter("asked").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_QUERIES).collect()
     exact = _exact_sample({r["vec_id"]: np.array(r["v"]) for r in sample}, entries, k)

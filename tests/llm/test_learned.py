@@ -306,6 +306,34 @@ def test_neighbours_query(spark):
     assert recall(QUERIES["op6_neighbours"](spark, SMALL).collect(), brute_neighbours(rows, 20, 20)) >= 0.95
 
 
+def test_long_vectors_do_not_widen_the_reach(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((150, 32))
+    rows = {i: centres[i % 150] + 0.3 * rng.standard_normal(32) for i in range(3000)}
+    reached, measure = [], neighbours._reach
+    monkeypatch.setattr(neighbours, "_reach", lambda *args: reached.append(measure(*args)) or reached[-1])
+    for factor in (1, 100, 1e6):
+        rows[7] = rows[7] * factor
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in rows.items()], "vec_id long, embedding array<double>")
+        assert recall(neighbours.nearest(df).collect(), brute_neighbours(rows, 20, 20)) >= 0.95
+    assert max(reached) <= 2 * reached[0]
+
+
+def test_neighbours_in_pieces(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    rows = {i: rng.standard_normal(24) * rng.choice([0.01, 1, 3]) for i in range(1500)}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows.items()], "vec_id long, embedding array<double>")
+    wanted = brute_neighbours(rows, 20, 20)
+    monkeypatch.setattr(neighbours, "_reach", lambda *args: 500)
+    whole = recall(neighbours.nearest(df, curves=8).collect(), wanted)
+    monkeypatch.setattr(neighbours, "PIECE", 64)
+    monkeypatch.setattr(neighbours, "STRETCH", 200)
+    # Reach in pieces is exact, not rounded up to a block.
+    assert recall(neighbours.nearest(df, curves=8).collect(), wanted) >= min(whole - 0.02, 0.97)
+    monkeypatch.setattr(neighbours, "_reach", lambda *args: 1500)
+    assert recall(neighbours.nearest(df, curves=1).collect(), wanted) == 1
+
+
 def test_neighbours_of_few_rows(spark):
     rng = np.random.default_rng(6)
     df = spark.createDataFrame([(i, rng.standard_normal(64).tolist()) for i in range(20)], "vec_id long, embedding array<double>")
