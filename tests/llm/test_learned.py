@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -242,6 +243,31 @@ def test_leaks_across_insertions(spark):
     assert len(wanted) == 20 and got == pytest.approx(wanted)
 
 
+def test_items_with_a_common_stem():
+    rng = random.Random(15)
+    stem = " ".join(f"s{i}" for i in range(12))
+    items = contamination.Items([{"item_id": str(i), "text": stem + " " + " ".join(f"w{rng.randrange(50000)}" for _ in range(20))} for i in range(8000)])
+    clean = " ".join(f"w{rng.randrange(50000)}" for _ in range(2000)) + " " + stem + " " + " ".join(f"w{rng.randrange(50000)}" for _ in range(90))
+    start = time.perf_counter()
+    assert list(contamination.leaks(items, pa.array([clean]), 0.5)) == []
+    assert time.perf_counter() - start < 2
+    number = 4321
+    own = items.words[items.begin[number] : items.begin[number] + 32]
+    assert contamination._held(own[None, :], own[None, ::-1]).tolist() == [32]
+
+
+@pytest.mark.parametrize("kind", ["string", "int"])
+def test_items_of_any_id(spark, monkeypatch, kind):
+    text = "one two three four five six seven eight nine ten"
+    bench = spark.createDataFrame([("1", text), (None, text + " eleven")], "item_id string, text string").select(F.col("item_id").cast(kind), "text")
+    docs = spark.createDataFrame([(i, f"before {text} after") for i in range(5)], "doc_id long, text string")
+    monkeypatch.setattr(contamination, "HITS_AT_ONCE", 10)
+    got = contamination.find_leaks(docs, bench)
+    assert got.schema["item_id"].dataType == bench.schema["item_id"].dataType
+    ones = {(i, x) for i in range(5) for x in ("1" if kind == "string" else 1, None)}
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == ones
+
+
 def test_alignment_equals_the_plain_one():
     rng = np.random.default_rng(4)
     item, passage = rng.integers(2, 6, (50, 12)).astype(np.uint64), rng.integers(2, 6, (50, 30)).astype(np.uint64)
