@@ -392,3 +392,21 @@ def test_view_lists_parents_first(generated):
         path = tuple(c for c in chain if c is not None)
         assert len(path) == 1 or path[:-1] in seen
         seen.add(path)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sorts_read_staged_rows(generated):
+    """A sort reads its input twice, so no join may stand below it."""
+    for df in (H.hierarchy_view(generated.silver), H.json_lines(generated.silver).orderBy(*H.PATH)):
+        assert "rangepartitioning" in plan_of(df) and "Join" not in plan_of(df)
+
+
+def test_blocks_of_the_document_serve_as_chunks(spark, generated, tmp_path, monkeypatch):
+    H.json_lines(generated.silver).repartitionByRange(7, *H.PATH).sortWithinPartitions(*H.PATH).select("text").write.text(str(tmp_path / "j"))
+    monkeypatch.delattr(H, "order_chunks")  # the lines stand in order already and are not sorted again
+    back = H.read_hierarchy_json(spark, str(tmp_path / "j"))
+    for name, df in generated.tables.items():
+        assert sorted(map(str, back[name].collect())) == sorted(map(str, df.collect())), name
