@@ -14,6 +14,7 @@ from spanloom.plans import hierarchy as H, messages as M
 from spanloom.plans.runs import build_skeleton
 from spanloom.plans.silver import build_silver
 from spanloom.schemas import SILVER_SCHEMAS
+from spanloom.sources import telemetry as T
 
 from .test_spans import bronze
 
@@ -410,3 +411,16 @@ def test_blocks_of_the_document_serve_as_chunks(spark, generated, tmp_path, monk
     back = H.read_hierarchy_json(spark, str(tmp_path / "j"))
     for name, df in generated.tables.items():
         assert sorted(map(str, back[name].collect())) == sorted(map(str, df.collect())), name
+
+
+def test_events_are_ordered_once_for_all_readers(spark):
+    rows = [(1, "2024-01-01 10:00:00", 5, "view", 1.0), (2, "2024-01-01 11:00:00", 5, "purchase", 2.0),
+            (3, "2024-01-02 10:00:00", 5, "click", 3.0), (4, "2024-01-09 10:00:00", 5, "view", 4.0), (5, None, 6, "click", 5.0)]
+    base = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double")
+    events = T.events_with_run(base.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+    assert {r.event_id: (r.cur_run, r.thread_id, r.op_id) for r in events.collect()} == {
+        1: (None, "th-5-0", "op-5-1"), 2: ("run-2", "th-5-0", "op-5-1"), 3: ("run-2", "th-5-0", "op-5-2"), 4: (None, "th-5-1", "op-5-9"),
+        5: (None, None, None),
+    }
+    for df in (T.app_dependencies(events), T.app_traces(events)):
+        assert "Window" not in plan_of(df) and "Sort" not in plan_of(df)
