@@ -5,7 +5,8 @@ marks between, or left plain. Nothing is sliced text by text: for a whole batch
 give a difference array of how far every byte moves, its cumulative sum is each byte's shift, and
 one scatter writes the outputs. Restoring finds the marks, builds the same kind of array
 from them, and gathers the bytes back. Both go through a batch in blocks, so the arrays beside the
-texts themselves stay small however long a text is.
+texts themselves stay small however long a text is. A text goes to the Python worker once, and rows go back
+in portions as soon as they are made, so that no worker holds the outputs of a whole batch.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -185,6 +187,14 @@ def _strings(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
     return pa.concat_arrays(arrays).cast(pa.string()) if arrays else pa.array([], pa.string())
 
 
+def portions(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Consecutive rows of ``batch`` with about ``PIECE`` bytes in ``column``, and these texts, NULL as an empty one."""
+    texts = batch.column(column)
+    for low, high, _, _ in pieces(texts):
+        own = texts.slice(low, high - low)
+        yield batch.slice(low, high - low), pc.fill_null(own, "") if own.null_count else own
+
+
 def cut_texts(texts: pa.Array, form: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> pa.RecordBatch:
     """``OUTPUTS`` of non-null ``texts`` in the given forms; the cuts are ``h1`` and ``h2`` modulo tokens + 1."""
     counts, outs, prefixes, middles = [], [], [], []
@@ -221,6 +231,12 @@ def draws(key: Column) -> list[Column]:
     return [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("long") for i in range(4)]
 
 
+def _text_column(df: DataFrame, name: str) -> int | None:
+    """Number of the column ``name`` (in any case) of ``df`` if it is the only one and a string, which then need not be sent as text again."""
+    found = [i for i, f in enumerate(df.schema.fields) if f.name.lower() == name.lower()]
+    return found[0] if len(found) == 1 and df.schema.fields[found[0]].dataType == StringType() else None
+
+
 def fill_in_middle(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """All rows and columns of ``docs`` with ``n`` (tokens), ``form``, ``output``, ``prefix_chars`` and ``middle_chars``.
 
@@ -234,13 +250,16 @@ def fill_in_middle(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     h1, h2, h3, h4 = draws(F.col(f"`{key}`"))
     marked = full.contains(PREFIX) | full.contains(SUFFIX) | full.contains(MIDDLE)
     form = F.when((full == "") | marked | (h3 % 100 >= TRANSFORMED), PLAIN).when(h4 % 100 < SUFFIX_FIRST, SPM).otherwise(PSM)
-    extra = {unused(rows, f"_{name}"): column for name, column in {"full": full, "form": form, "h1": h1, "h2": h2}.items()}
+    at = _text_column(rows, text)
+    extra = {unused(rows, f"_{name}"): column for name, column in {"form": form, "h1": h1, "h2": h2, "full": full}.items() if name != "full" or at is None}
+    place = len(names) + 3 if at is None else at
 
     def made(batches):
         for batch in batches:
-            texts, forms, a, b = (batch.column(len(names) + i) for i in range(4))
-            out = cut_texts(texts, forms.to_numpy().astype(np.int64), a.to_numpy(), b.to_numpy())
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(names))], *out.columns], [*names, *OUTPUTS])
+            for own, texts in portions(batch, place):
+                forms, a, b = (own.column(len(names) + i) for i in range(3))
+                out = cut_texts(texts, forms.to_numpy().astype(np.int64), a.to_numpy(), b.to_numpy())
+                yield pa.RecordBatch.from_arrays([*[own.column(i) for i in range(len(names))], *out.columns], [*names, *OUTPUTS])
 
     added = [StructField("n", LongType()), StructField("form", StringType()), StructField("output", StringType()),
              StructField("prefix_chars", LongType()), StructField("middle_chars", LongType())]
@@ -255,13 +274,18 @@ def restore(rows: DataFrame, output: str = "output", form: str = "form") -> Data
     kept = without(rows, "restored")
     names = kept.columns
     number = F.array_position(F.array(*[F.lit(f) for f in FORMS]), F.coalesce(F.col(f"`{form}`"), F.lit(FORMS[PLAIN]))).cast("int") - 1
-    extra = {unused(kept, "_full"): F.coalesce(F.col(f"`{output}`"), F.lit("")), unused(kept, "_form"): number}
+    at = _text_column(kept, output)
+    extra = {unused(kept, "_form"): number}
+    if at is None:
+        extra[unused(kept, "_full")] = F.coalesce(F.col(f"`{output}`"), F.lit(""))
+    place = len(names) + 1 if at is None else at
 
     def back(batches):
         for batch in batches:
-            forms = batch.column(len(names) + 1).to_numpy().astype(np.int64)
-            parts = [gathered(data, bounds, forms[low:high]) for low, high, data, bounds in pieces(batch.column(len(names)))]
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(names))], _strings(parts)], [*names, "restored"])
+            for own, texts in portions(batch, place):
+                forms = own.column(len(names)).to_numpy().astype(np.int64)
+                parts = [gathered(data, bounds, forms[low:high]) for low, high, data, bounds in pieces(texts)]
+                yield pa.RecordBatch.from_arrays([*[own.column(i) for i in range(len(names))], _strings(parts)], [*names, "restored"])
 
     return kept.withColumns(extra).mapInArrow(back, StructType([*kept.schema.fields, StructField("restored", StringType())]))
 

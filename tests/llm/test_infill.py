@@ -104,6 +104,32 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert infill.restore(infill.fill_in_middle(clash)).columns == ["doc_id", "text", "lang", "n_chars", "_full", "_H1", *infill.OUTPUTS, "restored"]
 
 
+def test_texts_are_sent_once_and_go_back_in_portions(spark, monkeypatch):
+    texts = [None if i % 7 == 0 else f"some words {i} " * 4 for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    sent = []
+
+    def run_here(self, function, schema):
+        batches = self.toArrow().to_batches()
+        sent.append(batches)
+        rows = list(function(iter(batches)))
+        sent.append(rows)
+        return spark.createDataFrame(pa.Table.from_batches(rows), schema)
+
+    monkeypatch.setattr(infill, "PIECE", 300)
+    with monkeypatch.context() as own:
+        own.setattr(type(df), "mapInArrow", run_here)
+        rows = infill.restore(infill.fill_in_middle(df)).collect()
+    assert [r.restored for r in sorted(rows, key=lambda r: r.doc_id)] == [t or "" for t in texts]
+    assert [r.text for r in sorted(rows, key=lambda r: r.doc_id)] == texts
+    for batches, column in ((sent[0], "text"), (sent[2], "output")):
+        copies = [f.name for f in batches[0].schema if batches[0].column(f.name).to_pylist() == batches[0].column(column).to_pylist()]
+        strings = [f.name for f in batches[0].schema if pa.types.is_string(f.type)]
+        assert copies == [column] and len(strings) <= (1 if column == "text" else 3)
+    for rows in (sent[1], sent[3]):
+        assert len(rows) > 5 and max(b.num_rows for b in rows) < 30
+
+
 def test_very_long_text(spark):
     df = spark.createDataFrame([(1, "word é " * 1_000_000), (2, "<" * 3_000_000), (3, None)], "doc_id long, text string")
     rows = {r.doc_id: r for r in infill.restore(infill.fill_in_middle(df)).collect()}
