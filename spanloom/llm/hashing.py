@@ -26,9 +26,9 @@ _powers = {"n": 0}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the base and of its inverse."""
+    """The first ``n`` powers of the base and of its inverse; what is kept grows with what was asked for."""
     if _powers["n"] < n:
-        size = max(n, 2 * SLICE)
+        size = max(n, 2 * _powers["n"])
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1

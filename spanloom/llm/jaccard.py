@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.lookup import lookup
-from ..operators.staging import stage
-from .common import parallelism
+from ..operators.staging import stage, stage_alone
+from .common import maybe_in, parallelism
 from .graph import components
 from .hashing import mix, sets, shingles, text_slices, word_hashes, words
 
@@ -107,7 +107,11 @@ def ordering(counts: np.ndarray) -> np.ndarray:
 
 def excess(counts: np.ndarray) -> np.ndarray:
     """Base-2 logarithm of what each counter has above the usual: the length of a frequent shingle's list at most."""
-    return np.log2(np.maximum(counts - np.median(counts), 1)).astype(np.uint8)
+    usual = np.median(counts)
+    logs = np.empty(len(counts), np.uint8)
+    for low in range(0, len(counts), 1 << 16):
+        logs[low : low + (1 << 16)] = np.log2(np.maximum(counts[low : low + (1 << 16)] - usual, 1))
+    return logs
 
 
 def prefix_length(n: int, percent: int) -> tuple[int, int]:
@@ -174,8 +178,10 @@ def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def verify(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The ``pairs`` (``a``, ``b``) whose texts link, by intersecting the whole sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stage(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "pair-texts")
+    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
+    # Texts of no pair are not shuffled.
+    asked = maybe_in(docs.select("doc_id", "text"), "doc_id", ids, "_asked").filter("_asked").drop("_asked")
+    texts = stage(asked.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "pair-texts")
     with_a = lookup(pairs, texts.select(F.col("doc_id").alias("a"), F.col("text").alias("_ta")), ["a"], "inner")
     with_b = lookup(with_a, texts.select(F.col("doc_id").alias("b"), F.col("text").alias("_tb")), ["b"], "inner")
 
@@ -305,6 +311,7 @@ def jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     counts = frequency_sketch(texts, n)
     # Two arrays of COUNTERS bytes.
     order, logs = spark.sparkContext.broadcast(ordering(counts)), spark.sparkContext.broadcast(excess(counts))
+    del counts
     rows = stage(build_sets(texts, n, percent, order), "shingle-sets")
     known = rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     # Equal sets have equal prefixes and minima, so any of them will do.
@@ -312,7 +319,7 @@ def jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     members = known.select("doc_id", "n", "d1", "d2").distinct()
     copies = lookup(members, classes.select("n", "d1", "d2", "rep"), ["n", "d1", "d2"], "inner").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).filter("a <> b")
 
-    stars = stage(verify(possible(star_pairs(classes, percent), classes, percent), texts, n, percent), "star-links")
+    stars = stage(verify(stage(possible(star_pairs(classes, percent), classes, percent), "possible-stars"), texts, n, percent), "star-links")
     grouped = components(stars).select(F.col("node").alias("rep"), F.col("root").alias("_root"))
     listed = lookup(classes.select("rep", "n", "prefix"), grouped, ["rep"]).withColumn("comp", F.coalesce("_root", "rep"))
     entries = (classes.agg(F.sum(F.length("prefix"))).first()[0] or 0) // 8
@@ -328,10 +335,15 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     Of rows that are equal in all columns one stays. Rows without ``doc_id`` stay.
     """
-    classes = jaccard_classes(docs, n, percent).groupBy("doc_id").agg(F.min("component_id").alias("_component"), F.count(F.lit(1)).alias("_times"))
-    classes = stage(classes, "components")
+    def counted() -> DataFrame:
+        return jaccard_classes(docs, n, percent).groupBy("doc_id").agg(F.min("component_id").alias("_component"), F.count(F.lit(1)).alias("_times"))
+
+    classes = stage_alone(docs.sparkSession, counted, "components")
+    gone = classes.filter(F.col("_component") != F.col("doc_id")).select(F.col("doc_id").alias("doc"), F.lit(True).alias("gone"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc"))
-    keyed = lookup(rows, classes.select(F.col("doc_id").alias("doc"), F.col("_component").alias("component")), ["doc"])
-    kept = keyed.filter(F.col("component").isNull() | (F.col("component") == F.col("doc"))).select("row.*")
+    # Only documents that may have to go are shuffled; the others stay where they are.
+    asked = maybe_in(rows, "doc", gone, "asked")
+    keyed = lookup(asked.filter("asked").drop("asked"), gone, ["doc"])
+    kept = asked.filter(~F.col("asked")).select("row").unionByName(keyed.filter(F.col("gone").isNull()).select("row")).select("row.*")
     # Only repeated ids can have equal rows; without any, rows need not be compared.
     return kept.dropDuplicates() if classes.filter(F.col("doc_id").isNotNull() & (F.col("_times") > 1)).limit(1).count() else kept

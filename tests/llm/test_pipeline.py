@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import threading
+from pathlib import Path
+
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from spanloom.llm import contamination
-from spanloom.operators.staging import stage
+from spanloom.llm import common, contamination, hashing, jaccard
+from spanloom.operators.staging import stage, stage_alone, stage_root
 
 from . import brute
 from .conftest import SMALL
@@ -43,3 +48,47 @@ def test_stages(spark):
 def test_run(spark):
     first = corpus_pipeline.run(spark, SMALL)
     assert {"shard", "slot"} <= set(first.columns) and first.count() > 0
+
+
+def staged_now(spark):
+    return {p.name for p in Path(stage_root(spark).removeprefix("file:")).glob("*")}
+
+
+def test_near_duplicates_keep_one_stage(spark, odd_docs):
+    before = staged_now(spark)
+    rows = jaccard.one_of_each(odd_docs)
+    assert [name.rsplit("-", 1)[0] for name in staged_now(spark) - before] == ["components"]
+    found = sorted((r.doc_id or 0, r.text or "") for r in rows.collect())
+    assert len(found) == len(set(found)) and {i for i, _ in found} == {0, 1, 4, 5, 6, 7, 9, 10, 11}
+
+
+def test_stages_of_other_threads_stay(spark):
+    other = []
+
+    def build():
+        worker = threading.Thread(target=lambda: other.append(stage(spark.range(5), "of-another-thread")))
+        worker.start()
+        worker.join()
+        return stage(spark.range(7), "on-the-way")
+
+    assert stage_alone(spark, build, "result").count() == 7
+    assert other[0].count() == 5 and not any(n.startswith("on-the-way") for n in staged_now(spark))
+
+
+def test_only_rows_that_may_match_are_taken(spark):
+    keys = spark.range(0, 40_000, 20).select(F.col("id").alias("k"))
+    rows = spark.range(20_000).select(F.when(F.col("id") != 20, F.col("id")).alias("k"), F.lit("x").alias("_bits"))
+    found = common.maybe_in(rows, "k", keys, "hit")
+    assert found.columns == ["k", "_bits", "hit"] and found.count() == 20_000
+    counts = {(r.none, r.own, r.hit): r.n for r in found.groupBy(F.col("k").isNull().alias("none"), (F.coalesce("k", F.lit(1)) % 20 == 0).alias("own"), "hit").agg(F.count("*").alias("n")).collect()}
+    assert counts[False, True, True] == 999 and counts[True, False, False] == 1 and (False, True, False) not in counts
+    assert counts.get((False, False, True), 0) < 100
+    assert not common.maybe_in(rows, "k", keys.limit(0), "hit").filter("hit").count()
+
+
+def test_driver_arrays_stay_small(monkeypatch):
+    monkeypatch.setattr(hashing, "_powers", {"n": 0})
+    hashing.prefix_hashes(np.zeros(1000, np.uint8))
+    assert hashing._powers["n"] < 5000
+    counts = np.random.default_rng(3).integers(0, 1 << 40, 200_000)
+    assert (jaccard.excess(counts) == np.log2(np.maximum(counts - np.median(counts), 1)).astype(np.uint8)).all()
