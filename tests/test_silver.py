@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 import random
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from spanloom import catalog
 from spanloom.catalog import Workspace
 from spanloom.plans import hierarchy as H, messages as M
 from spanloom.plans.runs import build_skeleton
@@ -424,3 +426,28 @@ def test_events_are_ordered_once_for_all_readers(spark):
     }
     for df in (T.app_dependencies(events), T.app_traces(events)):
         assert "Window" not in plan_of(df) and "Sort" not in plan_of(df)
+
+
+def test_hierarchy_json_parses_each_node_once(spark, monkeypatch):
+    rows = [
+        ("user", None, '{"user_id":"u1","total_interactions":2,"total_tokens":7,"metadata":{}}'),
+        ("thread", "u1", '{"thread_id":"t1","created_at":"","duration_ms":0.00001234567,"total_tokens":7,"metadata":{}}'),
+        ("run", "t1", '{"run_id":"r1","thread_id":"t1","duration_ms":"NaN","total_tokens":9223372036854775807,"metadata":{"user_id":"u\\"é"}}'),
+        ("step", "r1", '{"step_id":"s1","duration_ms":1.23456E7,"total_tokens":0,"metadata":{"operation_name":"","agent_id":"a"}}'),
+        ("tool", "s1", '{"tool_id":"","duration_ms":5,"output_full":"a\\nb😀","metadata":{"call_type":""}}'),
+        ("tool", "s1", '{"tool_name":"without an id"}'),
+    ]
+    nodes = spark.createDataFrame(rows, "level string, parent_id string, node string").repartition(1)
+    monkeypatch.setattr(catalog.H, "json_nodes", lambda silver, staged: nodes)
+    found = catalog.QUERIES["hierarchy_json"](SimpleNamespace(silver=None))
+    value = lambda name: F.get_json_object("node", f"$.{name}")
+    plain = nodes.select(
+        "level", "parent_id", F.coalesce(*[value(f"{level}_id") for level in ("tool", "step", "run", "thread", "user")]).alias("node_id"),
+        value("total_tokens").cast("bigint").alias("total_tokens"), F.round(value("duration_ms").cast("double"), 4).alias("duration_ms"),
+        value("metadata.user_id").alias("meta_user"), value("metadata.operation_name").alias("meta_operation"),
+        F.length(value("output_full")).alias("output_length"),
+    )
+    assert found.schema.simpleString() == plain.schema.simpleString()
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "get_json_object" not in plan
