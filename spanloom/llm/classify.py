@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import held_out, unused, without
+from .hashing import portions
 from .subwords import Model, train
 
 PER_CLASS = 600
@@ -115,17 +116,18 @@ def identify_language(docs: DataFrame, fitted: LanguageModel) -> DataFrame:
     lettered = rows.withColumn(flag, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
 
     def identify(batches):
-        for batch in batches:
-            known = batch.column(len(names)).to_numpy(zero_copy_only=False).astype(bool)
+        # Rows go back in portions: neither the worker nor the executor holds a second whole batch.
+        for own in (x for batch in batches for x in portions(batch)):
+            known = own.column(len(names)).to_numpy(zero_copy_only=False).astype(bool)
             if model is None:
-                known = np.zeros(batch.num_rows, bool)
-                best, score = np.zeros(batch.num_rows, int), np.zeros(batch.num_rows)
+                known = np.zeros(own.num_rows, bool)
+                best, score = np.zeros(own.num_rows, int), np.zeros(own.num_rows)
             else:
-                p = model.probabilities(batch.column("text"))
+                p = model.probabilities(own.column("text"))
                 best, score = p.argmax(axis=1), p.max(axis=1)
             languages = [model.classes[b] if k else UNDETERMINED for b, k in zip(best, known)]
             score = np.where(known, score, 0.0)
-            out = [batch.column(i) for i in range(len(names))]
+            out = [own.column(i) for i in range(len(names))]
             out += [pa.array(languages, pa.string()), pa.array(score), pa.array((score < limit) | ~known)]
             yield pa.RecordBatch.from_arrays(out, [*names, "lang_pred", "score", "rejected"])
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .hashing import BLANK, mix, shingles, text_slices, word_hashes, words
+from .hashing import BLANK, mix, portions, shingles, text_slices, word_hashes, words
 
 GRAM = 3
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
@@ -229,9 +229,10 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     for items in _slices(benchmark):
 
         def clean(batches, items=items):
-            for batch in batches:
-                leaked = np.unique([row for row, *_ in leaks(items, batch.column("text"), threshold)]).astype(np.int64)
-                yield batch.take(pa.array(np.setdiff1d(np.arange(batch.num_rows), leaked)))
+            # Rows go back in portions: neither the worker nor the executor holds a second whole batch.
+            for own in (x for batch in batches for x in portions(batch)):
+                leaked = np.unique([row for row, *_ in leaks(items, own.column("text"), threshold)]).astype(np.int64)
+                yield own.take(pa.array(np.setdiff1d(np.arange(own.num_rows), leaked)))
 
         kept = kept.mapInArrow(clean, docs.schema)
     return kept

@@ -82,6 +82,12 @@ def text_slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int
         low = high
 
 
+def portions(batch: pa.RecordBatch, name: str = "text", limit: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of ``batch``, one portion for each of the ``text_slices`` of column ``name``."""
+    for low, high, _, _ in text_slices(batch.column(name), limit):
+        yield batch.slice(low, high - low)
+
+
 def words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of all texts of a slice, and the number of the first word of each text (and the end)."""
     if not len(data):

@@ -3,6 +3,8 @@
 Pass one scatters the rows into memory-sized buckets by a seeded hash and writes them to shared
 storage. Pass two shuffles each bucket by Fisher-Yates. The buckets, one after the other, are the
 global order; dealing that order out in turn gives shards whose row counts differ by one at most.
+A bucket is shuffled as the numbers of its rows; the rows, whatever their length, meet their places
+in a sorted join, so no task holds the texts of a bucket.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.staging import stage
-from .common import exclusive_offsets, without
+from .common import exclusive_offsets, parallelism, without
 
 BUCKET_ROWS = 1024
 BUCKET_BYTES = 4 << 20
@@ -55,17 +57,19 @@ def shard_rows(
 
     counts = scattered.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     offsets = exclusive_offsets(counts, [], "_bucket", "_n", "_offset").select("_bucket", "_offset")
-    filled = scattered.groupBy("_bucket").agg(F.collect_list(F.struct("_id", "_row")).alias("_rows"))
-    ordered = F.array_sort("_rows", lambda a, b: F.when(a["_id"] < b["_id"], F.lit(-1)).otherwise(F.lit(1)))
-    order = fisher_yates(F.size("_rows"), [F.lit(seed), F.col("_bucket")])
+    filled = scattered.groupBy("_bucket").agg(F.sort_array(F.collect_list("_id")).alias("_ids"))
+    order = fisher_yates(F.size("_ids"), [F.lit(seed), F.col("_bucket")])
+    # Numbers are small, so adaptive execution would leave all buckets to one task.
     dealt = (
-        filled.withColumn("_rows", ordered)
+        filled.repartition(parallelism(df.sparkSession), "_bucket")
         .withColumn("_order", order)
         .join(offsets, "_bucket")
-        .select("_offset", F.posexplode(F.transform("_order", lambda i: F.get(F.col("_rows"), i)["_row"])).alias("_pos", "_row"))
+        .select("_offset", F.posexplode(F.transform("_order", lambda i: F.get(F.col("_ids"), i))).alias("_pos", "_id"))
     )
     place = F.col("_offset") + F.col("_pos")
-    return dealt.select("_row.*", F.pmod(place, F.lit(shards)).cast("int").alias("shard"), F.floor(place / shards).cast("long").alias("slot"))
+    places = dealt.select("_id", F.pmod(place, F.lit(shards)).cast("int").alias("shard"), F.floor(place / shards).cast("long").alias("slot"))
+    # Sizes are estimated from before the expansion of the buckets, so the planner must not choose a broadcast.
+    return scattered.select("_id", "_row").join(places.hint("merge"), "_id").select("_row.*", "shard", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

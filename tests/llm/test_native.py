@@ -68,6 +68,14 @@ def test_sharding(spark, odd_docs, no_docs):
     assert sharding.shard_rows(no_docs, 4).collect() == []
 
 
+def test_sharding_gathers_no_texts(spark, odd_docs):
+    """A bucket is gathered as row numbers; the rows are joined to their places without a broadcast."""
+    plan = sharding.shard_rows(odd_docs, 4)._jdf.queryExecution().optimizedPlan().toString()
+    gathered = [line for line in plan.splitlines() if "collect_list(" in line]
+    assert len(gathered) == 1 and "collect_list(_id#" in gathered[0] and "_row#" not in gathered[0]
+    assert "rightHint=(strategy=merge)" in plan
+
+
 def test_sharding_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     rows = QUERIES["op9_sharding"](spark, SMALL).collect()

@@ -6,10 +6,11 @@ import threading
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from spanloom.llm import common, contamination, hashing, jaccard
+from spanloom.llm import classify, common, contamination, hashing, jaccard
 from spanloom.operators.staging import stage, stage_alone, stage_root
 
 from . import brute
@@ -50,6 +51,31 @@ def test_run(spark):
     assert {"shard", "slot"} <= set(first.columns) and first.count() > 0
 
 
+def test_rows_go_back_in_portions(spark, monkeypatch):
+    """Language ID and decontamination return a batch in portions of about a slice, with all rows as before."""
+    few = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs = few.crossJoin(F.broadcast(spark.range(8).select())).coalesce(1)
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    fitted = classify.fit_language(few)
+    returned = []
+
+    def run_here(self, function, schema):
+        rows = list(function(iter(self.toArrow().to_batches())))
+        returned.append(rows)
+        return spark.createDataFrame(pa.Table.from_batches(rows), schema)
+
+    stages = (lambda: classify.identify_language(docs, fitted), lambda: contamination.drop_leaks(docs, bench))
+    for build in stages:
+        whole = sorted(tuple(r) for r in build().collect())
+        with monkeypatch.context() as own:
+            own.setattr(type(docs), "mapInArrow", run_here)
+            assert sorted(tuple(r) for r in build().collect()) == whole
+        sizes = [(b.num_rows, sum(len(t or "") for t in b.column("text").to_pylist())) for b in returned[-1]]
+        assert len(sizes) > 2 and all(rows == 1 or size <= hashing.SLICE for rows, size in sizes)
+    empty = pa.RecordBatch.from_pylist([], pa.schema([("text", pa.string())]))
+    assert list(hashing.portions(empty)) == []
+
+
 def staged_now(spark):
     return {p.name for p in Path(stage_root(spark).removeprefix("file:")).glob("*")}
 
