@@ -61,9 +61,9 @@ def shard_rows(
     order = fisher_yates(F.size("_ids"), [F.lit(seed), F.col("_bucket")])
     # Numbers are small, so adaptive execution would leave all buckets to one task.
     dealt = (
-        filled.repartition(parallelism(df.sparkSession), "_bucket")
+        filled.join(offsets, "_bucket")
+        .repartition(parallelism(df.sparkSession), F.xxhash64("_bucket"))
         .withColumn("_order", order)
-        .join(offsets, "_bucket")
         .select("_offset", F.posexplode(F.transform("_order", lambda i: F.get(F.col("_ids"), i))).alias("_pos", "_id"))
     )
     place = F.col("_offset") + F.col("_pos")

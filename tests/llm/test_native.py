@@ -70,10 +70,13 @@ def test_sharding(spark, odd_docs, no_docs):
 
 def test_sharding_gathers_no_texts(spark, odd_docs):
     """A bucket is gathered as row numbers; the rows are joined to their places without a broadcast."""
-    plan = sharding.shard_rows(odd_docs, 4)._jdf.queryExecution().optimizedPlan().toString()
+    execution = sharding.shard_rows(odd_docs, 4)._jdf.queryExecution()
+    plan = execution.optimizedPlan().toString()
     gathered = [line for line in plan.splitlines() if "collect_list(" in line]
     assert len(gathered) == 1 and "collect_list(_id#" in gathered[0] and "_row#" not in gathered[0]
     assert "rightHint=(strategy=merge)" in plan
+    # Buckets are dealt over all tasks before they are shuffled.
+    assert "REPARTITION_BY_NUM" in execution.executedPlan().toString()
 
 
 def test_sharding_query(spark):
