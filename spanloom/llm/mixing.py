@@ -91,7 +91,8 @@ def draw_slots(sources: DataFrame, partitions: int, seed: int) -> DataFrame:
     total = sources.agg(F.coalesce(F.max("all_slots"), F.lit(0)).cast("long")).first()[0]
     drawn = _drawn(sources, total, partitions, seed).withColumn("_order", order)
     drawn = stage(drawn.withColumn("_chunk", F.pmod("_order", F.lit(max(1, math.ceil(total / CHUNK_ROWS))).cast("long"))), "mix-draws")
-    counts = drawn.groupBy("ordinal", "_chunk").agg(F.count(F.lit(1)).alias("_count"))
+    # Each step is staged once for all its readers: one plan of all steps repeats them and outgrows the driver.
+    counts = stage(drawn.groupBy("ordinal", "_chunk").agg(F.count(F.lit(1)).alias("_count")), "mix-draw-counts")
     offsets = exclusive_offsets(counts, ["ordinal"], "_chunk", "_count", "_offset").select("ordinal", "_chunk", "_offset")
     inside = Window.partitionBy("ordinal", "_chunk").orderBy("_order", "out_shard", "out_slot")
     numbered = drawn.withColumn("_inner", F.row_number().over(inside) - 1).join(offsets.hint("merge"), ["ordinal", "_chunk"])
@@ -103,7 +104,9 @@ def draw_slots(sources: DataFrame, partitions: int, seed: int) -> DataFrame:
     )
     balance = exclusive_offsets(balance, [], "ordinal", "_over", "_over_before")
     balance = stage(exclusive_offsets(balance, [], "ordinal", "_short", "_short_before"), "mix-balance")
-    owned = lookup(numbered, balance.select("ordinal", "slots", "_over_before"), ["ordinal"], "inner").withColumn("k", F.col("_offset") + F.col("_inner"))
+    numbered = numbered.select("ordinal", (F.col("_offset") + F.col("_inner")).alias("k"), "out_shard", "out_slot")
+    numbered = stage(numbered, "mix-numbered")
+    owned = lookup(numbered, balance.select("ordinal", "slots", "_over_before"), ["ordinal"], "inner")
     free = owned.filter(F.col("k") >= F.col("slots")).select((F.col("_over_before") + F.col("k") - F.col("slots")).alias("_free"), "out_shard", "out_slot")
     wanted = explode_range(balance.select("ordinal", "_sum", "_short", "_short_before"), "_short", "_i", partitions).select(
         (F.col("_short_before") + F.col("_i")).alias("_free"), "ordinal", (F.col("_sum") + F.col("_i")).alias("k")
@@ -124,7 +127,7 @@ def pack(docs: DataFrame, sources: DataFrame, rows: int, block: int, partitions:
     placed = lookup(docs.filter(F.col("size") > 0), sources.select("source", "ordinal"), ["source"], null_safe=True)
     placed = placed.withColumn("_hash", F.xxhash64(F.lit(seed), "doc_id", "size"))
     placed = placed.withColumn("_chunk", F.pmod(F.col("_hash"), F.lit(chunks))).withColumn("_words", F.col("size") * F.col("copies"))
-    sums = placed.groupBy("ordinal", "_chunk").agg(F.sum("_words").alias("_sum"))
+    sums = stage(placed.groupBy("ordinal", "_chunk").agg(F.sum("_words").alias("_sum")), "mix-word-counts")
     offsets = exclusive_offsets(sums, ["ordinal"], "_chunk", "_sum", "_offset").select("ordinal", "_chunk", "_offset")
     inside = Window.partitionBy("ordinal", "_chunk").orderBy("_hash", F.col("doc_id").asc_nulls_first(), "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("_inner", F.coalesce(F.sum("_words").over(inside), F.lit(0))).join(offsets, ["ordinal", "_chunk"])
@@ -182,7 +185,8 @@ def mixed_documents(df: DataFrame, seed: int = 0) -> DataFrame:
 
     Expected repeats equal the uses, so the sources meet their targets in words; texts stay whole.
     """
-    uses = Mix(df, seed).taken().groupBy("doc_id", "source", "size").agg((F.avg("taken") / F.greatest(F.col("size"), F.lit(1))).alias("uses"))
+    taken = Mix(df, seed).taken().groupBy("doc_id", "source", "size")
+    uses = stage(taken.agg((F.avg("taken") / F.greatest(F.col("size"), F.lit(1))).alias("uses")), "mix-uses")
     rows = df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), "doc_id", "source",
         F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from spanloom.llm import chat, lines, mixing, sharding
 from spanloom.llm.common import exclusive_offsets, explode_range, permuted
 from spanloom.llm.queries import ORACLE_SQL, QUERIES
+from spanloom.operators.staging import stage
 from tests.compare import connect, oracle_result, spark_result, type_differences
 
 from .brute import WORD
@@ -189,6 +190,22 @@ def test_mixing_slots(spark, odd_docs, no_docs):
     assert None not in repeated and "" not in repeated and all(n <= 3 * by_text[t] for t, n in repeated.items())
 
 
+def test_mixing_plans_stay_small(spark, odd_docs, monkeypatch):
+    """Slots are numbered by one join, and no plan of the mix has the joins of all its steps at once."""
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df
+
+    monkeypatch.setattr(mixing, "stage", lambda df, label: stage(kept(df), label))
+    kept(mixing.mixed_documents(odd_docs)).collect()
+    joins = [re.findall(r"Join .*", plan) for plan in plans]
+    assert max(len(found) for found in joins) <= 10
+    numbered = [j for found in joins for j in found if len(re.findall(r"_chunk#", j)) == 2 and "rightHint=(strategy=merge)" in j]
+    assert len(numbered) == 1
+
+
 def test_chat_windows(spark):
     marks = "a<s>b\\</s>c\\\\<s>\n</s>\\"
     rows = [(1, 0, "system", "be <s> kind", "x")]
