@@ -191,7 +191,8 @@ def mixed_documents(df: DataFrame, seed: int = 0) -> DataFrame:
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), "doc_id", "source",
         F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     )
-    found = lookup(rows, uses, ["doc_id", "source", "size"], null_safe=True)
+    # A row for each document, small as its file may be: the planner must not choose a broadcast.
+    found = lookup(rows, uses.hint("merge"), ["doc_id", "source", "size"], null_safe=True)
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.crc32("row.text")), F.lit(1 << 20)) / float(1 << 20)
     times = F.floor(F.col("uses") + draw).cast("int")
     repeated = found.withColumn("time", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))))
